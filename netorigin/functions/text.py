@@ -27,7 +27,7 @@ def nfc(s: pd.Series) -> pd.Series:
 
 def squeeze(text: Column) -> Column:
     """Control characters to blanks, runs of blanks to one, trimmed, empty to null."""
-    t = F.regexp_replace(text, r"\p{Cntrl}", " ")
+    t = F.regexp_replace(text, r"\p{Cc}", " ")
     return F.nullif(F.btrim(F.regexp_replace(t, " {2,}", " "), F.lit(" ")), F.lit(""))
 
 
@@ -62,7 +62,7 @@ def registrable_domain(url: Column) -> Column:
 
 def clean_name(text: Column) -> Column:
     """Draft name without self-references to an ASN and empty parentheses."""
-    t = F.regexp_replace(text, r"\p{Cntrl}", " ")
+    t = F.regexp_replace(text, r"\p{Cc}", " ")
     for pattern, to in (
         (" # ", " "),
         (r"\s*[—–-]\s*AS\d+\b", ""),
@@ -80,14 +80,15 @@ def clean_name(text: Column) -> Column:
 def truncate_utf8(text: Column, limit: int = vocab.ORG_MAX_BYTES) -> Column:
     """At most `limit` bytes of UTF-8, never half a character.
 
-    Only a text longer than the limit is cut; trailing continuation bytes (and
-    the lead byte they belong to) go when the byte after the cut continues them.
+    `limit` characters hold at least `limit` bytes, so only they are encoded.  When
+    the byte after the cut continues a character, its first one to three bytes go.
     """
-    h = F.hex(F.encode(text, "UTF-8"))
-    cut = F.substring(h, 1, 2 * limit)
-    follows = F.substring(h, 2 * limit + 1, 2).rlike("^[89AB]")
-    head = F.when(follows, F.regexp_replace(cut, r"(?<=^(?:..){0,%d})[CDEF].(?:[89AB].)*$" % limit, "")).otherwise(cut)
-    return F.when(F.length(h) <= 2 * limit, text).otherwise(F.decode(F.unhex(head), "UTF-8"))
+    h = F.hex(F.encode(F.substring(text, 1, limit + 1), "UTF-8"))
+    byte = lambda i: F.substring(h, 2 * (limit - i) - 1, 2)  # i-th byte before the cut
+    split = F.substring(h, 2 * limit + 1, 2).rlike("^[89AB]")
+    drop = F.when(~split, 0).when(byte(0) >= "C0", 1).when(byte(1) >= "C0", 2).otherwise(3)
+    head = F.substr(h, F.lit(1), 2 * (limit - drop))
+    return F.when(F.octet_length(text) <= limit, text).otherwise(F.decode(F.unhex(head), "UTF-8"))
 
 
 def _html_text(col: Column) -> Column:

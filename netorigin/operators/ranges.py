@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netorigin.operators.lineage import cut
 from netorigin.operators.scan import BUCKET, scan
 
 
@@ -81,7 +82,7 @@ def merge_ranges(df: DataFrame, space, keys: tuple[str, ...] = ()) -> DataFrame:
     depth = scan(ev, space, keys=keys, sums=("d_a",), keep_bucket=True)
     # Outer edges only: depth leaves zero, or falls back to it.
     edges = depth.filter("run_d_a = 0 or run_d_a = d_a").select(*keys, "pos", BUCKET, (F.col("run_d_a") > 0).alias("opens"))
-    return scan(edges, space, keys=keys, nexts=True).filter("opens").select(
+    return scan(cut(edges), space, keys=keys, nexts=True).filter("opens").select(
         *keys,
         F.col("pos").alias("range_start"),
         F.coalesce(space.pred(F.col("next_pos")), space.max()).alias("range_end"),
@@ -235,7 +236,7 @@ def coalesce_equal(df: DataFrame, space, payload: list[str]) -> DataFrame:
     """Join neighbouring disjoint rows whose whole payload is equal (null-safe)
     and which touch; a gap or any differing payload field keeps them apart."""
     d = df.select(F.col("range_start").alias("pos"), F.struct("range_end", F.struct(*payload).alias("pl")).alias("row"))
-    s = scan(d, space, prevs=("row",), keep_bucket=True)
+    s = scan(cut(d), space, prevs=("row",), keep_bucket=True)
     joined = (F.col("prev_row").isNotNull()
               & F.coalesce(space.succ(F.col("prev_row.range_end")) == F.col("pos"), F.lit(False))
               & F.col("prev_row.pl").eqNullSafe(F.col("row.pl")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netorigin.functions import text as tx
 from netorigin.functions import vocab
 from netorigin.functions.addr import int_to_v4, v6_text
 from netorigin.functions.space import V4, V6
@@ -171,6 +170,3 @@ def write_lookup(intervals: DataFrame, path: str, family: int = 4, shift: int =
 def read_lookup(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
-
-def interval_org_text(c: Column) -> Column:
-    return tx.truncate_utf8(c)
