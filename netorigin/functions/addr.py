@@ -18,6 +18,15 @@ def _b(n: int) -> Column:
     return F.lit(n).cast("bigint")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with `value` evaluated once.
+
+    A Python-built expression repeats its operand at every use; chained rules would
+    grow exponentially.  A one-element transform names the operand instead.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def v4_to_int(text: Column) -> Column:
     """Dotted decimal -> BIGINT; null unless exactly four octets without leading zeros."""
     p = F.split(text, r"\.")
@@ -36,25 +45,31 @@ def v6_to_pair(text: Column) -> Column:
     A trailing dotted quad is rewritten as two groups first, then `::` is
     expanded by counting the groups on both sides.
     """
-    t = F.lower(text)
-    quad = F.regexp_extract(t, r":(\d+\.\d+\.\d+\.\d+)$", 1)
-    n = v4_to_int(F.when(quad != "", quad))
-    t = F.when(quad == "", t).otherwise(
-        F.concat(F.regexp_replace(t, r"\d+\.\d+\.\d+\.\d+$", ""),
-                 F.lower(F.hex(F.shiftright(n, 16))), F.lit(":"), F.lower(F.hex(n.bitwiseAND(F.lit(65535))))))
-    halves = F.split(t, "::")
     groups = lambda s: F.filter(F.split(s, ":"), lambda g: g != "")
-    left, right = groups(halves[0]), groups(F.coalesce(F.try_element_at(halves, F.lit(2)), F.lit("")))
-    fill = F.lit(8) - F.size(left) - F.size(right)
-    full = F.when(F.size(halves) == 2, F.concat(left, F.array_repeat(F.lit("0"), F.greatest(fill, F.lit(0)).cast("int")), right)).otherwise(left)
-    well_formed = (
-        t.rlike(r"^[0-9a-f:]+$") & ~t.rlike(":::") & (F.size(halves) <= 2)
-        & ~(t.rlike("^:[^:]") | t.rlike("[^:]:$"))
-        & F.when(F.size(halves) == 2, fill >= 1).otherwise(F.size(left) == 8)
-        & F.forall(full, lambda g: F.length(g) <= 4)
-    )
-    hex32 = F.array_join(F.transform(full, lambda g: F.lpad(g, 4, "0")), "")
-    return F.when(well_formed, V6.from_hex(F.when(well_formed, hex32)))
+
+    def plain(t: Column) -> Column:
+        """Rewrite the dotted quad, if any."""
+        n = lambda: v4_to_int(F.regexp_extract(t, r":(\d+\.\d+\.\d+\.\d+)$", 1))
+        return F.when(~F.contains(t, F.lit(".")), t).otherwise(let(n(), lambda v: F.concat(
+            F.regexp_replace(t, r"\d+\.\d+\.\d+\.\d+$", ""),
+            F.lower(F.hex(F.shiftright(v, 16))), F.lit(":"), F.lower(F.hex(v.bitwiseAND(F.lit(65535)))))))
+
+    def sides(t: Column) -> Column:
+        halves = F.split(t, "::")
+        return F.struct(t.alias("t"), F.size(halves).alias("n"), groups(halves[0]).alias("l"),
+                        groups(F.coalesce(F.try_element_at(halves, F.lit(2)), F.lit(""))).alias("r"))
+
+    def full(p: Column) -> Column:
+        fill = F.lit(8) - F.size(p["l"]) - F.size(p["r"])
+        ok = (
+            p["t"].rlike(r"^[0-9a-f:]+$") & ~p["t"].rlike(r":::|^:[^:]|[^:]:$")
+            & (F.when(p["n"] == 2, fill >= 1).when(p["n"] == 1, fill == 0).otherwise(F.lit(False)))
+            & F.forall(F.concat(p["l"], p["r"]), lambda g: F.length(g) <= 4))
+        zeros = F.array_repeat(F.lit("0"), F.greatest(fill, F.lit(0)).cast("int"))
+        return F.when(ok, F.array_join(F.transform(F.concat(p["l"], zeros, p["r"]), lambda g: F.lpad(g, 4, "0")), ""))
+
+    hex32 = let(let(let(F.lower(text), plain), sides), full)
+    return let(hex32, lambda h: F.when(h.isNotNull(), V6.from_hex(h)))
 
 
 def mapped_v4(addr: Column) -> Column:
@@ -65,18 +80,21 @@ def mapped_v4(addr: Column) -> Column:
 
 def v6_text(addr: Column) -> Column:
     """RFC 5952 text: the leftmost longest run of two or more zero groups becomes `::`."""
-    h = V6.hex(addr)
-    groups = [F.regexp_replace(F.substring(h, 1 + 4 * i, 4), "^0{1,3}", "") for i in range(8)]
-    # Colons on both ends, so that a run is always `:0:...:0:`; the longest run
-    # that occurs is tested last and wins, at its leftmost place.
-    g = F.concat(F.lit(":"), F.concat_ws(":", *groups), F.lit(":"))
-    out = g
-    for n in range(2, 9):
-        run = ":" + "0:" * n
-        at = F.instr(g, run)
-        cut = F.concat(F.substr(g, F.lit(1), at - 1), F.lit("::"), F.substr(g, at + len(run)))
-        out = F.when(at > 0, cut).otherwise(out)
-    return F.regexp_replace(F.regexp_replace(out, "^:(?!:)", ""), "(?<!:):$", "")
+    def groups(h: Column) -> Column:
+        # Colons on both ends, so that a run is always `:0:...:0:`.
+        return F.concat(F.lit(":"), F.concat_ws(":", *[
+            F.regexp_replace(F.substring(h, 1 + 4 * i, 4), "^0{1,3}", "") for i in range(8)]), F.lit(":"))
+
+    def shorten(g: Column) -> Column:
+        # The longest run that occurs is tested last and wins, at its leftmost place.
+        out = g
+        for n in range(2, 9):
+            run = ":" + "0:" * n
+            at = F.instr(g, run)
+            out = F.when(at > 0, F.concat(F.substr(g, F.lit(1), at - 1), F.lit("::"), F.substr(g, at + len(run)))).otherwise(out)
+        return F.regexp_replace(F.regexp_replace(out, "^:(?!:)", ""), "(?<!:):$", "")
+
+    return let(let(let(addr, V6.hex), groups), shorten)
 
 
 def int_to_v6(hi: Column, lo: Column) -> Column:
@@ -101,26 +119,29 @@ def parse_fixed_hex(text: Column, version: Column) -> Column:
 
 
 def cidr_to_range(text: Column) -> Column:
-    """`net/len` or a bare address -> struct(family, start4, end4, start6, end6), null
+    """`net/len` or a bare address -> struct(family, len, start4, end4, start6, end6), null
     for garbage.  Host bits are masked off."""
-    t = F.trim(text)
-    parts = F.split(t, "/")
-    addr = parts[0]
-    len_text = F.try_element_at(parts, F.lit(2))
-    is6 = F.contains(t, F.lit(":"))
-    bits = F.when(is6, F.lit(128)).otherwise(F.lit(32))
-    good_len = F.when(F.size(parts) == 1, F.lit(True)).otherwise(len_text.rlike(r"^\d{1,3}$") & (F.size(parts) == 2))
-    length = F.when(good_len, F.coalesce(F.when(len_text.rlike(r"^\d{1,3}$"), len_text).cast("int"), bits))
-    a4 = v4_to_int(F.when(~is6, addr))
-    a6 = v6_to_pair(F.when(is6, addr))
-    ok = good_len & (length <= bits)
-    ok4, ok6 = ok & ~is6 & a4.isNotNull(), ok & is6 & a6.isNotNull()
-    l4, l6 = F.when(ok4, length), F.when(ok6, length)
-    n4, n6 = V4.mask(a4, l4), V6.mask(a6, l6)
-    return F.when(ok4 | ok6, F.struct(
-        F.when(ok4, F.lit(4)).otherwise(F.lit(6)).alias("family"), length.alias("len"),
-        F.when(ok4, n4).alias("start4"), F.when(ok4, V4.last(n4, l4)).alias("end4"),
-        F.when(ok6, n6).alias("start6"), F.when(ok6, V6.last(n6, l6)).alias("end6")))
+    def split(t: Column) -> Column:
+        p = F.split(t, "/")
+        is6 = F.contains(t, F.lit(":"))
+        bits = F.when(is6, F.lit(128)).otherwise(F.lit(32))
+        digits = F.try_element_at(p, F.lit(2))
+        length = F.when(F.size(p) == 1, bits).when((F.size(p) == 2) & digits.rlike(r"^\d{1,3}$"), digits.try_cast("int"))
+        return F.struct(p[0].alias("addr"), is6.alias("is6"), F.when(length <= bits, length).alias("len"))
+
+    def parse(p: Column) -> Column:
+        return F.struct(p["len"].alias("len"), F.when(~p["is6"], v4_to_int(p["addr"])).alias("a4"),
+                        F.when(p["is6"], v6_to_pair(p["addr"])).alias("a6"))
+
+    def bounds(p: Column) -> Column:
+        n4, n6 = V4.mask(p["a4"], p["len"]), V6.mask(p["a6"], p["len"])
+        ok4, ok6 = p["a4"].isNotNull(), p["a6"].isNotNull()
+        return F.when(p["len"].isNotNull() & (ok4 | ok6), F.struct(
+            F.when(ok4, F.lit(4)).otherwise(F.lit(6)).alias("family"), p["len"].alias("len"),
+            F.when(ok4, n4).alias("start4"), F.when(ok4, V4.last(n4, p["len"])).alias("end4"),
+            F.when(ok6, n6).alias("start6"), F.when(ok6, V6.last(n6, p["len"])).alias("end6")))
+
+    return let(let(let(F.trim(text), split), parse), bounds)
 
 
 def overlaps(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
@@ -172,14 +193,17 @@ def special_verdict(addr: Column, space) -> Column:
 def not_contactable(text: Column) -> Column:
     """Private, loopback, link-local, this-host, CGNAT, multicast or reserved, or unparseable.
     A mapped IPv4 address is unwrapped first."""
-    a6 = v6_to_pair(F.when(F.contains(text, F.lit(":")), text))
-    a4 = F.coalesce(v4_to_int(text), mapped_v4(a6))
-    blocked4 = F.lit(False)
-    for net, length in (("10.0.0.0", 8), ("172.16.0.0", 12), ("192.168.0.0", 16), ("127.0.0.0", 8),
-                        ("169.254.0.0", 16), ("0.0.0.0", 8), ("100.64.0.0", 10), ("224.0.0.0", 3)):
-        lo, hi = v4_block(net, length)
-        blocked4 = blocked4 | a4.between(lo, hi)
-    return F.when(a4.isNotNull(), blocked4).when(a6.isNotNull(), special_verdict(a6, V6).isNotNull()).otherwise(F.lit(True))
+    def unwrap(a6: Column) -> Column:
+        return F.struct(a6.alias("a6"), F.coalesce(v4_to_int(text), mapped_v4(a6)).alias("a4"))
+
+    def blocked(a: Column) -> Column:
+        hit = F.lit(False)
+        for net, length in (("10.0.0.0", 8), ("172.16.0.0", 12), ("192.168.0.0", 16), ("127.0.0.0", 8),
+                            ("169.254.0.0", 16), ("0.0.0.0", 8), ("100.64.0.0", 10), ("224.0.0.0", 3)):
+            hit = hit | a["a4"].between(*v4_block(net, length))
+        return F.when(a["a4"].isNotNull(), hit).when(a["a6"].isNotNull(), special_verdict(a["a6"], V6).isNotNull()).otherwise(F.lit(True))
+
+    return let(let(v6_to_pair(F.when(F.contains(text, F.lit(":")), text)), unwrap), blocked)
 
 
 def length_bucket(start: Column, end: Column, space) -> Column:

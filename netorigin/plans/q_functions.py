@@ -115,7 +115,7 @@ query("str1_parse_asn", "select c_custkey as id, case when c_nationkey % 6 in (3
 query("str2_clean_label", r"""select doc_id, md5(nullif(trim(regexp_replace(regexp_replace(nfc_normalize(text), '\p{Cc}', ' ', 'g'), ' {2,}', ' ', 'g'), ' '), '')) as label from @documents""")(
     lambda t: t.documents.select("doc_id", F.md5(tx.clean_label(F.col("text"))).alias("label")))
 _HOST = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1))"
-query("str3_restricted_host", f"select id, len(list_filter([{RES}], h -> host = h or ends_with(host, '.' || h))) > 0 as restricted from (select id, {_HOST} as host from @urls)")(
+query("str3_restricted_host", f"select id, len(list_filter([{RES}], lambda h: host = h or ends_with(host, '.' || h))) > 0 as restricted from (select id, {_HOST} as host from @urls)")(
     lambda t: t.urls.select("id", tx.restricted_url(F.col("url")).alias("restricted")))
 query("str4_registrable_domain", rf"""select id, array_to_string(l[greatest(len(l) - n, 0) + 1:], '.') as domain from (
     select id, l, case when len(l) >= 3 and l[-2] in ({', '.join(f"'{g}'" for g in vocab.GENERIC_SECOND_LEVEL)}) then 3 else 2 end as n from (
@@ -125,8 +125,8 @@ query("str5_clean_name", "select c_custkey as id, case when c_nationkey % 7 = 6
     lambda t: t.sql("""select c_custkey as id, case c_nationkey % 7 when 0 then concat(c_name, ' — AS', cast(c_custkey as string)) when 1 then concat(c_name, ' / AS12')
         when 2 then concat('AS7, ', c_name) when 3 then concat(c_name, '  AS9 (AS5)') when 4 then concat(c_name, ' (AS77)') when 5 then concat(c_name, ' ( )')
         else '(AS1)' end as text from @customer""").select("id", tx.clean_name(F.col("text")).alias("name")))
-query("str6_truncate_utf8", """select doc_id, list_max(list_transform(range(0, 97), n -> case when strlen(substring(text, 1, n)) <= 96 then n else 0 end)) as chars,
-    md5(substring(text, 1, list_max(list_transform(range(0, 97), n -> case when strlen(substring(text, 1, n)) <= 96 then n else 0 end)))) as h
+query("str6_truncate_utf8", """select doc_id, list_max(list_transform(range(0, 97), lambda n: case when strlen(substring(text, 1, n)) <= 96 then n else 0 end)) as chars,
+    md5(substring(text, 1, list_max(list_transform(range(0, 97), lambda n: case when strlen(substring(text, 1, n)) <= 96 then n else 0 end)))) as h
     from @documents where strlen(text) > 96 union all select doc_id, length(text) as chars, md5(text) as h from @documents where strlen(text) <= 96""")(
     lambda t: t.documents.select("doc_id", tx.truncate_utf8(F.col("text")).alias("x")).select("doc_id", F.length("x").cast("bigint").alias("chars"), F.md5("x").alias("h")))
 
@@ -165,7 +165,7 @@ query("dt1_registry_date", f"select id, case when id % 5 in (0, 1, 2) then null
     lambda t: t.sql(_DATE8).select("id", tx.registry_date(F.col("text")).alias("registered")))
 query("dt2_complete_slot", """select event_id, strftime(date_trunc('hour', ts - interval 3 hour) - interval 1 hour * (hour(ts - interval 3 hour) % 2), '%Y%m%d.%H%M') as slot from @events""")(
     lambda t: t.events.select("event_id", tx.complete_slot(F.col("ts")).alias("slot")))
-query("dt3_sunday_tags", """select d, array_to_string(list_transform(range(0, 8), i -> strftime(d - cast(dayofweek(d) + 7 * i as integer), 'v%Y.%m.%d')), ',') as tags
+query("dt3_sunday_tags", """select d, array_to_string(list_transform(range(0, 8), lambda i: strftime(d - cast(dayofweek(d) + 7 * i as integer), 'v%Y.%m.%d')), ',') as tags
     from (select distinct cast(o_orderdate as date) as d from @orders)""")(
     lambda t: t.orders.select(F.to_date("o_orderdate").alias("d")).distinct().select("d", F.array_join(tx.sunday_tags(F.col("d")), ",").alias("tags")))
 _BUILD = "select event_id, ts, case event_id % 3 when 0 then 'not a time' else concat(cast(cast(ts as date) as string), 'T00:00:00Z') end as build_id from @events"
