@@ -124,7 +124,7 @@ def countries_for_asns(names: DataFrame, items: DataFrame) -> DataFrame:
 def source_counts(merged: DataFrame) -> DataFrame:
     """Rows per kind of source, and in total."""
     kind = F.split("source", ":")[0]
-    return merged.groupBy(F.explode(F.array(kind, F.lit("total"))).alias("source")).agg(F.count("*").alias("n"))
+    return merged.select(F.explode(F.array(kind, F.lit("total"))).alias("source")).groupBy("source").agg(F.count("*").alias("n"))
 
 
 def territory_violations(overrides: DataFrame, merged: DataFrame) -> DataFrame:
@@ -165,7 +165,7 @@ def draft_names(dossiers: DataFrame) -> DataFrame:
     (asn, name, url, basis, reason, ordinal); reason is set where nothing is drafted."""
     d = dossiers.withColumn("name", F.coalesce(tx.clean_name(F.col("display_name")), tx.clean_name(F.col("legal_name"))))
     named = _first(_first_party(F.col("evidence"), F.col("website"), False),
-                   lambda e: F.coalesce(e["claim"].rlike(F.concat(F.lit(r"\bAS"), F.col("asn").cast("string"), F.lit(r"\b"))), F.lit(False)))
+                   lambda e: F.coalesce(F.rlike(e["claim"], F.concat(F.lit(r"\bAS"), F.col("asn").cast("string"), F.lit(r"\b"))), F.lit(False)))
     site_ok = F.coalesce(F.col("website").startswith("http"), F.lit(False)) & ~tx.restricted_url(F.col("website"))
     item_ok = F.coalesce(F.col("qid").rlike(r"^Q\d+$"), F.lit(False))
     d = d.withColumn("e", named)

@@ -114,7 +114,7 @@ def gold_from_lists(lists: DataFrame) -> DataFrame:
 def gold_from_pins(pins: DataFrame, meta: DataFrame) -> DataFrame:
     """pins(asn, labels, acceptable, guard, source): kept only if the live description matches the guard."""
     j = pins.join(meta.select("asn", "description"), "asn", "left").filter(
-        F.coalesce("description", F.lit("")).rlike(F.concat(F.lit("(?i)"), "guard")))
+        F.rlike(F.coalesce("description", F.lit("")), F.concat(F.lit("(?i)"), "guard")))
     return _gold(j, F.col("labels"), F.col("acceptable"), F.concat(F.lit("pinned: "), "source"), F.lit("pinned"))
 
 

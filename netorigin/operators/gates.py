@@ -183,7 +183,7 @@ def forecast(state: DataFrame, policy: tuple[float, float, float, float], floors
 def sentinel_violations(table: DataFrame, expected: DataFrame, value: str) -> DataFrame:
     """expected(asn, pattern): the known ASN is absent or its value does not match."""
     j = expected.join(table.select("asn", F.col(value).alias("_v")), "asn", "left")
-    return j.filter(~F.coalesce(F.col("_v").rlike(F.col("pattern")), F.lit(False))).select("asn", "pattern", F.col("_v").alias("found"))
+    return j.filter(~F.coalesce(F.rlike(F.col("_v"), F.col("pattern")), F.lit(False))).select("asn", "pattern", F.col("_v").alias("found"))
 
 
 def refind_probes(rows: DataFrame, space=V4) -> DataFrame:

@@ -23,7 +23,7 @@ def registry_rows(delegations: DataFrame) -> DataFrame:
     holder = F.when(F.col("opaque_id").isNotNull(), F.concat_ws(":", "rir", "opaque_id"))
     row = F.struct("rir", "cc", F.col("date").alias("registered"), "status", holder.alias("holder"))
     return expand_blocks(delegations).groupBy("asn").agg(
-        F.max_by(row, "ordinal").alias("r"), (F.min("rir") != F.max("rir")).alias("conflict")
+        F.max_by(row, F.struct("ordinal", "rir", "opaque_id", "status")).alias("r"), (F.min("rir") != F.max("rir")).alias("conflict")
     ).select("asn", "r.*", "conflict")
 
 

@@ -1 +1,210 @@
-"""To be filled."""
+"""Sources, sinks, streaming and the whole build."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from netorigin.functions.space import V4, V6
+from netorigin.operators import backbone, joins, project, quant, ranges, registry, sets
+from netorigin.plans import q_ranges as qr, q_networks as qn, q_routing as qt
+from netorigin.plans.build import build_intervals
+from netorigin.plans.catalog import query
+from netorigin.plans.tables import SEGMENTS, ip_text
+from netorigin.sources import parse, sinks
+from netorigin.streaming import lookup as stream_lookup, resume
+
+
+S = lambda c: f"cast({c} as string)"
+
+# ---------------------------------------------------------------- sources: lines built from the given tables
+_RAW = "select *, case when o_orderkey % 50 = 0 then range_end - 5000 else range_end end as e, case when o_orderkey % 70 = 0 then 0 else asn end as a from (select o_orderkey, 16777216 + o_orderkey * 1024 as range_start, 16777216 + o_orderkey * 1024 + o_custkey % 1500 as range_end, 200000 + o_custkey as asn from @orders)"
+query("src1_origin_ranges", f"select range_start, e as range_end, a as asn, e < range_start or a <= 0 as bad from ({_RAW})")(
+    lambda t: parse.origin_ranges(t.sql(f"select concat({S('range_start')}, ',', {S('e')}, ',', {S('a')}, ',\"Name, with comma\"') as value from ({_RAW})")))
+query("src1_good_bad", f"select count(*) filter (not (e < range_start or a <= 0)) as good, count(*) filter (e < range_start or a <= 0) as bad from ({_RAW})")(
+    lambda t: parse.good_bad(parse.origin_ranges(t.sql(f"select concat({S('range_start')}, ',', {S('e')}, ',', {S('a')}, ',x') as value from ({_RAW})"))))
+query("src1_origin_ranges_v6", "select lpad(lower(hex(x)), 32, '0') as start_hex, asn from (select (o_orderkey::uhugeint * 10000000000000000000::uhugeint + o_custkey::uhugeint) * 1000000000::uhugeint + 7::uhugeint as x, 1 + o_custkey as asn from @orders)")(
+    lambda t: parse.origin_ranges_v6(t.sql(f"""select concat(x, ',', x, ',', {S('1 + o_custkey')}, ',n') as value from (select *, concat({S('o_orderkey')}, lpad({S('o_custkey')}, 19, '0'), '000000007') as x from @orders)""")).select(
+        V6.hex(F.col("range_start")).alias("start_hex"), "asn"))
+_CI = f"select event_id, ip - ip % 256 as net from @any_ips"
+query("src2_cidr_list", f"select case when event_id % 6 = 5 then null else net end as range_start, case when event_id % 6 = 5 then null else net + 255 end as range_end, event_id % 6 = 5 as bad from ({_CI}) where event_id % 6 not in (0, 1, 4)")(
+    lambda t: parse.cidr_list(t.sql(f"""select case event_id % 6 when 0 then '# note' when 1 then '   ' when 2 then concat({ip_text('net')}, '/24 # why') when 3 then concat({ip_text('net')}, '/24') when 4 then '2001:db8::/32' else 'junk/99' end as value from ({_CI})""")))
+query("src3_asn_csv", "select distinct c_custkey as asn from @customer where c_custkey > 0")(
+    lambda t: parse.first_column_asns(t.sql(f"select 'ASN,Entity' as value from @region union all select concat({S('c_custkey')}, ',\"', c_name, ', x\"') as value from @customer union all select 'bad,' as value from @region"), "ASN,Entity"))
+query("src4_as_lines", "select c_custkey as asn from @customer")(
+    lambda t: parse.as_lines(t.sql(f"select concat('AS', {S('c_custkey')}, ' # ', c_name) as value from @customer union all select concat(' AS', {S('c_custkey')}) as value from @customer")))
+query("src5_as_metadata", "select 200000 + c_custkey as asn, case when c_nationkey % 4 = 0 then 'H' else c_name end as description, concat('C', c_nationkey) as country from @customer")(
+    lambda t: parse.as_metadata(t.sql(f"""select c_custkey as ordinal, concat('[{{"asn":', {S('200000 + c_custkey')}, ',"description":"old"}},{{"asn":', {S('200000 + c_custkey')}, ',"handle":"H"',
+        case when c_nationkey % 4 = 0 then '' else concat(',"description":"', c_name, '"') end, ',"countryCode":"C', {S('c_nationkey')}, '","extra":1}}]') as value from @customer""")).select("asn", "description", "country"))
+query("src6_sparql", "select concat('Q', c_custkey) as item, case when c_nationkey % 3 = 0 then null else 'AS5' end as asn from @customer")(
+    lambda t: parse.sparql_bindings(t.sql(f"""select concat('{{"results":{{"bindings":[{{"item":{{"value":"Q', {S('c_custkey')}, '"}}', case when c_nationkey % 3 = 0 then '' else ',"asn":{{"value":"AS5"}}' end, '}}]}}}}') as value from @customer""")).select("item", "asn"))
+_DL = """select o_orderkey, case when o_orderkey % 90 = 1 then 'lacnic' else 'arin' end as rir, case when o_orderkey % 7 = 0 then 'ZZ' else 'US' end as cc, case when o_orderkey % 80 = 2 then '0' else '2' end as n,
+    case when o_orderkey % 60 = 3 then 'odd' else 'assigned' end as st from @orders"""
+_DLT = f"select concat(rir, '|', cc, '|asn|', {S('o_orderkey')}, '|', n, '|20240102|', st, '|h1') as value, o_orderkey as ordinal from ({_DL}) union all select 'arin|*|asn|*|9|summary' as value, -1 as ordinal from @region union all select '2.3|arin|1|2' as value, -2 as ordinal from @region"
+query("src7_delegations", f"""select o_orderkey as start, nullif(cc, 'ZZ') as cc, '2024-01-02' as date, case when rir <> 'arin' then 'foreign_registry' when n = '0' then 'bad_start_or_count' when st = 'odd' then 'unknown_status' end as violation from ({_DL})""")(
+    lambda t: parse.delegations(t.sql(_DLT), "arin").select("start", "cc", "date", "violation"))
+query("src8_delegations_lenient", f"select o_orderkey as start, greatest(cast(n as bigint), 1) as count, st as status from ({_DL})")(
+    lambda t: parse.delegations(t.sql(_DLT), strict=False).select("start", "count", "status"))
+query("src9_as_rank", "select 200000 + c_custkey as asn, c_custkey as asrank, case when c_nationkey % 5 = 0 then null else c_name end as asn_name, c_nationkey::bigint as cone_asns from @customer")(
+    lambda t: parse.as_rank(t.sql(f"""select concat('{{"data":{{"asns":{{"edges":[{{"node":{{"asn":"', {S('200000 + c_custkey')}, '","rank":', {S('c_custkey')}, ',"asnName":"', case when c_nationkey % 5 = 0 then '' else c_name end,
+        '","cone":{{"numberAsns":', {S('c_nationkey')}, '}}}}}}]}}}}}}') as value from @customer""")).select("asn", "asrank", "asn_name", "cone_asns"))
+query("src10_eyeballs", "select c_custkey as asn, concat('C', c_nationkey) as economy, c_custkey * 3 as users from @customer")(
+    lambda t: parse.eyeballs(t.sql(f"""select concat('{{"Data":[{{"AS":"', {S('c_custkey')}, '","CC":"C', {S('c_nationkey')}, '","Users":', {S('c_custkey * 3')}, ',"Percent of Internet":0.5}}]}}') as value from @customer""")).select("asn", "economy", "users"))
+query("src11_vrps", "select asn, net as net4, len, maxlen from @vrps")(
+    lambda t: parse.vrps(t.sql(f"select concat('AS', {S('asn')}, ',', {ip_text('net + 1')}, '/', {S('len')}, ',', {S('maxlen')}, ',ta,0') as value from @vrps union all select 'ASN,IP Prefix,Max Length,Trust Anchor' as value from @region")).select("asn", "net4", "len", "maxlen"))
+query("src12_prefix_to_as", "select net as net4, len, unnest(case when origin % 3 = 0 then [origin, 7] else [origin] end) as asn from @rib where origin > 0")(
+    lambda t: parse.prefix_to_as(t.sql(f"select concat({ip_text('net')}, chr(9), {S('len')}, chr(9), case when origin < 0 then '0' when origin % 3 = 0 then concat({S('origin')}, '_7') else {S('origin')} end) as value from @rib")).select("net4", "len", "asn"))
+_FLN = "select c_custkey, case c_nationkey % 5 when 0 then 'no source' when 1 then 'src: x' else 'https://a.example/' end as c from @customer"
+query("src14_flag_list", f"select 'cdn' as list, c_custkey as asn, case when c = 'no source' then 'no_source' end as violation, c_custkey = 5 as duplicate from ({_FLN}) union all select 'cdn', 5, null, true from @region where r_regionkey = 0 union all select 'cdn', null, 'malformed', false from @region")(
+    lambda t: parse.flag_list(t.sql(f"select concat('AS', {S('c_custkey')}, '  # ', c) as value from ({_FLN}) union all select 'AS5 # src: again' as value from @region where r_regionkey = 0 union all select 'ASx' as value from @region union all select '# c' as value from @region"), "cdn").select(
+        "list", "asn", "violation", "duplicate"))
+query("src15_name_list", "select c_custkey as asn, c_name as name, case c_nationkey % 5 when 0 then 'no_source' when 1 then 'restricted_source' end as violation from @customer")(
+    lambda t: parse.name_list(t.sql(f"select concat('AS', {S('c_custkey')}, '  ', c_name, '  # src: ', case c_nationkey % 5 when 0 then 'none' when 1 then 'https://stat.ripe.net/x' else 'https://a.example/ (2024)' end) as value from @customer")).select("asn", "name", "violation"))
+query("src16_country_list", """select c_custkey as asn, case c_nationkey % 6 when 0 then null when 1 then 'DE' when 2 then 'EU' when 3 then 'UA' when 4 then 'RU' else 'FR' end as cc,
+    case c_nationkey % 6 when 3 then 'crimea' when 4 then 'crimea' when 5 then 'atlantis' end as territory, case c_nationkey % 6 when 2 then 'bad_country' when 4 then 'wrong_state' when 5 then 'unknown_territory' end as violation from @customer""")(
+    lambda t: parse.country_list(t.sql(f"""select concat('AS', {S('c_custkey')}, ' ', case c_nationkey % 6 when 0 then '--' when 1 then 'DE' when 2 then 'EU' when 3 then 'UA' when 4 then 'RU' else 'FR' end, ' # src: https://a.example/',
+        case c_nationkey % 6 when 3 then ' territory: crimea' when 4 then ' territory: crimea' when 5 then ' territory: atlantis' else '' end) as value from @customer""")).select("asn", "cc", "territory", "violation"))
+query("src17_corrections", "select c_custkey as asn, case c_nationkey % 4 when 0 then 'missing_field' when 1 then 'bad_category' when 2 then 'bad_role' end as violation from @customer")(
+    lambda t: parse.check_corrections(t.sql("""select c_custkey as asn, case when c_nationkey % 4 = 1 then 'x' else 'isp' end as category, case when c_nationkey % 4 = 2 then 'x' else 'none' end as network_role,
+        case when c_nationkey % 4 = 0 then ' ' else 'r' end as reason, 'u' as source_url, 'd' as date from @customer""")).select("asn", "violation"))
+query("src18_interval_records", f"select range_start as start4, range_end as end4, asn, case when range_start % 5 = 0 then 'unknown_field' when range_start % 5 = 1 then 'bad_hex' end as violation from {qr._ROWS}")(
+    lambda t: _records(t))
+
+
+def _records(t):
+    w = sinks.interval_json(project.to_wire(qr.intervals(t))).withColumn("s", V4.from_hex(F.col("start_hex")))
+    v = F.when(F.col("s") % 5 == 0, F.regexp_replace("value", r"\}$", ',"more":1}')).when(
+        F.col("s") % 5 == 1, F.regexp_replace("value", '"end_hex":"', '"end_hex":"0')).otherwise(F.col("value"))
+    r = parse.interval_records(w.select(v.alias("value")))
+    # A bad hex end has no number; give the row its end back from the text for the comparison.
+    end = F.coalesce("end4", V4.from_hex(F.substring("end_hex", 2, 8)))
+    return r.select("start4", end.alias("end4"), "asn", "violation")
+
+
+query("src19_dossiers", "select 200000 + c_custkey as asn, c_name as display_name, concat('Q', c_custkey) as qid, 1 as claims from @customer")(
+    lambda t: parse.dossiers(t.sql(f"""select c_custkey as ordinal, concat('{{"asn":', {S('200000 + c_custkey')}, ',"org":{{"display_name":"', c_name, '"}},"evidence":[{{"url":"u","claim":"c"}}],"external_ids":{{"wikidata_qid":"Q', {S('c_custkey')}, '"}}}}') as value from @customer""")).select(
+        "asn", "display_name", "qid", F.size("evidence").alias("claims")))
+query("src20_predictions", "select doc_id as asn, 'cdn' as labels, quality::double as confidence from @labels")(
+    lambda t: parse.predictions(t.sql(f"""select concat('{{"asn":', {S('doc_id')}, ',"labels":["cdn"],"confidence":', {S('quality')}, '}}') as value from @labels union all select '{{"asn":7,"labels":["c' as value from @region""")).select(
+        "asn", F.array_join("labels", ",").alias("labels"), "confidence"))
+query("src21_metric_history", f"""with m as (select 'v' || yr || '.01.01' as label, metric, value, yr from @metric_rows), l as (select max(yr) as y from m)
+    select metric, case when yr = y then 'previous' else 'pin' end as kind, case when yr = y then 'latest' else label end as label, value from m, l where yr >= y - 2""")(
+    lambda t: parse.metric_history(t.sql("""select case when yr = (select max(yr) from @metric_rows) then 'latest' else concat('v', cast(yr as string), '.01.01') end as label,
+        concat('{"build_id":"b","stats":', to_json(map_from_entries(collect_list(struct(metric, value)))), '}') as value from @metric_rows group by yr""")).select("metric", "kind", "label", "value"))
+query("src22_cached_evidence", "select c_custkey as asn, case when c_nationkey % 2 = 0 then c_name end as holder, case when c_nationkey % 3 = 0 then false end as pdb_present from @customer")(
+    lambda t: parse.cached_evidence(t.sql(f"""select concat('{{"asn":', {S('c_custkey')}, case when c_nationkey % 2 = 0 then concat(',"ripestat_overview":{{"holder":"', c_name, '"}}') else '' end,
+        case when c_nationkey % 3 = 0 then ',"peeringdb":{{"present":false}}' else '' end, ',"errors":{{}}}}') as value from @customer""")).select("asn", "holder", "pdb_present"))
+
+# ---------------------------------------------------------------- sinks: the text they write
+_Q = lambda c: f"coalesce('\"' || {c} || '\"', 'null')"
+query("snk1_interval_json", f"""select '{{"ip_version":4,"start_hex":"' || lpad(lower(hex(range_start)), 8, '0') || '","end_hex":"' || lpad(lower(hex(range_end)), 8, '0') || '","asn":' || coalesce(asn::varchar, 'null') || ',"as_org":' || {_Q('as_org')}
+    || ',"category":' || {_Q('category')} || ',"network_role":' || {_Q('network_role')} || ',"bad_asn":' || bad_asn || ',"vpn_provider":' || vpn_provider || ',"mobile_carrier":' || mobile_carrier || ',"enterprise_gw":' || enterprise_gw
+    || ',"cdn":' || cdn || ',"hosting_extra":' || hosting_extra || ',"vpn_range":' || vpn_range || ',"datacenter_range":' || datacenter_range || ',"core_verdict":"' || core_verdict || '","core_sources":["' || replace(core_sources, '|', '","') || '"]}}' as value from {qr._ROWS}""")(
+    lambda t: sinks.interval_json(project.to_wire(qr.intervals(t))).select("value"))
+_B = lambda c: f"{c}::int::varchar"
+query("snk2_range_csv", f"""select concat_ws(',', '4', {ip_text('range_start')}, {ip_text('range_end')}, coalesce(asn::varchar, ''), coalesce(as_org, ''), coalesce(category, ''), coalesce(network_role, ''), {_B('bad_asn')}, {_B('vpn_provider')},
+    {_B('mobile_carrier')}, {_B('enterprise_gw')}, {_B('cdn')}, {_B('hosting_extra')}, {_B('vpn_range')}, {_B('datacenter_range')}, core_verdict, core_sources) as value from {qr._ROWS}""")(
+    lambda t: sinks.csv_lines(project.to_wire(qr.intervals(t))))
+query("snk3_category_csv", "select concat_ws(',', asn::varchar, coalesce(name, ''), coalesce(cc, ''), '', '', '') as value from @names full join @countries using (asn)")(
+    lambda t: sinks.category_lines(t.names.withColumnRenamed("name", "org").join(t.countries.withColumnRenamed("cc", "country"), "asn", "full").withColumns(
+        {c: F.lit(None).cast("string") for c in ("category", "network_role", "flags")})))
+query("snk4_decision_tsv", f"""select d.net, d.len, concat_ws(chr(9), {ip_text('d.net')} || '/' || d.len, coalesce(d.origin::varchar, ''), d.origin_vis::varchar, d.total_vis::varchar, case when d.moas then '1' else '0' end,
+    coalesce(c.c, ''), coalesce(d.reason, '')) as value from {qt.DECISION} d left join (select net, len, string_agg(origin || ':' || vis, ',' order by vis desc, origin) as c from {qt._V} where origin <> -1 group by all) c on c.net = d.net and c.len = d.len""")(
+    lambda t: sinks.decision_lines(qt.decisions(t), backbone.candidate_votes(t.rib)))
+query("snk5_origin_csv", "select range_start || ',' || range_end || ',' || asn || ',' as value from @base")(lambda t: sinks.origin_lines(t.base).select("value"))
+_J = lambda c: f"coalesce('\"' || {c} || '\"', 'null')"
+query("snk6_registry_json", f"""select '{{"asn":' || asn || ',"rir":"' || rir || '","cc":' || {_J('cc')} || ',"registered":"' || registered || '","status":"' || status || '","holder":' || {_J('holder')} || '}}' as value from {qn._OK}""")(
+    lambda t: sinks.registry_json(qn.reg(t)).select("value"))
+query("snk6_holder_json", f"""select '{{"holder":"' || holder || '","part":' || part || ',"kind":"' || kind || '","size":' || size || ',"asns":[' || asns || ']}}' as value from (select holder, part, kind, size, string_agg(asn, ',' order by asn) as asns
+    from (select *, case when kind = 'pool' then asn >> 16 else 0 end as part from {qn._MEM}) group by holder, part, kind, size)""")(
+    lambda t: sinks.holder_json(registry.holder_clusters(qn.reg(t))).select("value"))
+query("snk7_quant_json", """select asn, '{"asn":' || asn || ',"quant":{"asn":' || asn || ',"rir":null,"country":null,"rpki_roas":' || n || '},"sources":[{"fields":["rpki_roas"],"source":"validated payloads","url":"u","as_of":"2024-01-01"}]}' as value
+    from (select asn, count(*) as n from @vrps group by asn)""")(
+    lambda t: sinks.quant_json(_quant(t)))
+
+
+def _quant(t):
+    empty = t.sql("select cast(null as bigint) as asn, cast(null as string) as rir, cast(null as string) as country from @region where false")
+    q = quant.quant_records({"rir": empty, "rank": empty, "rpki": quant.roa_counts(t.vrps)}, "2024-01-01", {"rpki": "u"})
+    return q
+
+
+query("snk8_draft_lines", "select c_custkey + 200000 as asn, format('AS{}  {}  # src: {} ({})', c_custkey + 200000, c_name, 'https://a.example/', '2024-01-01') as value from @customer")(
+    lambda t: sinks.draft_lines(t.sql("select c_custkey + 200000 as asn, c_name as name, 'https://a.example/' as url from @customer"), "name", "2024-01-01"))
+query("snk8_sibling_lines", f"""select m.asn, 'AS' || m.asn || '  # sibling of ' || v.via || ' (holder ' || m.holder || ', ' || coalesce(r.cc, '??') || ', registered ' || coalesce(r.registered, '?') || ') - src: u' as value from {qn._MEM} m
+    join (select holder, string_agg('AS' || asn, ',' order by asn) as via from {qn._MEM} where kind = 'siblings' and asn in (select asn from {qn._LISTED}) group by holder) v on v.holder = m.holder join {qn._OK} r on r.asn = m.asn
+    where m.kind = 'siblings' and m.asn not in (select asn from {qn._LISTED})""")(
+    lambda t: sinks.sibling_lines(registry.sibling_candidates(t.sql(f"select * from {qn._LISTED}"), qn.reg(t)), qn.reg(t), "u"))
+query("snk9_segment_tsv", f"""select concat_ws(chr(9), class, {ip_text('range_start')}, {ip_text('range_end')}, size::varchar, coalesce(a_asn, 0)::varchar, coalesce(b_asn, 0)::varchar) as value from {qt.CLASSED} where class <> 'same'""")(
+    lambda t: sinks.segment_lines(qt.classed(t)).select("value"))
+
+
+def shared_folder(t, name: str) -> str:
+    """A fresh folder below the cluster's shared one; local only where none is named."""
+    root = t.spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        return tempfile.mkdtemp(prefix=f"netorigin-{name}-")
+    import uuid
+
+    return f"{root}/{name}-{uuid.uuid4()}"
+
+
+@query("snk10_lookup_table", "select bucket, greatest(range_start, bucket * 65536) as range_start, least(range_end, bucket * 65536 + 65535) as range_end, asn, 4 as family from (select *, unnest(range(range_start >> 16, (range_end >> 16) + 1)) as bucket from @base)")
+def _(t):
+    path = shared_folder(t, "lookup") + "/table"
+    sinks.write_lookup(t.base, path)
+    return sinks.read_lookup(t.spark, path)
+
+
+@query("dq15_export_equal", "select count(*) as differences from @base where false")
+def _(t):
+    """Write the product rows as JSON lines, read them back, compare field by field."""
+    wire = project.to_wire(qr.intervals(t))
+    path = shared_folder(t, "spool") + "/intervals"
+    sinks.write_interval_json(wire, path)
+    back = parse.interval_records(t.spark.read.text(path))
+    same = back.filter("violation is null").select(F.col("ip_version").cast("int").alias("ip_version"), *wire.columns[1:])
+    return sets.table_difference(wire, same).agg(F.count("*").alias("differences"))
+
+
+# ---------------------------------------------------------------- streaming
+@query("stm1_stream_lookup", f"select event_id, ip, verdict, rule, asn from {qr._LOOKUP}")
+def _(t):
+    schema = t.events.schema
+    stream = t.spark.readStream.schema(schema).parquet(f"{t.folder}/events.parque[t]").select(
+        "event_id", (16777216 + (F.col("event_id") * 7919) % 4000000000).alias("ip"))
+    from netorigin.operators.lineage import cut
+
+    out = shared_folder(t, "stream")
+    v = stream_lookup.stream_verdicts(stream, cut(qr.segments(t)))
+    q = v.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/ckpt").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return t.spark.read.parquet(f"{out}/rows")
+
+
+@query("stm2_resumable", "select doc_id as asn, count(*) as n from @documents group by 1")
+def _(t):
+    """Two runs over the same growing input: the second finds nothing left to do."""
+    out = shared_folder(t, "resume")
+    src = t.spark.readStream.schema(t.documents.schema).parquet(f"{t.folder}/documents.parque[t]").select(F.col("doc_id").alias("asn"))
+    for _ in range(2):
+        q = src.writeStream.foreachBatch(resume.process_batch(lambda b: b.select("asn"), f"{out}/done")).option(
+            "checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start()
+        q.awaitTermination()
+    return t.spark.read.parquet(f"{out}/done").groupBy("asn").agg(F.count("*").alias("n"))
+
+
+_SANEB = """(select greatest(range_start, coalesce(top, -1) + 1) as range_start, range_end, asn from (select *, max(range_end) over (order by range_start, range_end desc, asn rows between unbounded preceding and 1 preceding) as top from @base_raw)
+    where top is null or range_end > top)"""
+
+
+def build(t) -> DataFrame:
+    return build_intervals(t.base_raw, t.vpn_raw, t.dc_raw, t.asn_meta, t.asn_lists, t.corrections, t.names)
+
+
+# The same SQL with the sanitized raw table in place of the derived base.
+_SEG = SEGMENTS.replace("@base", "sane").replace("(with b as", f"(with sane as {_SANEB}, b as", 1)
+query("full_build", f"select core_verdict, count(*) as intervals, cast(sum(n) as bigint) as addresses from (select {qr.VERDICT} as core_verdict, range_end - range_start + 1 as n from {qr.INTERVALS.replace(SEGMENTS, _SEG)}) group by 1")(
+    lambda t: build(t).groupBy("core_verdict").agg(F.count("*").alias("intervals"), F.sum(F.col("range_end") - F.col("range_start") + 1).alias("addresses")))

@@ -87,10 +87,10 @@ DERIVED = {
         case d.lang when 'en' then 'independent' when 'fr' then 'pinned' else 'weak' end as provenance
         from @labels l join @documents d on l.doc_id = d.doc_id""",
     "preds": """select doc_id as asn, case when n_chars > 2000 then case when n_chars % 3 = 0 then 'hosting_provider,cdn' else 'hosting_provider' end
-        when n_chars % 4 = 0 then 'business,education' else 'business' end as labels, ((doc_id * 37) % 101) / 100.0 as confidence
+        when n_chars % 4 = 0 then 'business,education' else 'business' end as labels, ((doc_id * 37) % 101) / cast(100 as double) as confidence
         from @documents""",
     "preds_b": """select doc_id as asn, case when n_chars > 1000 then 'hosting_provider' else 'business' end as labels,
-        ((doc_id * 53) % 101) / 100.0 as confidence from @documents""",
+        ((doc_id * 53) % 101) / cast(100 as double) as confidence from @documents""",
     # 128-bit addresses as two 64-bit patterns.
     "base6": f"""select {HI6} + k * 65536 as s_hi, cast(0 as bigint) as s_lo, max({HI6} + k * 65536 + w) as e_hi, cast(-1 as bigint) as e_lo,
         min(asn) as asn from (select o_orderkey as k, case when o_orderkey % 3 = 0 then 65535 else o_custkey % 65536 end as w,
@@ -107,7 +107,7 @@ DERIVED = {
     # Six measures per build; builds are order years.
     "metric_rows": """select m as metric, y as yr, n as value from (select concat('prio:', o_orderpriority) as m, year(o_orderdate) as y,
         count(*) as n from @orders group by 1, 2 union all select concat('status:', o_orderstatus) as m, year(o_orderdate) as y,
-        count(*) + 40 * (year(o_orderdate) % 5) * count(*) / 100 as n from @orders group by 1, 2)""",
+        cast(floor(count(*) * (100 + 7 * (year(o_orderdate) % 5)) / cast(100 as double)) as bigint) as n from @orders group by 1, 2)""",
 }
 
 
