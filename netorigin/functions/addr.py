@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from netorigin.functions import vocab
-from netorigin.functions.space import LONG_MIN, V4, V6, v6
+from netorigin.functions.space import LONG_MIN, V4, V6, unbias
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 V4_TEXT = rf"^{OCTET}(?:\.{OCTET}){{3}}$"
@@ -171,11 +171,20 @@ def block(net: str, length: int, space) -> tuple[Column, Column]:
 
 
 def inside_any(net: Column, length: Column, blocks, space) -> Column:
-    """The prefix lies inside one of the blocks (at most as long, and containing it)."""
-    hit = F.lit(False)
+    """The prefix lies inside one of the blocks (at most as long, and containing it).
+
+    Blocks of one length become one membership test on the leading bits, which
+    keeps the expression, and its generated code, small.  IPv6 blocks are at most
+    /64, so the high half decides.
+    """
+    by_len: dict[int, list[int]] = {}
     for b, l in blocks:
-        lo, hi = block(b, l, space)
-        hit = hit | ((length >= l) & (net >= lo) & (net <= hi))
+        lead = int(ipaddress.ip_network(f"{b}/{l}").network_address) >> (space.bits - l)
+        by_len.setdefault(l, []).append(lead)
+    hit = F.lit(False)
+    for l, leads in sorted(by_len.items()):
+        bits = F.shiftright(net, 32 - l) if space.version == 4 else F.shiftrightunsigned(unbias(net["hi"]), 64 - l)
+        hit = hit | ((length >= l) & bits.isin(leads))
     return hit
 
 

@@ -35,6 +35,21 @@ def origin_reject_reason(asn: Column) -> Column:
     )
 
 
+def prefix_acceptable(net: Column, length: Column, space=V4, bounds: tuple[int, int] | None = None) -> Column:
+    """No reject reason, as one plain condition: it is pushed to the scan and costs
+    far less there than a test for a null reason."""
+    lo, hi = bounds or vocab.PREFIX_BOUNDS[space.version]
+    ok = (length > 0) & (length >= lo) & (length <= hi)
+    if space.version == 6:
+        a, b = block(*vocab.V6_GLOBAL, space)
+        ok = ok & (length >= vocab.V6_GLOBAL[1]) & (net >= a) & (net <= b)
+    return ok & ~inside_any(net, length, vocab.V4_MARTIANS if space.version == 4 else vocab.V6_MARTIANS, space)
+
+
+def origin_acceptable(asn: Column) -> Column:
+    return ~((asn == 0) | (asn == 23456) | asn.between(64496, 131071) | (asn >= 4200000000))
+
+
 def path_origin(segments: Column, peer_as: Column) -> Column:
     """struct(origin, upstream, empty) of an AS path given as array<struct<type,asns>>.
 
@@ -116,8 +131,9 @@ def prefix_decisions(entries: DataFrame, space=V4, min_peers: int = vocab.MIN_PE
     collapse next, so the tie test and the counts are plain aggregates and a
     prefix with very many origins is still combined map-side.
     """
-    e = usable_entries(entries, space).filter("prefix_reason is null")
-    ok = F.col("origin_reason").isNull()
+    e = entries.filter(prefix_acceptable(F.col("net"), F.col("len"), space))
+    # The AS_SET sentinel is seen but never elected.
+    ok = (F.col("origin") == AS_SET) | origin_acceptable(F.col("origin"))
     triples = e.select("net", "len", F.when(ok, F.col("origin")).alias("origin"),
                        F.when(ok, F.col("peer_as")).alias("peer_as")).distinct()
     per_origin = triples.groupBy("net", "len", "origin").agg(F.count("peer_as").alias("vis"))
@@ -125,31 +141,34 @@ def prefix_decisions(entries: DataFrame, space=V4, min_peers: int = vocab.MIN_PE
     per_level = per_origin.groupBy("net", "len", F.when(real, F.col("vis")).alias("vis")).agg(
         F.count_if(real).alias("n"), F.min(F.when(real, F.col("origin"))).alias("low"),
         F.max(F.col("origin") == AS_SET).alias("has_set"))
-    top = F.max_by(F.struct("low", "vis", "n"), "vis")
+    # Plain columns, not a struct: fixed-width buffers keep this a hash aggregate.
     d = per_level.groupBy("net", "len").agg(
-        top.alias("top"), F.sum(F.when(F.col("vis") >= min_peers, F.col("n")).otherwise(0)).alias("above"),
+        F.max("vis").alias("top"), F.max_by("low", "vis").alias("low"), F.max_by("n", "vis").alias("ties"),
+        F.sum(F.when(F.col("vis") >= min_peers, F.col("n")).otherwise(0)).alias("above"),
         F.coalesce(F.max("has_set"), F.lit(False)).alias("has_set"))
-    total = triples.filter("peer_as is not null").select("net", "len", "peer_as").distinct().groupBy("net", "len").agg(
-        F.count("*").alias("total_vis"))
+    # Counting non-null peers (instead of filtering them) lets both branches share
+    # the shuffle of the distinct triples.
+    total = triples.select("net", "len", "peer_as").distinct().groupBy("net", "len").agg(F.count("peer_as").alias("total_vis"))
     reason = (
         F.when(F.col("top").isNull() & ~F.col("has_set"), F.lit("no_usable_origin"))
         .when(F.col("top").isNull(), F.lit("as_set_only"))
-        .when(F.col("top.vis") < min_peers, F.lit("below_min_peers"))
+        .when(F.col("top") < min_peers, F.lit("below_min_peers"))
     )
     kept = F.col("reason").isNull()
     return (
-        d.join(total, ["net", "len"], "left")
-        .withColumns({"total_vis": F.coalesce("total_vis", F.lit(0)), "reason": reason})
-        .select("net", "len", F.col("top.low").alias("origin"), F.coalesce("top.vis", F.lit(0)).alias("origin_vis"),
-                "total_vis", (kept & (F.col("above") > 1)).alias("moas"), (kept & (F.col("top.n") > 1)).alias("tie"),
-                (kept & (2 * F.col("top.vis") < F.col("total_vis"))).alias("minority"), "reason")
+        d.join(total, ["net", "len"])
+        .withColumn("reason", reason)
+        .select("net", "len", F.col("low").alias("origin"), F.coalesce("top", F.lit(0)).alias("origin_vis"),
+                "total_vis", (kept & (F.col("above") > 1)).alias("moas"), (kept & (F.col("ties") > 1)).alias("tie"),
+                (kept & (2 * F.col("top") < F.col("total_vis"))).alias("minority"), "reason")
     )
 
 
 def candidate_votes(entries: DataFrame, space=V4) -> DataFrame:
     """All candidates of all acceptable prefixes in long form (net, len, asn, vis)."""
-    e = usable_entries(entries, space).filter("prefix_reason is null and origin_reason is null")
-    return votes(e.filter(F.col("origin") != AS_SET)).withColumnRenamed("origin", "asn")
+    e = entries.filter(prefix_acceptable(F.col("net"), F.col("len"), space) & (F.col("origin") != AS_SET)
+                       & origin_acceptable(F.col("origin")))
+    return votes(e).withColumnRenamed("origin", "asn")
 
 
 def resolve_counters(decisions: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netorigin.operators.lineage import cut
 from netorigin.operators.ranges import coalesce_equal
 from netorigin.operators.scan import scan
 
@@ -22,12 +23,13 @@ def resolve_points(addresses: DataFrame, intervals: DataFrame, space, payload: l
     Copies of an address collapse before the shuffle, so a hot address costs one
     row here however often it occurs.  `intervals` must be disjoint.
     """
-    starts = intervals.select(
-        F.col("range_start").alias("pos"), F.lit(False).alias("asked"),
-        F.struct("range_start", "range_end", *payload).alias("iv"))
+    cols = ["range_end", *payload]
+    starts = intervals.select(F.col("range_start").alias("pos"), F.lit(True).alias("starts"), *cols)
     asked = addresses.select(F.col(addr).alias("pos"), F.lit(True).alias("asked")).filter("pos is not null")
+    # Disjoint intervals start once per position, so a maximum per column is the value.
     ev = starts.unionByName(asked, allowMissingColumns=True).groupBy("pos").agg(
-        F.max("asked").alias("asked"), F.max("iv").alias("iv"))
+        F.max("asked").alias("asked"), F.max("starts").alias("starts"), *[F.max(c).alias(c) for c in cols])
+    ev = ev.select("pos", "asked", F.when(F.col("starts"), F.struct(F.col("pos").alias("range_start"), *cols)).alias("iv"))
     return scan(ev, space, lasts=("iv",)).filter("asked and last_iv.range_end >= pos").select(
         F.col("pos").alias(addr), "last_iv.*")
 
@@ -90,6 +92,7 @@ def flatten_prefixes(prefixes: DataFrame, space, payload: list[str], merge: bool
     Segments between neighbouring prefix bounds are matched by their first
     address; touching segments with an equal payload are then joined.
     """
+    prefixes = cut(prefixes.select("net", "len", *payload))  # read three times below
     p = prefixes.select("net", "len", space.last(F.col("net"), F.col("len")).alias("last"))
     bounds = p.select(F.explode(F.array(F.col("net"), space.succ(F.col("last")))).alias("pos")).filter("pos is not null").distinct()
     seg = scan(bounds, space, nexts=True).select(

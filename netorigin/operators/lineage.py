@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of `spark.checkpoint.dir`.
 
-    Chained scans read their input more than once, so a plan doubles with each
-    one; a checkpoint between the stages of a long program keeps it linear and
-    survives the loss of executors.  Only a session without the setting (tests,
-    local runs) gets a folder of its own.
+    A table that is read several times is computed once, the plan stays linear, and
+    the rows survive the loss of executors.  Only a session without the setting
+    (tests, local runs) gets a folder of its own.
     """
     spark = df.sparkSession
     sc = spark.sparkContext

@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netorigin.operators.lineage import cut
 from netorigin.operators.scan import BUCKET, scan
 
 
@@ -20,35 +19,35 @@ def _any(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
-def boundary_events(df: DataFrame, space, layers: list[str], layer: str,
-                    payload: dict[str, list[str]], keys: tuple[str, ...]) -> DataFrame:
-    """+1 where a range of `layer` starts, -1 just after it ends."""
-    ddl = {l: F.struct(*payload[l]) for l in payload if l == layer}
+def boundary_events(df: DataFrame, space, layer: str, payload: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """+1 where a range of `layer` starts (with its payload), -1 just after it ends."""
+    def event(pos: Column, delta: int, opens: bool) -> Column:
+        at_start = lambda c: c if opens else F.when(F.lit(False), c)
+        return F.struct(
+            pos.alias("pos"), F.lit(delta).cast("bigint").alias(f"d_{layer}"),
+            *([at_start(F.lit(True)).alias(f"s_{layer}")] if payload else []),
+            *[at_start(F.col(c)).alias(f"p_{layer}_{c}") for c in payload])
 
-    def event(pos: Column, delta: int, with_payload: bool) -> Column:
-        fields = [pos.alias("pos"), F.lit(delta).cast("bigint").alias(f"d_{layer}")]
-        for l, body in ddl.items():
-            fields.append((body if with_payload else F.when(F.lit(False), body)).alias(f"p_{l}"))
-        return F.struct(*fields)
-
-    rows = df.select(
-        *keys,
-        F.explode(F.array(
-            event(F.col("range_start"), 1, True),
-            event(space.succ(F.col("range_end")), -1, False),
-        )).alias("e"),
-    ).select(*keys, "e.*")
-    return rows.filter(F.col("pos").isNotNull())
+    rows = df.select(*keys, F.explode(F.array(
+        event(F.col("range_start"), 1, True), event(space.succ(F.col("range_end")), -1, False))).alias("e"))
+    return rows.select(*keys, "e.*").filter(F.col("pos").isNotNull())
 
 
 def _event_table(space, layers: dict[str, DataFrame], payload: dict[str, list[str]],
                  keys: tuple[str, ...]) -> DataFrame:
-    parts = [boundary_events(df, space, list(layers), l, payload, keys) for l, df in layers.items()]
+    """One row per position.  A keyed layer starts at most once per position, so the
+    maximum of each payload column is its value; columns are aggregated one by one
+    (not as a struct) to stay in a hash aggregate."""
+    parts = [boundary_events(df, space, l, payload.get(l, []), keys) for l, df in layers.items()]
     ev = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return ev.groupBy(*keys, "pos").agg(
-        *[F.coalesce(F.sum(f"d_{l}"), F.lit(0).cast("bigint")).alias(f"d_{l}") for l in layers],
-        *[F.max(f"p_{l}").alias(f"p_{l}") for l in payload],
-    )
+    zero = F.lit(0).cast("bigint")
+    g = ev.groupBy(*keys, "pos").agg(
+        *[F.coalesce(F.sum(f"d_{l}"), zero).alias(f"d_{l}") for l in layers],
+        *[F.max(f"s_{l}").alias(f"s_{l}") for l in payload],
+        *[F.max(f"p_{l}_{c}").alias(f"p_{l}_{c}") for l in payload for c in payload[l]])
+    return g.select(
+        *keys, "pos", *[f"d_{l}" for l in layers],
+        *[F.when(F.col(f"s_{l}"), F.struct(*[F.col(f"p_{l}_{c}").alias(c) for c in payload[l]])).alias(f"p_{l}") for l in payload])
 
 
 def sweep(space, layers: dict[str, DataFrame], payload: dict[str, list[str]] | None = None,
@@ -82,7 +81,7 @@ def merge_ranges(df: DataFrame, space, keys: tuple[str, ...] = ()) -> DataFrame:
     depth = scan(ev, space, keys=keys, sums=("d_a",), keep_bucket=True)
     # Outer edges only: depth leaves zero, or falls back to it.
     edges = depth.filter("run_d_a = 0 or run_d_a = d_a").select(*keys, "pos", BUCKET, (F.col("run_d_a") > 0).alias("opens"))
-    return scan(cut(edges), space, keys=keys, nexts=True).filter("opens").select(
+    return scan(edges, space, keys=keys, nexts=True).filter("opens").select(
         *keys,
         F.col("pos").alias("range_start"),
         F.coalesce(space.pred(F.col("next_pos")), space.max()).alias("range_end"),
@@ -236,7 +235,7 @@ def coalesce_equal(df: DataFrame, space, payload: list[str]) -> DataFrame:
     """Join neighbouring disjoint rows whose whole payload is equal (null-safe)
     and which touch; a gap or any differing payload field keeps them apart."""
     d = df.select(F.col("range_start").alias("pos"), F.struct("range_end", F.struct(*payload).alias("pl")).alias("row"))
-    s = scan(cut(d), space, prevs=("row",), keep_bucket=True)
+    s = scan(d, space, prevs=("row",), keep_bucket=True)
     joined = (F.col("prev_row").isNotNull()
               & F.coalesce(space.succ(F.col("prev_row.range_end")) == F.col("pos"), F.lit(False))
               & F.col("prev_row.pl").eqNullSafe(F.col("row.pl")))

@@ -18,9 +18,25 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from netorigin.operators.lineage import cut
+
 BUCKET = "_b"
 
 
+def _bucketed(df: DataFrame, space, pos: str, by: list[str]) -> DataFrame:
+    """The input with its bucket, hash-partitioned by it and checkpointed.
+
+    A scan reads its input twice (rows and bucket summaries).  Without the cut a
+    chain of scans doubles its plan, and its work, at every step; with it the
+    positions are computed and shuffled once, and neither reading shuffles again
+    because a checkpoint keeps its partitioning.
+    """
+    if space.version == 4:
+        return cut(df.withColumn(BUCKET, space.buckets(df, pos)(F.col(pos))).repartition(*by))
+    df = cut(df)  # bounds are taken from a sample of these rows
+    return df.withColumn(BUCKET, space.buckets(df, pos)(F.col(pos)))
+
+
 def scan(
     df: DataFrame,
     space,
@@ -46,9 +62,9 @@ def scan(
     result reuses the buckets and their partitioning.
     """
     keys = tuple(keys)
-    if BUCKET not in df.columns:
-        df = df.withColumn(BUCKET, space.buckets(df, pos)(F.col(pos)))
     by = [*keys, BUCKET]
+    if BUCKET not in df.columns:
+        df = _bucketed(df, space, pos, by)
 
     summary = df.groupBy(*by).agg(
         F.min(pos).alias("_first"),

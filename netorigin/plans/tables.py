@@ -19,7 +19,7 @@ GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem
 
 
 def ip_text(n: str) -> str:
-    octet = lambda d: f"cast(cast(floor({n} / {d}) as bigint) % 256 as string)"
+    octet = lambda d: f"cast(cast(floor(({n}) / {d}) as bigint) % 256 as string)"
     return f"concat({octet(16777216)}, '.', {octet(65536)}, '.', {octet(256)}, '.', {octet(1)})"
 
 

@@ -193,8 +193,8 @@ def vrps(lines: DataFrame) -> DataFrame:
     """`AS<n>,prefix,maxlen,...` -> asn, family, net4, net6, len, maxlen; other lines are skipped."""
     p = r"^AS(\d+),([^,]+),(\d+),"
     g = lambda i: F.regexp_extract("value", p, i)
-    r = lines.filter(F.col("value").rlike(p)).select(g(1).cast("bigint").alias("asn"), cidr_to_range(g(2)).alias("r"),
-                                                     g(3).cast("int").alias("maxlen"))
+    r = lines.filter(F.col("value").rlike(p)).select(g(1).try_cast("bigint").alias("asn"), cidr_to_range(g(2)).alias("r"),
+                                                     g(3).try_cast("int").alias("maxlen"))
     return r.filter("r is not null").select("asn", F.col("r.family").alias("family"), F.col("r.start4").alias("net4"),
                                             F.col("r.start6").alias("net6"), F.col("r.len").alias("len"), "maxlen")
 
