@@ -63,7 +63,7 @@ def lpm_distinct(addresses: DataFrame, prefixes: DataFrame, space, payload: list
     are few by arithmetic and are broadcast; a longer prefix holds at most 2^15
     addresses, so no shuffled key can grow with the data.
     """
-    lengths = observed_lengths(prefixes)
+    lengths = observed_lengths(prefixes) or [0]
     body = prefixes.select("net", F.col("len").cast("int").alias("len"), F.struct("net", "len", *payload).alias("pfx"))
     found = []
     short = [l for l in lengths if l <= BOUNDED_LEN] if space.version == 4 else []
@@ -74,8 +74,6 @@ def lpm_distinct(addresses: DataFrame, prefixes: DataFrame, space, payload: list
     if long:
         found.append(_probe(addresses, addr, space, long).join(
             body.filter(F.col("len") > (BOUNDED_LEN if short else -1)), ["net", "len"]).select(addr, "len", "pfx"))
-    if not found:
-        return addresses.select(addr).limit(0).crossJoin(prefixes.limit(0))
     both = reduce(lambda a, b: a.unionByName(b), found)
     return both.groupBy(addr).agg(F.max_by("pfx", "len").alias("pfx")).select(addr, "pfx.*")
 
@@ -109,7 +107,7 @@ def flatten_prefixes(prefixes: DataFrame, space, payload: list[str], merge: bool
 def covering_prefixes(routes: DataFrame, vrps: DataFrame, space) -> DataFrame:
     """Every stored prefix that covers a route: probe only lengths that occur and
     are not longer than the route.  routes(net,len,...), vrps(net,len,...)."""
-    lengths = observed_lengths(vrps)
+    lengths = observed_lengths(vrps) or [0]
     r = routes.withColumnsRenamed({"net": "route_net", "len": "route_len"})
     probes = _probe(r, "route_net", space, lengths, F.col("route_len"))
     v = vrps.withColumn("len", F.col("len").cast("int"))

@@ -63,7 +63,7 @@ def route_states(routes: DataFrame, vrps: DataFrame, space=V4) -> DataFrame:
     route probes both keys per occurring length, so no (route, prefix) pairs
     beyond one per probe are made, however many copies a stored prefix has.
     """
-    lengths = observed_lengths(vrps)
+    lengths = observed_lengths(vrps) or [0]
     r = routes.select("net", "len", "asn").distinct()
     anyone = F.lit(-1).cast("bigint")
     v = vrps.select("net", F.col("len").cast("int").alias("len"), F.col("asn").cast("bigint").alias("asn"), "maxlen")

@@ -101,20 +101,12 @@ def subtract_ranges(a: DataFrame, b: DataFrame, space, payload: list[str] | None
 
 
 def complement(cover: DataFrame, space) -> DataFrame:
-    """Disjoint stretches of the whole address space that `cover` leaves free.
-
-    The family's two ends are known, so the space itself is the second layer.
-    """
-    zero = F.lit(0).cast("bigint") if space.version == 4 else space.pred(space.max())
-    spark = cover.sparkSession
-    one = spark.range(1)
-    if space.version == 4:
-        whole = one.select(zero.alias("range_start"), space.max().alias("range_end"))
-    else:
-        lowest = F.struct(F.lit(-(1 << 63)).alias("hi"), F.lit(-(1 << 63)).alias("lo"))
-        whole = one.select(lowest.alias("range_start"), space.max().alias("range_end"))
-    return merge_ranges(
-        sweep(space, {"a": whole, "b": cover}).filter("in_a and not in_b"), space)
+    """Disjoint stretches of the whole address space that `cover` leaves free: the
+    space itself is the second layer."""
+    half = F.lit(-(1 << 63))
+    lowest = F.lit(0).cast("bigint") if space.version == 4 else F.struct(half.alias("hi"), half.alias("lo"))
+    whole = cover.sparkSession.range(1).select(lowest.alias("range_start"), space.max().alias("range_end"))
+    return merge_ranges(sweep(space, {"a": whole, "b": cover}).filter("in_a and not in_b"), space)
 
 
 def range_join(left: DataFrame, right: DataFrame, space) -> DataFrame:

@@ -49,10 +49,10 @@ def stratified_limit(gold: DataFrame, n: int, cls: str = "provenance", key: str
     to a common level, and the last few units go class by class.
     """
     counts = gold.groupBy(cls).agg(F.count("*").alias("size"))
-    total = counts.agg(F.sum("size").alias("total"))
-    share = F.lit(float(n)) / F.col("total")
-    quota = counts.crossJoin(F.broadcast(total)).select(
-        cls, F.least(F.col("size"), F.greatest(F.lit(1), F.floor(F.col("size") * share + 0.5))).cast("bigint").alias("quota"))
+    # One row per class from here on.
+    share = F.lit(float(n)) / F.sum("size").over(Window.partitionBy(F.lit(0)))
+    quota = counts.withColumn("share", share).select(
+        cls, F.least(F.col("size"), F.greatest(F.lit(1), F.floor(F.col("size") * F.col("share") + 0.5))).cast("bigint").alias("quota"))
     # Units of each class, numbered; unit k of a class is trimmed before every
     # unit below k of any class.  One row per kept unit, so at most n + classes.
     units = quota.withColumn("k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("quota"))))
