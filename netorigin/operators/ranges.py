@@ -15,6 +15,21 @@ from pyspark.sql import functions as F
 from netorigin.operators.scan import BUCKET, scan
 
 
+SPAN = 65_536
+
+
+def explode_span(df: DataFrame, lo: Column, hi: Column, name: str) -> DataFrame:
+    """One row per whole number in [lo, hi]; nothing when hi < lo.
+
+    Two steps of at most 65,536 numbers each, so that a row with a huge span never
+    becomes one huge array.
+    """
+    d = df.withColumns({"_from": lo, "_to": hi}).filter("_to >= _from")
+    d = d.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_to") - F.col("_from")) / SPAN))))
+    first = F.col("_from") + F.col("_part") * SPAN
+    return d.withColumn(name, F.explode(F.sequence(first, F.least(F.col("_to"), first + SPAN - 1)))).drop("_from", "_to", "_part")
+
+
 def _any(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
@@ -136,13 +151,8 @@ def range_join(left: DataFrame, right: DataFrame, space) -> DataFrame:
     hi = counts.select(F.col("pos").alias("_hi_pos"), F.col("run_started").alias("_hi"))
     ranked = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns]).join(
         hi.withColumnsRenamed({"_hi_pos": "_p", "_hi": "_rank"}), F.col("r_range_start") == F.col("_p")).drop("_p")
-    pairs = (
-        left.join(lo, F.col("range_start") == F.col("_lo_pos"))
-        .join(hi, F.col("range_end") == F.col("_hi_pos"))
-        .filter("_hi > _lo")
-        .withColumn("_rank", F.explode(F.sequence(F.col("_lo") + 1, F.col("_hi"))))
-        .select(*left.columns, "_rank")
-    )
+    found = left.join(lo, F.col("range_start") == F.col("_lo_pos")).join(hi, F.col("range_end") == F.col("_hi_pos"))
+    pairs = explode_span(found, F.col("_lo") + 1, F.col("_hi"), "_rank").select(*left.columns, "_rank")
     return pairs.join(ranked, "_rank").drop("_rank")
 
 
@@ -255,10 +265,10 @@ def bucket_pieces(df: DataFrame, shift: int = 16) -> DataFrame:
     For disjoint ranges the pieces outnumber the ranges by at most the number of
     blocks.  Kept for storage layouts; joins here use ranks instead.
     """
-    b = F.explode(F.sequence(F.shiftright("range_start", shift), F.shiftright("range_end", shift)))
     rest = [c for c in df.columns if c not in ("range_start", "range_end")]
     block = F.lit(1 << shift).cast("bigint")
-    return df.withColumn("bucket", b).select(
+    d = explode_span(df, F.shiftright("range_start", shift), F.shiftright("range_end", shift), "bucket")
+    return d.select(
         "bucket",
         F.greatest(F.col("range_start"), F.col("bucket") * block).alias("range_start"),
         F.least(F.col("range_end"), (F.col("bucket") + 1) * block - 1).alias("range_end"), *rest)

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netorigin.functions import vocab
+from netorigin.operators.ranges import explode_span
 
 
 def expand_blocks(delegations: DataFrame) -> DataFrame:
     """[start, start+count) -> one row per ASN; other columns are kept."""
-    return delegations.withColumn(
-        "asn", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("count") - 1))).drop("start", "count")
+    return explode_span(delegations, F.col("start"), F.col("start") + F.col("count") - 1, "asn").drop("start", "count")
 
 
 def registry_rows(delegations: DataFrame) -> DataFrame:

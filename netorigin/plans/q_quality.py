@@ -61,7 +61,7 @@ def _drift(warn, drop, rise, band):
         r.rvalue is not null as ieff, s.metric in (select metric from ({_ACK})) as ack from {_STATE} s left join ({_REV}) r on r.metric = s.metric)))))"""
 
 
-for _n, _p in (("dq5_dq7_drift_hosting", vocab.HOSTING_POLICY), ("dq10_drift_layers", vocab.LAYER_POLICY)):
+for _n, _p in (("dq5_dq8_drift_hosting", vocab.HOSTING_POLICY), ("dq10_drift_layers", vocab.LAYER_POLICY)):
     query(_n, f"select metric, now, prev, round(drift, 6) as drift, status, baseline, slide, slide_from, review_in_effect from {_drift(*_p)}")(
         lambda t, p=_p: gates.drift(state(t), p, t.sql(_ACK), t.sql(_REV).withColumn("rvalue", F.col("rvalue").cast("bigint"))).select(
             "metric", "now", "prev", F.round("drift", 6).alias("drift"), "status", "baseline", "slide", "slide_from", "review_in_effect"))

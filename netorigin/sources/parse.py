@@ -109,16 +109,21 @@ def as_lines(lines: DataFrame) -> DataFrame:
     return lines.select(F.when(n != "", n).cast("bigint").alias("asn")).filter("asn is not null").distinct()
 
 
-AS_META = "array<struct<asn:bigint,handle:string,description:string,countryCode:string,category:string,networkRole:string>>"
+AS_RECORD = "asn bigint, handle string, description string, countryCode string, category string, networkRole string"
 
 
-def as_metadata(docs: DataFrame) -> DataFrame:
-    """JSON array documents(value, ordinal) -> one record per ASN, the last one wins."""
-    r = docs.select("ordinal", F.posexplode(F.from_json("value", AS_META)).alias("i", "r")).select(
-        F.struct("ordinal", "i").alias("o"), "r.*").filter("asn is not null")
-    return latest_by(r.select(
+def as_metadata_records(records: DataFrame) -> DataFrame:
+    """Metadata records with an `ordinal` -> one per ASN, the last one wins."""
+    return latest_by(records.filter("asn is not null").select(
         "asn", F.coalesce("description", "handle").alias("description"), F.col("countryCode").alias("country"),
-        "category", F.col("networkRole").alias("network_role"), "o"), "asn", "o")
+        "category", F.col("networkRole").alias("network_role"), "ordinal"), "asn", "ordinal")
+
+
+def as_metadata(docs: DataFrame) -> DataFrame:
+    """JSON arrays in documents(value, ordinal)."""
+    array = "array<struct<" + AS_RECORD.replace(" bigint", ":bigint").replace(" string", ":string").replace(", ", ",") + ">>"
+    r = docs.select("ordinal", F.posexplode(F.from_json("value", array)).alias("i", "r"))
+    return as_metadata_records(r.select("r.*", F.struct("ordinal", "i").alias("ordinal")))
 
 
 V = "struct<value:string>"

@@ -40,8 +40,8 @@ def as_lines(spark, path) -> DataFrame:
 
 
 def as_metadata(spark, path) -> DataFrame:
-    """A JSON array is one document per file; several files are taken in path order."""
-    return parse.as_metadata(documents(spark, path).withColumnRenamed("path", "ordinal"))
+    """A large JSON array is streamed record by record, never held as one value."""
+    return parse.as_metadata_records(numbered(spark.read.schema(parse.AS_RECORD).json(path, multiLine=True)))
 
 
 def sparql(spark, path) -> DataFrame:

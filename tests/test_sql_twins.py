@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 QUICK = ["rng1_merge", "rng6_sanitize", "rng8_overlay_share", "win5_sweep", "win6_coalesce", "win4_flatten", "join2_longest_prefix", "cls10_route_states",
-         "win2_prefix_decision", "cls4_build_flags", "agg11_holder_clusters", "agg16_label_scores", "dq5_dq7_drift_hosting", "cls15_draft_names", "src7_delegations", "addr12_cidr_pieces"]
+         "win2_prefix_decision", "cls4_build_flags", "agg11_holder_clusters", "agg16_label_scores", "dq5_dq8_drift_hosting", "cls15_draft_names", "src7_delegations", "addr12_cidr_pieces"]
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables are not here")
 
 
