@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from netorigin.functions import vocab
-from netorigin.functions.space import LONG_MIN, V4, V6, unbias
+from netorigin.functions.space import LONG_MIN, V4, V6, unbias, v6
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 V4_TEXT = rf"^{OCTET}(?:\.{OCTET}){{3}}$"

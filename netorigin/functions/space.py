@@ -8,7 +8,7 @@ ordering equal to the numeric ordering of the 128-bit address.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LONG_MIN = -(1 << 63)
@@ -137,7 +137,7 @@ class V6:
         fraction = min(1.0, parts * 64 / n)
         rows = (
             positions.select(F.col(pos).alias("p")).sample(fraction, seed=7)
-            .withColumn("tile", F.ntile(parts).over(_order("p")))
+            .withColumn("tile", F.ntile(parts).over(Window.orderBy("p")))
             .groupBy("tile").agg(F.min("p").alias("p")).orderBy("p").collect()
         )
         return bounds_bucket([(r.p.hi, r.p.lo) for r in rows[1:]])
@@ -189,12 +189,6 @@ class V6:
         )
 
 
-def _order(col: str):
-    from pyspark.sql import Window
-
-    return Window.orderBy(col)
-
-
 def bounds_bucket(bounds: list[tuple[int, int]]):
     """Bucket number of an address = how many sorted bounds are <= it.
 

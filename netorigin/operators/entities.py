@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -186,8 +188,6 @@ def claim_names_country(claim: Column, cc: Column, city: Column) -> Column:
     The pattern per country is a literal; the city is looked up literally with
     its neighbours checked, so no per-row pattern has to be compiled.
     """
-    import re
-
     out = F.lit(False)
     for code, words in vocab.COUNTRY_ALIASES.items():
         alt = "|".join(re.escape(w) for w in words)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netorigin.functions import vocab
-from netorigin.functions.addr import int_to_v4, v4_to_int, v6_text, v6_to_pair
+from netorigin.functions.addr import int_to_v4, overlaps, v4_to_int, v6_block, v6_text, v6_to_pair
 from netorigin.functions.space import V4
 from netorigin.operators.joins import resolve_points
 from netorigin.operators.scan import scan
@@ -57,8 +59,6 @@ def metric_state(now: DataFrame, history: DataFrame) -> DataFrame:
     """
     n = now.select("metric", F.col("value").alias("now"))
     prev = history.filter("kind = 'previous'").groupBy("metric").agg(F.max("value").alias("prev"))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("metric").orderBy(F.col("label").desc())
     newest = history.filter("kind = 'pin'").withColumn("r", F.row_number().over(w)).filter(F.col("r") <= vocab.PINS_CONSULTED)
     pins = newest.groupBy("metric").agg(F.transform(
@@ -278,8 +278,6 @@ def tiling(pieces: DataFrame, intervals: DataFrame) -> DataFrame:
 
 def mapped_collisions(intervals6: DataFrame) -> DataFrame:
     """IPv6 rows that touch ::/96 or ::ffff:0:0/96; both counts must be 0."""
-    from netorigin.functions.addr import overlaps, v6_block
-
     s, e = F.col("range_start"), F.col("range_end")
     return intervals6.agg(F.count_if(overlaps(s, e, *v6_block("::", 96))).alias("compatible"),
                           F.count_if(overlaps(s, e, *v6_block("::ffff:0:0", 96))).alias("mapped"))
@@ -310,7 +308,5 @@ def snapshot_violations(snapshots: DataFrame, rows: DataFrame) -> DataFrame:
 
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """(metric, value) rows of a build, one per layer."""
-    from functools import reduce
-
     return reduce(lambda a, b: a.unionByName(b), [
         df.agg(F.lit(name).alias("metric"), F.count("*").alias("value")) for name, df in layers.items()])

@@ -23,20 +23,6 @@ from netorigin.operators.lineage import cut
 BUCKET = "_b"
 
 
-def _bucketed(df: DataFrame, space, pos: str, by: list[str]) -> DataFrame:
-    """The input with its bucket, hash-partitioned by it and checkpointed.
-
-    A scan reads its input twice (rows and bucket summaries).  Without the cut a
-    chain of scans doubles its plan, and its work, at every step; with it the
-    positions are computed and shuffled once, and neither reading shuffles again
-    because a checkpoint keeps its partitioning.
-    """
-    if space.version == 4:
-        return cut(df.withColumn(BUCKET, space.buckets(df, pos)(F.col(pos))).repartition(*by))
-    df = cut(df)  # bounds are taken from a sample of these rows
-    return df.withColumn(BUCKET, space.buckets(df, pos)(F.col(pos)))
-
-
 def scan(
     df: DataFrame,
     space,
@@ -59,12 +45,16 @@ def scan(
     next_pos position of the following row    when nexts
 
     With `keep_bucket` the bucket column stays, so that a second scan over the
-    result reuses the buckets and their partitioning.
+    result reuses the buckets, their partitioning and the same cut.
     """
     keys = tuple(keys)
     by = [*keys, BUCKET]
     if BUCKET not in df.columns:
-        df = _bucketed(df, space, pos, by)
+        # A scan reads its input twice (rows and bucket summaries), so a chain of
+        # scans would double its plan, and its work, at every step.  Cut here, the
+        # positions are computed once.
+        df = cut(df)
+        df = df.withColumn(BUCKET, space.buckets(df, pos)(F.col(pos)))
 
     summary = df.groupBy(*by).agg(
         F.min(pos).alias("_first"),

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from netorigin.functions import addr, flags, text as tx, vocab
 from netorigin.functions.space import V4, V6, v6
-from netorigin.operators import backbone
+from netorigin.operators import entities
+from netorigin.operators.ranges import merge_ranges
 from netorigin.plans.catalog import query
 from netorigin.plans.tables import CATS, ROLES, code, hex128, ip_text, merged, pow2, u128
 
@@ -67,8 +68,6 @@ query("addr12_cidr_pieces", f"""with r as ({merged('select * from @vpn_raw')}),
 
 
 def _vpn(t):
-    from netorigin.operators.ranges import merge_ranges
-
     return merge_ranges(t.vpn_raw, V4)
 
 
@@ -139,7 +138,7 @@ def _claims(t):
 
 query("str7_claim_country", """select c_custkey as id, case c_nationkey % 4 when 0 then c_custkey % 6 in (0, 2) when 1 then c_custkey % 6 = 4
     when 2 then c_custkey % 6 in (5, 2) else false end as hit from @customer""")(
-    lambda t: _claims(t).select("id", __import__("netorigin.operators.entities", fromlist=["x"]).claim_names_country(F.col("claim"), F.col("cc"), F.col("city")).alias("hit")))
+    lambda t: _claims(t).select("id", entities.claim_names_country(F.col("claim"), F.col("cc"), F.col("city")).alias("hit")))
 _SQ = lambda e: f"nullif(trim(regexp_replace({e}, '\\s+', ' ', 'g')), '')"
 query("str8_page_text", "select page_id, " + _SQ(r"regexp_extract(html, '(?is)<title[^>]*>\s*(.{1,300}?)\s*</title>', 1)") + " as title, "
       + _SQ(r"""coalesce(nullif(regexp_extract(html, '(?is)<meta[^>]+name=["'']description["''][^>]+content=["''](.{1,300}?)["'']', 1), ''),

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netorigin.functions.space import V4, V6
-from netorigin.operators import backbone, joins, project, quant, ranges, registry, sets
+from netorigin.operators import backbone, project, quant, registry, sets
+from netorigin.operators.lineage import cut
 from netorigin.plans import q_ranges as qr, q_networks as qn, q_routing as qt
 from netorigin.plans.build import build_intervals
 from netorigin.plans.catalog import query
@@ -146,8 +148,6 @@ def shared_folder(t, name: str) -> str:
     root = t.spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         return tempfile.mkdtemp(prefix=f"netorigin-{name}-")
-    import uuid
-
     return f"{root}/{name}-{uuid.uuid4()}"
 
 
@@ -175,8 +175,6 @@ def _(t):
     schema = t.events.schema
     stream = t.spark.readStream.schema(schema).parquet(f"{t.folder}/events.parque[t]").select(
         "event_id", (16777216 + (F.col("event_id") * 7919) % 4000000000).alias("ip"))
-    from netorigin.operators.lineage import cut
-
     out = shared_folder(t, "stream")
     v = stream_lookup.stream_verdicts(stream, cut(qr.segments(t)))
     q = v.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/ckpt").outputMode("append").trigger(availableNow=True).start()

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from netorigin.functions import vocab
-from netorigin.functions.space import V4, V6, v6
+from netorigin.functions.space import v6
 from netorigin.operators import entities, evaluate, joins, quant, registry, sampling, sets
 from netorigin.plans.catalog import query
-from netorigin.plans.q_ranges import dc, vpn
-from netorigin.plans.tables import CATS, DC, merged, pow2
+from netorigin.plans.q_ranges import dc
+from netorigin.plans.tables import DC, merged, pow2
 
 # ---------------------------------------------------------------- registry
 _EXP = "(select *, start + unnest(range(0, count)) as asn from @delegation_blocks)"

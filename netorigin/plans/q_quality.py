@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from netorigin.functions import addr, vocab
-from netorigin.functions.space import V4
-from netorigin.operators import classify, gates, sampling, sets
+from netorigin.functions.space import v6
+from netorigin.operators import classify, entities, gates, sampling
 from netorigin.plans import q_ranges as qr
 from netorigin.plans.catalog import query
-from netorigin.plans.q_functions import _SP  # noqa: F401
-from netorigin.plans.tables import FLAGS, INTERVALS, SEGMENTS, VPN, DC, STAMPED, hex128, ip_text, u128
+from netorigin.plans.tables import DC, INTERVALS, VPN, ip_text
 
 _COUNTS = """select o_orderpriority as feed, case when o_orderstatus = 'F' then 'origin' when o_orderstatus = 'O' then 'cidr' else 'metadata' end as kind, count(*) as good,
     count(*) filter (where o_custkey % 97 = 0) as bad from @orders group by 1, 2"""
@@ -22,7 +21,7 @@ _TOV = "select 200000 + c_custkey as asn, case c_nationkey % 4 when 0 then 'crim
 _TCC = "select 200000 + c_custkey as asn, case c_custkey % 3 when 0 then 'UA' when 1 then 'GE' else 'TR' end as cc from @customer"
 query("dq3_territory", f"""select asn, territory, state, cc from (select *, case territory when 'crimea' then 'UA' when 'abkhazia' then 'GE' else 'CY' end as state from ({_TOV}) where territory is not null)
     join ({_TCC}) using (asn) where cc <> state""")(
-    lambda t: __import__("netorigin.operators.entities", fromlist=["x"]).territory_violations(t.sql(_TOV), t.sql(_TCC)))
+    lambda t: entities.territory_violations(t.sql(_TOV), t.sql(_TCC)))
 _REFL = "(select distinct asn from @asn_lists where list in ('hosting_extra', 'bad_asn'))"
 _HOST = "(select asn from @asn_meta where category = 'hosting')"
 query("dq4_reference_coverage", f"""select h as hosting_asns, r as reference_asns, c as coverage, c >= 0.6 as coverage_ok, h >= 10000 as hosting_ok from (
@@ -84,7 +83,6 @@ query("dq12_refind", "select count(*) as mismatches from @base where false")(
 _PANEL = "select distinct 16777216 + p_partkey * 5003 as ip, case when p_size % 2 = 0 then 'vpn' else 'hosting' end as want_verdict, cast(null as string) as want_rule, cast(null as bigint) as want_asn from @part"
 query("dq13_panel", f"select p.ip, p.want_verdict, 'vpn' as verdict from ({_PANEL}) p where want_verdict <> 'vpn'")(
     lambda t: gates.panel_failures(t.sql(_PANEL), classify.lookup(t.sql(_PANEL), qr.segments(t))).select("ip", "want_verdict", "verdict"))
-_IV = "select range_start, range_end, asn % 3 as p from @base_raw"
 query("dq14_interval_invariants", """select violation, n::bigint as n from (select 'inverted' as violation, count(*) filter (range_end < range_start) as n from @base union all
     select 'overlap', count(*) filter (range_start <= l) from (select *, lag(range_end) over (order by range_start) as l from @base) union all
     select 'not_coalesced', count(*) filter (l + 1 = range_start and p = asn % 3) from (select *, lag(range_end) over (order by range_start) as l, lag(asn % 3) over (order by range_start) as p from @base))""")(
@@ -108,8 +106,6 @@ query("dq19_collisions", "select count(*) filter (s_hi = 0 and (s_lo >= 0 and s_
 
 
 def _six(t):
-    from netorigin.functions.space import v6
-
     d = t.sql("select p_partkey * 140737488000 as s, p_partkey * 140737488000 + 5000 as e from @part")
     z = F.lit(0).cast("bigint")
     return d.select(v6(z, F.col("s")).alias("range_start"), v6(z, F.col("e")).alias("range_end"))

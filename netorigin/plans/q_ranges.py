@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netorigin.functions import flags as fl
 from netorigin.functions.space import V4, V6, v6
-from netorigin.operators import backbone, classify, compilation, joins, overlay, profile, project, ranges
+from netorigin.operators import classify, compilation, joins, overlay, profile, project, ranges
 from netorigin.plans.catalog import query
-from netorigin.plans.tables import (CATEGORY, DC, FLAGS, HI6, INTERVALS, ROLE, SEGMENTS, SOURCES_TEXT, STAMPED, VERDICT,
+from netorigin.plans.tables import (CATEGORY, DC, FLAGS, INTERVALS, ROLE, SEGMENTS, SOURCES_TEXT, STAMPED, VERDICT,
                                     VPN, hex128, merged, pow2, ranges6, u128)
 
 PAIR = "range_start, range_end"
@@ -62,14 +61,11 @@ query("rng3_subtract", f"select {PAIR}, asn from {_CUT} where in_a and not in_b"
 _COVER = f"({merged('select range_start, range_end from @base')})"
 _FREE = f"""(select range_end + 1 as range_start, coalesce(lead(range_start) over (order by range_start) - 1, 4294967295) as range_end from {_COVER}
     union all select 0, min(range_start) - 1 from {_COVER})"""
+_WANTED = """select c_custkey as id, 16777216 + (c_custkey * 9001) % 4261412864 as range_start,
+    16777216 + (c_custkey * 9001) % 4261412864 + (c_nationkey + 1) * 640 as range_end from @customer"""
 query("rng4_gaps", f"""select greatest(c.range_start, f.range_start) as range_start, least(c.range_end, f.range_end) as range_end, c.id
-    from (select c_custkey as id, r.* from @customer join (select range_start, range_end, row_number() over (order by range_start, range_end) as n from @dc_raw) r
-    on r.n = c_custkey + 1) c join {_FREE} f on c.range_start <= f.range_end and f.range_start <= c.range_end""".replace(
-    "(select c_custkey as id, r.* from @customer join (select range_start, range_end, row_number() over (order by range_start, range_end) as n from @dc_raw) r\n    on r.n = c_custkey + 1)",
-    "(select c_custkey as id, 16777216 + (c_custkey * 9001) % 4261412864 as range_start, 16777216 + (c_custkey * 9001) % 4261412864 + (c_nationkey + 1) * 640 as range_end from @customer)"))(
-    lambda t: ranges.gaps(t.sql("select c_custkey as id, 16777216 + (c_custkey * 9001) % 4261412864 as range_start, "
-                                "16777216 + (c_custkey * 9001) % 4261412864 + (c_nationkey + 1) * 640 as range_end from @customer"),
-                          t.base.select("range_start", "range_end"), V4))
+    from ({_WANTED}) c join {_FREE} f on c.range_start <= f.range_end and f.range_start <= c.range_end""")(
+    lambda t: ranges.gaps(t.sql(_WANTED), t.base.select("range_start", "range_end"), V4))
 query("rng5_union_size", f"""select asn, cast(sum(range_end - range_start + 1) as bigint) as addresses from ({merged('select * from @base_raw', 'asn')}) group by asn""")(
     lambda t: ranges.union_size(t.base_raw, V4, ("asn",)))
 _SANE = """(select *, case when range_start > coalesce(top, -1) then 'keep' when range_end > top then 'clip' else 'drop' end as action from (

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from netorigin.functions import addr, vocab
-from netorigin.functions.space import V4, V6, v6
+from netorigin.functions.space import V6, v6
 from netorigin.operators import backbone, compare, joins
+from netorigin.operators.lineage import cut
 from netorigin.plans.catalog import query
 from netorigin.plans.tables import HI6, pow2
 
@@ -170,8 +171,6 @@ _CLS9 = f"""(with dec as (select * from {DECISION}), fb as {_FLAT.replace(DECISI
 
 
 def cls9(t):
-    from netorigin.operators.lineage import cut
-
     d = cut(decisions(t))
     b = backbone.origin_ranges(d)
     seg = cut(compare.align(t.sql(f"select * from {_A50}"), b))
