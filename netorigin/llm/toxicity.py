@@ -7,6 +7,7 @@ descent on a bounded sample, so most weights are exactly zero; the weights trave
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,18 +18,38 @@ from pyspark.sql import functions as F
 from netorigin.llm.columns import blocks
 
 SAMPLE = 6_000  # labelled rows at most in the fit: those of least hash of their id
-MIN_DOCS = 4
+MIN_DOCS = 5
 WORD = re.compile(r"[^\W\d_]+")
+BEGINNINGS = range(4, 10)  # letters; words are inflected at the end
+SPACE = 1 << 22
+LIMIT = 300_000
+
+
+class Features(dict):
+    """word -> numbers of its features (the word and its beginnings) among `only`, or all; remembers up to `LIMIT` words."""
+
+    def __init__(self, only: set[int] | None = None):
+        self.only = only
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        names = [word + "$", *(word[:n] for n in BEGINNINGS if n <= len(word))]
+        got = tuple(x for x in (zlib.crc32(n.encode()) % SPACE for n in names) if self.only is None or x in self.only)
+        if len(self) < LIMIT:
+            self[word] = got
+        return got
+
+    def of(self, text: str | None) -> set[int]:
+        return set().union(*map(self.__getitem__, set(WORD.findall((text or "").lower()))))
 
 
 @dataclass(frozen=True)
 class Model:
-    weights: dict[str, float]
+    weights: dict[int, float]
     thresholds: tuple[float, ...]
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        get = self.weights.get
-        return np.array([sum(w for w in map(get, set(WORD.findall((t or "").lower()))) if w) for t in texts], dtype=float)
+        known = Features(set(self.weights))
+        return np.array([sum(map(self.weights.__getitem__, known.of(t))) for t in texts], dtype=float)
 
     def above(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > j) per row and threshold."""
@@ -46,59 +67,65 @@ def grades(labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, graded: DataFrame, text: str = "text", doc: str = "doc_id", sample: int = SAMPLE,
-        l1: float = 3e-4, rounds: int = 1500) -> Model:
+        l1: float = 0.002, l2: float = 1e-3, rounds: int = 200) -> Model:
     """Model of at most `sample` labelled documents.  Without documents of some grade its threshold stays beyond reach.
 
-    Only the distinct words of the sampled documents reach the driver.
+    Only the feature numbers of the sampled documents reach the driver.
     """
     picked = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    words = F.array_distinct(F.regexp_extract_all(low, F.lit(r"\p{L}+"), F.lit(0)))
-    rows = (docs.select(F.col(doc).alias("doc_id"), F.col(text)).join(F.broadcast(picked), "doc_id")
-            .select("grade", words.alias("w")).limit(sample).toPandas())
+
+    def features(batches):
+        known = Features()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("grade"), pa.array([sorted(known.of(t)) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))],
+                                             names=["grade", "f"])
+
+    rows = (docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), "doc_id").select("grade", "text")
+            .mapInArrow(features, "grade int, f array<int>").limit(sample).toPandas())
     top = 2
-    count: dict[str, int] = {}
-    for ws in rows.w:
-        for w in ws:
-            count[w] = count.get(w, 0) + 1
-    vocab = {w: i for i, w in enumerate(sorted(w for w, n in count.items() if n >= MIN_DOCS))}
-    if not len(rows) or not vocab:
+    none = np.zeros(0, dtype=np.int64)
+    at = np.concatenate([none, *(np.full(len(f), i) for i, f in enumerate(rows.f))])
+    ids = np.concatenate([none, *(np.asarray(f, dtype=np.int64) for f in rows.f)])
+    often = np.flatnonzero(np.bincount(ids, minlength=SPACE) >= MIN_DOCS)
+    if not len(often):
         return Model({}, (10.0, 20.0))
-    at = np.concatenate([np.full(len(ws), i) for i, ws in enumerate(rows.w)]).astype(np.int64)
-    ids = np.array([vocab.get(w, -1) for ws in rows.w for w in ws], dtype=np.int64)
-    at, ids = at[ids >= 0], ids[ids >= 0]
+    vocab = np.full(SPACE, -1, dtype=np.int64)
+    vocab[often] = np.arange(len(often))
+    at, ids = at[vocab[ids] >= 0], vocab[ids[vocab[ids] >= 0]]
     y = rows.grade.to_numpy()
     over = (y[:, None] > np.arange(top)).astype(float)
-    n, m = len(y), len(vocab)
+    n, m = len(y), len(often)
     share = np.clip(over.mean(0), 1e-4, 1 - 1e-4)
     theta = np.log((1 - share) / share)
     theta[1:] = np.maximum(theta[1:], theta[:-1] + 0.1)
-    scale = 1 / np.sqrt(1 + np.bincount(ids, minlength=m) / 50)  # common words count for less
-
     def total(v):  # X v, one number a document
-        return np.bincount(at, weights=(v * scale)[ids], minlength=n)
+        return np.bincount(at, weights=v[ids], minlength=n)
 
     def back(r):  # X' r, one number a word
-        return np.bincount(ids, weights=r[at], minlength=m) * scale
+        return np.bincount(ids, weights=r[at], minlength=m)
 
     x = np.ones(m)
     for _ in range(30):
         x = back(total(x))
         x /= np.linalg.norm(x)
     rate = 1 / (top / 4 * (np.linalg.norm(total(x)) ** 2 / n + 1))  # below the inverse curvature
-    w, v, z, tt = np.zeros(m), np.zeros(m), theta.copy(), 1.0
-    for _ in range(rounds):  # accelerated proximal gradient
-        r = 1 / (1 + np.exp(np.clip(z - total(v)[:, None], -500, 500))) - over
-        nxt = v - rate * back(r.sum(1)) / n
-        nxt = np.sign(nxt) * np.maximum(np.abs(nxt) - rate * l1, 0)
-        th = z + rate * r.sum(0) / n
-        th[1:] = np.maximum(th[1:], th[:-1] + 0.05)
-        t2 = (1 + np.sqrt(1 + 4 * tt * tt)) / 2
-        v, z = nxt + (tt - 1) / t2 * (nxt - w), th + (tt - 1) / t2 * (th - theta)
-        w, theta, tt = nxt, th, t2
-    w = w * scale
-    names = sorted(vocab, key=vocab.get)
-    return Model({names[i]: float(w[i]) for i in np.flatnonzero(w)}, tuple(map(float, theta)))
+    def descend(w, theta, l1, l2, free):
+        """Accelerated proximal gradient over the words in `free`."""
+        v, z, tt = w.copy(), theta.copy(), 1.0
+        for _ in range(rounds):
+            r = 1 / (1 + np.exp(np.clip(z - total(v)[:, None], -500, 500))) - over
+            nxt = np.where(free, v - rate * (back(r.sum(1)) / n + l2 * v), 0)
+            nxt = np.sign(nxt) * np.maximum(np.abs(nxt) - rate * l1, 0)
+            th = z + rate * r.sum(0) / n
+            th[1:] = np.maximum(th[1:], th[:-1] + 0.05)
+            t2 = (1 + np.sqrt(1 + 4 * tt * tt)) / 2
+            v, z = nxt + (tt - 1) / t2 * (nxt - w), th + (tt - 1) / t2 * (th - theta)
+            w, theta, tt = nxt, th, t2
+        return w, theta
+
+    w, theta = descend(np.zeros(m), theta, l1, 0.0, np.ones(m, dtype=bool))  # picks the words
+    w, theta = descend(w, theta, 0.0, l2, w != 0)  # fits them without the pull to zero
+    return Model({int(often[i]): float(w[i]) for i in np.flatnonzero(w)}, tuple(map(float, theta)))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", doc: str = "doc_id") -> DataFrame:
