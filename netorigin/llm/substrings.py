@@ -23,10 +23,11 @@ from pyspark.sql import types as T
 
 from netorigin.llm.columns import blocks, bucket_of, ordered_buckets, parts
 from netorigin.llm.wordhash import KNOWN, WORD, mix, runs
+from netorigin.operators.lineage import cut
 
 WINDOW = 13
-BATCH_BYTES = 16_000_000
-GROUP_WINDOWS = 2_000_000
+BATCH_BYTES = 6_000_000
+GROUP_WINDOWS = 1_000_000
 FREQUENT = 8_192  # a word with more than one in so many places is frequent; at most so many words are
 
 
@@ -59,7 +60,7 @@ def frequent_words(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array([None, *codes[often].view(np.int64).tolist()], pa.int64()),
                                           pa.array([total, *counts[often].tolist()], pa.int64())], names=["word", "n"])
 
-    got = docs.select(F.lit(0).alias("k"), F.col(text).alias("text")).mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    got = cut(docs.select(F.lit(0).alias("k"), F.col(text).alias("text")).mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
     total = got.agg(F.sum(F.when(F.col("word").isNull(), F.col("n")))).first()[0] or 0
     words = got.filter(F.col("word").isNotNull() & (F.col("n") * FREQUENT > total)).select("word").collect()
     return np.sort(np.array([r[0] for r in words], dtype=np.int64).view(np.uint64)), total
@@ -84,13 +85,14 @@ def prefix_group(codes: np.ndarray, frequent: np.ndarray, groups: int) -> np.nda
 
 
 def windows_of(texts: list, frequent: np.ndarray, groups: int):
-    """Per text its words; for all texts the windows in a row: hash, group, and the number of the text."""
-    words = [WORD.findall(t or "") for t in texts]
-    codes = [KNOWN.of(w) for w in words]
-    hashes = [runs(c, WINDOW) for c in codes]
-    whose = np.repeat(np.arange(len(texts)), [len(h) for h in hashes])
-    none = np.zeros(0, dtype=np.uint64)
-    return words, np.concatenate([none, *hashes]), np.concatenate([np.zeros(0, np.int64), *(prefix_group(c, frequent, groups) for c in codes)]), whose
+    """All windows of the texts in a row: hash, group where `groups` is given, and the number of the text.  Words are not kept."""
+    hashes, dealt = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    for t in texts:
+        codes = KNOWN.of(WORD.findall(t or ""))
+        hashes.append(runs(codes, WINDOW))
+        if groups:
+            dealt.append(prefix_group(codes, frequent, groups))
+    return np.concatenate(hashes), np.concatenate(dealt), np.repeat(np.arange(len(texts), dtype=np.int32), [len(h) for h in hashes[1:]])
 
 
 def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", digests_only: bool = False) -> DataFrame:
@@ -116,7 +118,7 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", diges
         return np.where(null, np.iinfo(np.int64).max, ids)
 
     def send(t: pa.Table) -> pa.Table:
-        _, h, g, _ = windows_of(t.column("_text").to_pylist(), frequent, groups)
+        h, g, _ = windows_of(t.column("_text").to_pylist(), frequent, groups)
         order = np.lexsort((h, g))
         h, g = h[order], g[order]
         new = np.ones(len(h), dtype=bool)
@@ -142,9 +144,9 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", diges
         return pa.table({"batch": pa.array(batch[at], pa.int32()),
                          "repeats": pa.array([pack_sorted(x) for x in np.split(h, at[1:])] if len(at) else [], pa.binary())})
 
-    def remove(t: pa.Table, told: pa.Table) -> pa.Table:
-        texts, ids = t.column("_text").to_pylist(), ids_of(t)
-        words, h, _, whose = windows_of(texts, frequent, groups)
+    def remove(mine: pa.Table, told: pa.Table) -> pa.Table:
+        texts, ids = mine.column("_text").to_pylist(), ids_of(mine)
+        h, _, whose = windows_of(texts, frequent, 0)
         theirs = np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(x) for x in told.column("repeats").to_pylist())])
         gone = np.isin(h, theirs)
         order = np.lexsort((ids[whose], h))
@@ -155,7 +157,8 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", diges
         gone[order] |= owner > least
         edge = np.searchsorted(whose, np.arange(len(texts) + 1))
         rows = []
-        for i, w in enumerate(words):
+        for i, t in enumerate(texts):
+            w = WORD.findall(t or "")
             step = np.zeros(len(w) + 1, dtype=np.int64)
             start = np.flatnonzero(gone[edge[i]:edge[i + 1]])
             np.add.at(step, start, 1)
@@ -164,7 +167,7 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", diges
             kept = " ".join([x for x, k in zip(w, keep.tolist(), strict=True) if k]) if len(start) else " ".join(w)
             rows.append((len(w), int(len(w) - keep.sum()), kept, hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest()))
         n, k, kept, sha = zip(*rows, strict=True) if rows else ((), (), (), ())
-        return pa.table({"_row": t.column("_row"), "_id": t.column("_id"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(k, pa.int64()),
+        return pa.table({"_row": mine.column("_row"), "_id": mine.column("_id"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(k, pa.int64()),
                          "kept_text": pa.array([None] * len(kept) if digests_only else kept, pa.string()), "kept_sha256": pa.array(sha, pa.string())})
 
     sent = d.groupBy("batch").applyInArrow(send, "group bigint, batch int, suffixes binary")
