@@ -32,8 +32,8 @@ def squeeze(text: Column) -> Column:
 
 
 def clean_label(text: Column, normalize: bool = True) -> Column:
-    # Pure ASCII is already NFC, so only other text goes to Python.
-    base = F.when(text.rlike(r"^\p{ASCII}*$"), text).otherwise(nfc(text)) if normalize else text
+    # Pure ASCII is already NFC: such rows go to Python as nulls.
+    base = F.coalesce(nfc(F.when(~text.rlike(r"^\p{ASCII}*$"), text)), text) if normalize else text
     return squeeze(base)
 
 

@@ -181,9 +181,10 @@ def resolve_counters(decisions: DataFrame) -> DataFrame:
     return one.select(F.explode("a").alias("e")).select("e.*")
 
 
-def links(entries: DataFrame) -> DataFrame:
-    """Distinct (upstream, origin) pairs."""
-    return entries.filter((F.col("upstream") > 0) & (F.col("origin") > 0)).select("upstream", "origin").distinct()
+def links(entries: DataFrame, space=V4) -> DataFrame:
+    """Distinct (upstream, origin) pairs of entries whose prefix and origin are accepted."""
+    ok = prefix_acceptable(F.col("net"), F.col("len"), space) & origin_acceptable(F.col("origin"))
+    return entries.filter((F.col("upstream") > 0) & (F.col("origin") > 0) & ok).select("upstream", "origin").distinct()
 
 
 def range_totals(ranges: DataFrame, space=V4) -> DataFrame:

@@ -57,9 +57,10 @@ def missing_listed(lists: DataFrame, *bases: DataFrame) -> DataFrame:
     return asns
 
 
-def first_missing(asns: DataFrame, n: int = vocab.MISSING_ASN_LIMIT) -> DataFrame:
-    """The report of the lowest n missing ASNs."""
-    return asns.orderBy("asn").limit(n)
+def first_missing(asns: DataFrame, n: int | None = None) -> DataFrame:
+    """The report of the missing ASNs in order: all of them, or the lowest `n` that a caller asks for."""
+    ordered = asns.orderBy("asn")
+    return ordered if n is None else ordered.limit(n)
 
 
 def gap_fill(base: DataFrame, missing: DataFrame, candidates: DataFrame, flags: DataFrame, space=V4) -> DataFrame:

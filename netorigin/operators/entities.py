@@ -262,6 +262,6 @@ def seed_candidates(lines: DataFrame, source_url: str) -> DataFrame:
     """`AS<n> # text` lines -> vpn_provider seed lines."""
     p = r"^AS(\d+)\s*#?\s*(.*)$"
     n = F.regexp_extract("value", p, 1)
-    return lines.filter(F.col("value").rlike(p)).select(
-        F.lit("vpn_provider").alias("file"), n.cast("bigint").alias("asn"),
+    return lines.filter(F.col("value").rlike(p) & n.try_cast("bigint").isNotNull()).select(
+        F.lit("vpn_provider").alias("file"), n.try_cast("bigint").alias("asn"),
         F.concat(F.lit("AS"), n, F.lit("  # "), F.trim(F.regexp_extract("value", p, 2)), F.lit(" — src: "), F.lit(source_url)).alias("line"))

@@ -112,7 +112,7 @@ def drift(state: DataFrame, policy: tuple[float, float, float, float], acks: Dat
     s = s.withColumns({
         "_prev": F.when(F.col("_lend"), F.col("_pins")[0]["value"]).otherwise(F.col("prev")),
         "prev_label": F.when(F.col("_lend"), F.concat(F.lit("pin "), F.col("_pins")[0]["label"])).otherwise(F.lit("previous build")),
-        "_rest": F.when(F.col("_lend"), F.slice("_pins", 2, 1000)).otherwise(F.col("_pins"))})
+        "_rest": F.when(F.col("_lend"), F.slice("_pins", F.lit(2), F.size("_pins"))).otherwise(F.col("_pins"))})
     s = s.withColumn("drift", F.when(F.col("_prev") > 0, (F.col("now") - F.col("_prev")) / F.col("_prev")))
     d = F.col("drift")
     line = F.when(d < 0, p["drop"]).otherwise(p["rise"])

@@ -26,7 +26,7 @@ def global_rank(df: DataFrame, desc: str, tie: str, name: str) -> DataFrame:
 def eyeball_totals(eyeballs: DataFrame) -> DataFrame:
     """eyeballs(asn, users, pct) per economy -> one row per ASN with its rank."""
     t = eyeballs.groupBy("asn").agg(F.sum(F.coalesce("users", F.lit(0))).cast("bigint").alias("eyeball_users"),
-                                    F.round(F.sum(F.coalesce("pct", F.lit(0.0))), 4).alias("eyeball_pct_internet"))
+                                    F.round(F.sum(F.coalesce(F.col("pct").cast("decimal(20,10)"), F.lit(0))), 4).cast("double").alias("eyeball_pct_internet"))
     return global_rank(t, "eyeball_users", "asn", "eyeball_rank")
 
 

@@ -263,7 +263,7 @@ query("cls5_gap_fill", f"""select greatest(range_start, coalesce(top, -1) + 1) a
     select *, max(range_end) over (order by range_start, range_end desc, asn rows between unbounded preceding and 1 preceding) as top from {_FILLED})
     where top is null or range_end > top""")(
     lambda t: compilation.gap_fill(stamped(t), compilation.missing_listed(t.asn_lists, t.base), t.sql(f"select * from {_CAND}"), flags(t)))
-query("win12_first_missing", f"select asn from {_MISSING} order by asn limit 300")(
+query("win12_first_missing", f"select asn from {_MISSING} order by asn")(
     lambda t: compilation.first_missing(compilation.missing_listed(t.asn_lists, t.base)))
 query("cls12_categories", f"""select m.asn, n.name as org, c.cc as country, {CATEGORY.replace('flags', 'coalesce(f.flags, 0)')} as category,
     {ROLE.replace('flags', 'coalesce(f.flags, 0)')} as network_role, concat_ws('|', case when f.flags & 256 <> 0 then 'bad_asn' end,

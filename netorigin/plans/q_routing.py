@@ -91,7 +91,7 @@ query("agg4_resolve_counters", f"""select * from (select unnest(['prefixes', 'ke
     unnest([count(*), count(*) filter (reason is null), count(*) filter (reason = 'below_min_peers'), count(*) filter (reason = 'as_set_only'),
     count(*) filter (reason = 'no_usable_origin'), count(*) filter (moas), count(*) filter (tie), count(*) filter (minority)]) as n from {DECISION})""")(
     lambda t: backbone.resolve_counters(decisions(t)))
-query("agg5_links", "select distinct upstream, origin from @rib where upstream > 0 and origin > 0")(lambda t: backbone.links(t.rib))
+query("agg5_links", f"select distinct upstream, origin from @rib where upstream > 0 and origin > 0 and ({PREASON}) is null and ({OREASON}) is null")(lambda t: backbone.links(t.rib))
 query("agg6_range_totals", "select 'ipv4' as family, count(*) as n, cast(sum(range_end - range_start + 1) as bigint) as addresses from @base")(
     lambda t: backbone.range_totals(t.base))
 query("win10_sorted_prefixes", "select distinct net, len from @rib order by net, len")(lambda t: backbone.sort_prefixes(t.rib.select("net", "len").distinct()))
@@ -154,8 +154,8 @@ query("agg26_only_a_split", f"""select case when touched then 'partly_routed' wh
     lambda t: compare.only_a_split(segs(t), t.base_b))
 query("agg27_only_a_by_size", f"select concat('~/', cast(32 - cast(ceil(log2(size)) as integer) as string)) as bucket, count(*) as n from {CLASSED} where class = 'only_a' group by 1")(
     lambda t: compare.only_a_by_size(segs(t)))
-query("join10_adjacency", """select a_asn, b_asn, bool_or(l.upstream is not null) as adjacent from (select distinct 3000 + s_suppkey % 30 as a_asn, 200000 + s_nationkey as b_asn from @supplier) p
-    left join (select distinct upstream, origin from @rib where upstream > 0 and origin > 0) l on (l.upstream = a_asn and l.origin = b_asn) or (l.upstream = b_asn and l.origin = a_asn) group by all""")(
+query("join10_adjacency", f"""select a_asn, b_asn, bool_or(l.upstream is not null) as adjacent from (select distinct 3000 + s_suppkey % 30 as a_asn, 200000 + s_nationkey as b_asn from @supplier) p
+    left join (select distinct upstream, origin from @rib where upstream > 0 and origin > 0 and ({PREASON}) is null and ({OREASON}) is null) l on (l.upstream = a_asn and l.origin = b_asn) or (l.upstream = b_asn and l.origin = a_asn) group by all""")(
     lambda t: joins.adjacent_in_paths(t.sql("select distinct 3000 + s_suppkey % 30 as a_asn, 200000 + s_nationkey as b_asn from @supplier"), backbone.links(t.rib)))
 _A50 = "(select range_start, range_end, 200000 + asn % 50 as asn from @base)"
 _LPM = lambda where: f"""(select range_start, max(len) as len, arg_max(net, len) as net from (select s.range_start, d.len, d.net from (select *, unnest(range(8, 25)) as l from df) s

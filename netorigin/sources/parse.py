@@ -104,7 +104,7 @@ def first_column_asns(lines: DataFrame, header: str) -> DataFrame:
 def as_lines(lines: DataFrame) -> DataFrame:
     """`AS<n> # text` -> asn set; other lines are skipped."""
     n = F.regexp_extract("value", r"^AS(\d+)\b", 1)
-    return lines.select(F.when(n != "", n).cast("bigint").alias("asn")).filter("asn is not null").distinct()
+    return lines.select(F.when(n != "", n).try_cast("bigint").alias("asn")).filter("asn is not null").distinct()
 
 
 AS_RECORD = "asn bigint, handle string, description string, countryCode string, category string, networkRole string"
@@ -221,10 +221,15 @@ def flag_list(lines: DataFrame, name: str) -> DataFrame:
     l = _content(lines)
     asn, comment = F.regexp_extract("line", p, 1), F.regexp_extract("line", p, 2)
     v = F.when(~F.col("line").rlike(p), "malformed").when(~comment.rlike(r"(?i)https?://|\bsrc:"), "no_source")
-    rows = l.select(F.lit(name).alias("list"), F.when(asn != "", asn).cast("bigint").alias("asn"), comment.alias("comment"), v.alias("violation"))
+    rows = l.select(F.lit(name).alias("list"), F.when(asn != "", asn).try_cast("bigint").alias("asn"), comment.alias("comment"), _sized(asn, v))
     return _mark_duplicates(rows)
 
 
+def _sized(digits, violation):
+    """The violation, or `malformed` for a number that no ASN column can hold."""
+    return F.when((digits != "") & digits.try_cast("bigint").isNull(), "malformed").otherwise(violation).alias("violation")
+
+
 def _mark_duplicates(rows: DataFrame) -> DataFrame:
     n = rows.filter("asn is not null").groupBy("asn").agg((F.count("*") > 1).alias("duplicate"))
     return rows.join(n, "asn", "left").withColumn("duplicate", F.coalesce("duplicate", F.lit(False)))
@@ -244,7 +249,7 @@ def name_list(lines: DataFrame) -> DataFrame:
         F.when(~F.col("line").rlike(p), "malformed").when(name.contains("�"), "invalid_utf8")
         .when(F.length(name) > vocab.NAME_MAX_CHARS, "too_long").when(url.isNull(), "no_source")
         .when(tx.restricted_url(url), "restricted_source"))
-    rows = l.select(F.nullif(g(1), F.lit("")).cast("bigint").alias("asn"), tx.clean_label(name).alias("name"), url.alias("src"), v.alias("violation"))
+    rows = l.select(F.nullif(g(1), F.lit("")).try_cast("bigint").alias("asn"), tx.clean_label(name).alias("name"), url.alias("src"), _sized(g(1), v))
     return _mark_duplicates(rows)
 
 
@@ -265,7 +270,7 @@ def country_list(lines: DataFrame) -> DataFrame:
         .when(cc.isNotNull() & (~cc.rlike("^[A-Z]{2}$") | cc.isin(vocab.NOT_COUNTRIES)), "bad_country")
         .when(tagged & state.isNull(), "unknown_territory").when(tagged & ~cc.eqNullSafe(state), "wrong_state")
         .when(url.isNull(), "no_source").when(tx.restricted_url(url), "restricted_source"))
-    rows = l.select(F.nullif(g(1), F.lit("")).cast("bigint").alias("asn"), cc.alias("cc"), terr.alias("territory"), url.alias("src"), v.alias("violation"))
+    rows = l.select(F.nullif(g(1), F.lit("")).try_cast("bigint").alias("asn"), cc.alias("cc"), terr.alias("territory"), url.alias("src"), _sized(g(1), v))
     return _mark_duplicates(rows)
 
 
