@@ -71,7 +71,8 @@ def prefix_group(codes: np.ndarray, frequent: np.ndarray, groups: int) -> np.nda
     n = len(codes) - WINDOW + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
-    common = np.isin(codes, frequent)
+    at = np.searchsorted(frequent, codes)
+    common = np.append(frequent, np.uint64(0))[at] == codes if len(frequent) else np.zeros(len(codes), dtype=bool)
     stop = np.where(common, len(codes), np.arange(len(codes)))
     stop = np.minimum.accumulate(stop[::-1])[::-1][:n]
     depth = np.minimum(stop - np.arange(n), WINDOW - 1)
@@ -86,13 +87,12 @@ def prefix_group(codes: np.ndarray, frequent: np.ndarray, groups: int) -> np.nda
 
 def windows_of(texts: list, frequent: np.ndarray, groups: int):
     """All windows of the texts in a row: hash, group where `groups` is given, and the number of the text.  Words are not kept."""
-    hashes, dealt = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
-    for t in texts:
-        codes = KNOWN.of(WORD.findall(t or ""))
-        hashes.append(runs(codes, WINDOW))
-        if groups:
-            dealt.append(prefix_group(codes, frequent, groups))
-    return np.concatenate(hashes), np.concatenate(dealt), np.repeat(np.arange(len(texts), dtype=np.int32), [len(h) for h in hashes[1:]])
+    each = [KNOWN.of(WORD.findall(t or "")) for t in texts]
+    codes = np.concatenate([np.zeros(0, dtype=np.uint64), *each])
+    whose = np.repeat(np.arange(len(texts), dtype=np.int32), [len(c) for c in each])
+    inside = whose[WINDOW - 1:] == whose[:max(0, len(whose) - WINDOW + 1)]  # no window spans two texts
+    dealt = prefix_group(codes, frequent, groups)[inside] if groups else None
+    return runs(codes, WINDOW)[inside], dealt, whose[:len(inside)][inside]
 
 
 def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", digests_only: bool = False) -> DataFrame:
