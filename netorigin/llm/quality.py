@@ -6,6 +6,7 @@ one scan and one projection; nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,14 +38,14 @@ class Rule:
     least: int | None = None
     min_words: int = 0
 
-    def fails(self) -> Column:
-        over, under = 100 * F.col(self.over), F.col(self.under)
+    def fails(self, of: Callable[[str], Column]) -> Column:
+        over, under = 100 * of(self.over), of(self.under)
         bad = F.lit(False)
         if self.most is not None:
             bad = bad | (over > self.most * under)
         if self.least is not None:
             bad = bad | (over < self.least * under)
-        return bad & (F.col("n_words") >= self.min_words)
+        return bad & (of("n_words") >= self.min_words)
 
 
 #: The threshold table.
@@ -100,6 +101,10 @@ def measures(text: Column) -> Column:
     return let(words(t), lambda w: let(lines, lambda ln: of(w, ln)))
 
 
+def base_fails(of: Callable[[str], Column]) -> Column:
+    return (of("n_words") < MIN_WORDS) | (100 * of("n_repeat_words") > 30 * of("n_words"))
+
+
 def quality(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """All columns of `docs`, then the measures, `base_failed`, `failed_rules` and `kept`.
 
@@ -109,12 +114,20 @@ def quality(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> D
     """
     given = [c for c in docs.columns if c not in {*MEASURES, "base_failed", "failed_rules", "kept", "_m"}]
     d = docs.withColumn("_m", measures(F.col(text))).select(*given, "_m.*")
-    d = d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-    failed = F.filter(F.array(*[F.when(r.fails(), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
+    d = d.withColumn("base_failed", base_fails(F.col))
+    failed = F.filter(F.array(*[F.when(r.fails(F.col), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
     return d.withColumn("failed_rules", failed).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of `docs` that pass, with the columns they came with."""
-    judged = quality(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text")), "_text")
-    return judged.filter("kept").select("_row.*")
+    """The rows of `docs` that pass, with the columns they came with.
+
+    The verdict is one expression, so the filter computes the measures of a row once.
+    """
+    def good(m: Column) -> Column:
+        bad = base_fails(m.getField)
+        for r in RULES:
+            bad = bad | r.fails(m.getField)
+        return ~bad
+
+    return docs.filter(let(measures(F.col(text)), good))
