@@ -8,7 +8,7 @@ ordering equal to the numeric ordering of the 128-bit address.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONG_MIN = -(1 << 63)
@@ -42,14 +42,14 @@ class V4:
         return end - start + F.lit(1).cast("bigint")
 
     @staticmethod
-    def buckets(positions: DataFrame, pos: str = "pos"):
-        """Bucket expression for a set of *distinct* positions.
+    def bucketed(positions: DataFrame, pos: str, bucket: str) -> DataFrame:
+        """`positions`, distinct by `pos`, with the bucket of each.
 
         A /16 block holds at most 65,536 distinct addresses and there are at
         most 65,537 blocks, so neither a window partition nor the table of
         bucket carries can grow with the data.
         """
-        return lambda c: F.shiftright(c, 16)
+        return positions.withColumn(bucket, F.shiftright(pos, 16))
 
     @staticmethod
     def hex(c: Column) -> Column:
@@ -83,13 +83,11 @@ def v6(hi: Column, lo: Column) -> Column:
 
 
 class V6:
-    """IPv6: struct<hi,lo> positions, buckets cut at sampled positions."""
+    """IPv6: struct<hi,lo> positions, buckets by range partitioning."""
 
     name, version, bits, hex_width = "ipv6", 6, 128, 32
     max_value = (1 << 128) - 1
     ddl = "struct<hi:bigint,lo:bigint>"
-    rows_per_bucket = 200_000
-    max_buckets = 16_384
 
     @staticmethod
     def max() -> Column:
@@ -123,24 +121,14 @@ class V6:
         return ((hi * F.expr(TWO64)).cast(d) + lo + F.lit(1).cast(d)).cast(d)
 
     @staticmethod
-    def buckets(positions: DataFrame, pos: str = "pos"):
-        """Range boundaries taken from a sample of distinct positions.
+    def bucketed(positions: DataFrame, pos: str, bucket: str) -> DataFrame:
+        """`positions`, distinct by `pos`, range-partitioned; the partition is the bucket.
 
-        Only the boundaries (at most `max_buckets` addresses, whatever the data
-        size) come back to the driver, and they enter the plan as a literal, so
-        a recomputed task always sees the same buckets.
+        Spark's range partitioner balances the rows, so a bucket is as large as any
+        shuffle partition of the session and there are as many.  The number holds for
+        this shuffle only: callers write the result before they use it.
         """
-        n = positions.count()
-        parts = min(V6.max_buckets, n // V6.rows_per_bucket + 1)
-        if parts == 1:
-            return lambda c: F.lit(0).cast("bigint")
-        fraction = min(1.0, parts * 64 / n)
-        rows = (
-            positions.select(F.col(pos).alias("p")).sample(fraction, seed=7)
-            .withColumn("tile", F.ntile(parts).over(Window.orderBy("p")))
-            .groupBy("tile").agg(F.min("p").alias("p")).orderBy("p").collect()
-        )
-        return bounds_bucket([(r.p.hi, r.p.lo) for r in rows[1:]])
+        return positions.repartitionByRange(F.col(pos)).withColumn(bucket, F.spark_partition_id().cast("bigint"))
 
     @staticmethod
     def hex(c: Column) -> Column:
@@ -189,31 +177,5 @@ class V6:
         )
 
 
-def bounds_bucket(bounds: list[tuple[int, int]]):
-    """Bucket number of an address = how many sorted bounds are <= it.
-
-    A binary search written as a fold over falling powers of two, so it stays a
-    JVM expression whose cost is log2(len(bounds)).
-    """
-    n = len(bounds)
-    if n == 0:
-        return lambda c: F.lit(0).cast("bigint")
-    body = ",".join(f"named_struct('hi',{_long(h)},'lo',{_long(l)})" for h, l in bounds)
-    arr = F.expr(f"array({body})")
-    steps = [1 << k for k in range(n.bit_length() - 1, -1, -1)]
-
-    def bucket(c: Column) -> Column:
-        probe = lambda i, s: F.when(
-            (i + s <= n) & (F.try_element_at(arr, i + s) <= c), i + s
-        ).otherwise(i)
-        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), probe).cast("bigint")
-
-    return bucket
-
-
-def _long(v: int) -> str:
-    return f"cast('{v}' as bigint)"
-
-
 def space_of(version: int):
     return V4 if version == 4 else V6

@@ -19,19 +19,20 @@ def prefix_reject_reason(net: Column, length: Column, space=V4, bounds: tuple[in
     out = F.when(length == 0, F.lit("default_route"))
     if space.version == 6:
         a, b = block(*vocab.V6_GLOBAL, space)
-        out = out.when((length < vocab.V6_GLOBAL[1]) | (net < a) | (net > b), F.lit("not_global_unicast"))
-    out = out.when(length < lo, F.lit("too_short")).when(length > hi, F.lit("too_long"))
+        out = out.when((length < vocab.V6_GLOBAL[1]) | (net < a) | (net > b), F.lit("v6_not_global_unicast"))
+    name = lambda what: F.lit(f"v{space.version}_{what}")
+    out = out.when(length < lo, name("too_short")).when(length > hi, name("too_specific"))
     blocks = vocab.V4_MARTIANS if space.version == 4 else vocab.V6_MARTIANS
-    return out.when(inside_any(net, length, blocks, space), F.lit("martian"))
+    return out.when(inside_any(net, length, blocks, space), name("martian"))
 
 
 def origin_reject_reason(asn: Column) -> Column:
     return (
-        F.when(asn == 0, F.lit("as0"))
-        .when(asn == 23456, F.lit("as_trans"))
-        .when(asn.between(64496, 64511) | asn.between(65536, 65551), F.lit("documentation"))
-        .when(asn.between(64512, 65534) | asn.between(4200000000, 4294967294), F.lit("private"))
-        .when((asn == 65535) | (asn == 4294967295) | asn.between(65552, 131071), F.lit("reserved"))
+        F.when(asn == 0, F.lit("origin_as0"))
+        .when(asn == 23456, F.lit("origin_as_trans"))
+        .when(asn.between(64496, 64511) | asn.between(65536, 65551), F.lit("origin_documentation_asn"))
+        .when(asn.between(64512, 65534) | asn.between(4200000000, 4294967294), F.lit("origin_private_asn"))
+        .when((asn == 65535) | (asn == 4294967295) | asn.between(65552, 131071), F.lit("origin_reserved_asn"))
     )
 
 
@@ -80,11 +81,17 @@ def path_origin(segments: Column, peer_as: Column) -> Column:
 
 def latest_peers(entries: DataFrame, peers: DataFrame) -> DataFrame:
     """Resolve peer indexes through the latest peer table of each collector that is
-    not newer than the entry: entries(collector, gen, idx, ...), peers(collector, gen, idx, peer_as)."""
+    not newer than the entry: entries(collector, gen, idx, ...), peers(collector, gen, idx, peer_as).
+
+    No entry is lost: `violation` is `no_peer_table` where the collector has no table
+    that old, `no_such_peer` where the table lacks the index, else null."""
     gens = peers.groupBy("collector").agg(F.array_sort(F.collect_set("gen")).alias("gens"))
-    seen = entries.join(gens, "collector").withColumn(
+    seen = entries.join(gens, "collector", "left").withColumn(
         "table_gen", F.array_max(F.filter("gens", lambda g: g <= F.col("gen")))).drop("gens")
-    return seen.join(peers.withColumnRenamed("gen", "table_gen"), ["collector", "table_gen", "idx"]).drop("table_gen")
+    known = peers.withColumnRenamed("gen", "table_gen").withColumn("_known", F.lit(True))
+    violation = (F.when(F.col("table_gen").isNull(), "no_peer_table")
+                 .when(F.col("_known").isNull(), "no_such_peer"))
+    return seen.join(known, ["collector", "table_gen", "idx"], "left").withColumn("violation", violation).drop("table_gen", "_known")
 
 
 def usable_entries(entries: DataFrame, space=V4) -> DataFrame:
@@ -106,16 +113,33 @@ def total_visibility(entries: DataFrame) -> DataFrame:
     return entries.groupBy("net", "len").agg(F.count_distinct("peer_as").alias("total_vis"))
 
 
-def ingest_counters(entries: DataFrame, space=V4) -> DataFrame:
-    """How many entries each rule took: one aggregation over the raw entries."""
+def ingest_counters(entries: DataFrame, space=V4, record: tuple[str, ...] = ("collector", "net", "len")) -> DataFrame:
+    """(counter, n): records, entries, and what each rule took.
+
+    `record` names the columns that identify a routing-table record.  A refused
+    prefix counts once a record, the rules on origins count entries.  A null origin
+    is an entry without a path; `empty_path` is counted where entries carry `empty`.
+    """
     e = usable_entries(entries, space)
     kind = (
-        F.when(F.col("prefix_reason").isNotNull(), F.concat(F.lit("prefix_"), "prefix_reason"))
-        .when(F.col("origin_reason").isNotNull(), F.concat(F.lit("origin_"), "origin_reason"))
+        F.when(F.col("prefix_reason").isNotNull(), F.col("prefix_reason"))
+        .when(F.col("origin").isNull(), F.lit("no_as_path"))
+        .when(F.col("origin_reason").isNotNull(), F.col("origin_reason"))
         .when(F.col("origin") == AS_SET, F.lit("as_set"))
         .otherwise(F.lit("used"))
     )
-    return e.groupBy(kind.alias("counter")).agg(F.count("*").alias("n"))
+    whole = F.col("prefix_reason").isNotNull()
+    empty = F.count_if(F.col("empty") & ~whole) if "empty" in entries.columns else None
+    per = e.groupBy(*record, whole.alias("whole"), kind.alias("counter")).agg(
+        F.count("*").alias("n"), *([empty.alias("empty")] if empty is not None else []))
+    taken = per.groupBy("counter", "whole").agg(F.sum("n").alias("n"), F.count("*").alias("records")).select(
+        "counter", F.when(F.col("whole"), F.col("records")).otherwise(F.col("n")).alias("n"))
+    pair = lambda name, v: F.struct(F.lit(name).alias("counter"), F.coalesce(v, F.lit(0)).cast("bigint").alias("n"))
+    extra = ["empty"] if empty is not None else []
+    rows = per.groupBy(*record).agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in extra])
+    totals = rows.agg(F.array(pair("records", F.count("*")), pair("entries", F.sum("n")),
+                              *[pair("empty_path", F.sum(c)) for c in extra]).alias("a"))
+    return taken.unionByName(totals.select(F.explode("a").alias("e")).select("e.*"))
 
 
 def winners(v: DataFrame) -> DataFrame:
@@ -171,14 +195,17 @@ def candidate_votes(entries: DataFrame, space=V4) -> DataFrame:
     return votes(e).withColumnRenamed("origin", "asn")
 
 
-def resolve_counters(decisions: DataFrame) -> DataFrame:
-    c = lambda name, cond: F.struct(F.lit(name).alias("counter"), F.count_if(cond).alias("n"))
+def resolve_counters(decisions: DataFrame, peers: DataFrame, min_peers: int = vocab.MIN_PEERS) -> DataFrame:
+    """(counter, n): the fate of every prefix, the distinct peer ASes of `peers`(peer_as), and the floor in force."""
+    c = lambda name, n: F.struct(F.lit(name).alias("counter"), n.cast("bigint").alias("n"))
     r = F.col("reason")
     one = decisions.agg(F.array(
-        c("prefixes", F.lit(True)), c("kept", r.isNull()), c("below_min_peers", r == "below_min_peers"),
-        c("as_set_only", r == "as_set_only"), c("no_usable_origin", r == "no_usable_origin"),
-        c("moas", F.col("moas")), c("ties", F.col("tie")), c("minority_winner", F.col("minority"))).alias("a"))
-    return one.select(F.explode("a").alias("e")).select("e.*")
+        c("prefixes", F.count("*")), c("kept", F.count_if(r.isNull())), c("below_min_peers", F.count_if(r == "below_min_peers")),
+        c("as_set_only", F.count_if(r == "as_set_only")), c("no_usable_origin", F.count_if(r == "no_usable_origin")),
+        c("moas", F.count_if("moas")), c("ties", F.count_if("tie")), c("minority_winner", F.count_if("minority")),
+        c("min_peers", F.lit(min_peers))).alias("a"))
+    seen = peers.agg(F.count_distinct("peer_as").alias("n")).select(F.lit("peer_ases").alias("counter"), "n")
+    return one.select(F.explode("a").alias("e")).select("e.*").unionByName(seen)
 
 
 def links(entries: DataFrame, space=V4) -> DataFrame:

@@ -53,11 +53,10 @@ def cluster_members(registry: DataFrame) -> DataFrame:
 def holder_clusters(registry: DataFrame) -> DataFrame:
     """Clusters with their sorted ASNs: (holder, part, kind, size, asns).
 
-    A cluster of up to 250 ASNs is one row.  A pool is written in parts of 65,536
-    ASN numbers, so that no row and no task holds a pool of any size.
+    Every cluster is written in parts of 65,536 ASN numbers, so that no row and no
+    task holds a pool of any size; `size` is that of the whole cluster.
     """
-    m = cluster_members(registry).withColumn(
-        "part", F.when(F.col("kind") == "pool", F.shiftright("asn", 16)).otherwise(F.lit(0).cast("bigint")))
+    m = cluster_members(registry).withColumn("part", F.shiftright("asn", 16))
     return m.groupBy("holder", "part", "kind", "size").agg(F.sort_array(F.collect_set("asn")).alias("asns"))
 
 

@@ -53,8 +53,7 @@ def scan(
         # A scan reads its input twice (rows and bucket summaries), so a chain of
         # scans would double its plan, and its work, at every step.  Cut here, the
         # positions are computed once.
-        df = cut(df)
-        df = df.withColumn(BUCKET, space.buckets(df, pos)(F.col(pos)))
+        df = cut(space.bucketed(df, pos, BUCKET))
 
     summary = df.groupBy(*by).agg(
         F.min(pos).alias("_first"),
@@ -74,7 +73,7 @@ def scan(
         *([F.lead("_first").over(order).alias("_cn")] if nexts else []),
     )
     if not keys:
-        # One row per bucket: at most 65,537 (IPv4) or 16,384 (IPv6) rows.
+        # One row per bucket: at most 65,537 (IPv4), or the shuffle partitions (IPv6).
         carry = F.broadcast(carry)
 
     line = Window.partitionBy(*by).orderBy(pos)

@@ -120,7 +120,7 @@ _J = lambda c: f"coalesce('\"' || {c} || '\"', 'null')"
 query("snk6_registry_json", f"""select '{{"asn":' || asn || ',"rir":"' || rir || '","cc":' || {_J('cc')} || ',"registered":"' || registered || '","status":"' || status || '","holder":' || {_J('holder')} || '}}' as value from {qn._OK}""")(
     lambda t: sinks.registry_json(qn.reg(t)).select("value"))
 query("snk6_holder_json", f"""select '{{"holder":"' || holder || '","part":' || part || ',"kind":"' || kind || '","size":' || size || ',"asns":[' || asns || ']}}' as value from (select holder, part, kind, size, string_agg(asn, ',' order by asn) as asns
-    from (select *, case when kind = 'pool' then asn >> 16 else 0 end as part from {qn._MEM}) group by holder, part, kind, size)""")(
+    from (select *, asn >> 16 as part from {qn._MEM}) group by holder, part, kind, size)""")(
     lambda t: sinks.holder_json(registry.holder_clusters(qn.reg(t))).select("value"))
 query("snk7_quant_json", """select asn, '{"asn":' || asn || ',"quant":{"asn":' || asn || ',"rir":null,"country":null,"rpki_roas":' || n || '},"sources":[{"fields":["rpki_roas"],"source":"validated payloads","url":"u","as_of":"2024-01-01"}]}' as value
     from (select asn, count(*) as n from @vrps group by asn)""")(

@@ -32,7 +32,7 @@ def reg(t):
 query("set3_expand_blocks", f"select asn, rir, status, ordinal from {_EXP}")(
     lambda t: registry.expand_blocks(t.delegation_blocks).select("asn", "rir", "status", "ordinal"))
 query("agg23_registry_rows", f"select asn, rir, cc, registered, status, holder, conflict from {_REG}")(rows)
-query("agg11_holder_clusters", f"""select holder, part, kind, size, list_aggregate(list_sort(list(cast(asn as string))), 'string_agg', ',') as asns from (select *, case when kind = 'pool' then asn >> 16 else 0 end as part from {_MEM})
+query("agg11_holder_clusters", f"""select holder, part, kind, size, list_aggregate(list_sort(list(cast(asn as string))), 'string_agg', ',') as asns from (select *, asn >> 16 as part from {_MEM})
     group by holder, part, kind, size""")(
     lambda t: registry.holder_clusters(reg(t)).withColumn("asns", F.array_join(F.array_sort(F.transform("asns", lambda a: a.cast("string"))), ",")))
 query("agg12_registry_stats", f"""select 'asns_total' as stat, count(*) as value from {_OK} union all select 'delegated', count(*) from {_DEL}

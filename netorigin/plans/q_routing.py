@@ -12,10 +12,10 @@ from netorigin.plans.catalog import query
 from netorigin.plans.tables import HI6, pow2
 
 _MART = "(" + " or ".join("(len >= {} and net between {} and {})".format(l, *addr.v4_block(n, l)) for n, l in vocab.V4_MARTIANS) + ")"
-PREASON = f"case when len = 0 then 'default_route' when len < 8 then 'too_short' when len > 24 then 'too_long' when {_MART} then 'martian' end"
-OREASON = """case when origin = 0 then 'as0' when origin = 23456 then 'as_trans' when origin between 64496 and 64511 or origin between 65536 and 65551 then 'documentation'
-    when origin between 64512 and 65534 or origin between 4200000000 and 4294967294 then 'private'
-    when origin = 65535 or origin = 4294967295 or origin between 65552 and 131071 then 'reserved' end"""
+PREASON = f"case when len = 0 then 'default_route' when len < 8 then 'v4_too_short' when len > 24 then 'v4_too_specific' when {_MART} then 'v4_martian' end"
+OREASON = """case when origin = 0 then 'origin_as0' when origin = 23456 then 'origin_as_trans' when origin between 64496 and 64511 or origin between 65536 and 65551 then 'origin_documentation_asn'
+    when origin between 64512 and 65534 or origin between 4200000000 and 4294967294 then 'origin_private_asn'
+    when origin = 65535 or origin = 4294967295 or origin between 65552 and 131071 then 'origin_reserved_asn' end"""
 
 _WIDE = f"select net, cast(4 + len as int) as len from (select distinct net - net % {pow2('28 - len')} as net, len from @rib)"
 query("flt1_prefix_reject", f"select net, len, {PREASON} as reason from ({_WIDE})")(
@@ -23,9 +23,9 @@ query("flt1_prefix_reject", f"select net, len, {PREASON} as reason from ({_WIDE}
 _SIX = f"select o_orderkey as id, {HI6} + case o_custkey % 5 when 0 then -287948901175001088 when 1 then 2305843009213693952 when 2 then 65536 * o_custkey else o_custkey end as hi, cast(o_custkey % 70 as int) as len from @orders"
 
 
-@query("flt1_prefix_reject_v6", f"""select id, case when len = 0 then 'default_route' when len < 3 or not (net between 2305843009213693952 and 4611686018427387903) then 'not_global_unicast'
-    when len < 16 then 'too_short' when len > 48 then 'too_long' when len >= 32 and net between 2306124484190404608 and 2306124488485371903
-    then 'martian' end as reason from (select id, len, case when len = 0 then 0 when len >= 64 then hi else hi - hi % cast(power(2, 64 - greatest(least(len, 64), 2)) as bigint) end as net from ({_SIX}))""")
+@query("flt1_prefix_reject_v6", f"""select id, case when len = 0 then 'default_route' when len < 3 or not (net between 2305843009213693952 and 4611686018427387903) then 'v6_not_global_unicast'
+    when len < 16 then 'v6_too_short' when len > 48 then 'v6_too_specific' when len >= 32 and net between 2306124484190404608 and 2306124488485371903
+    then 'v6_martian' end as reason from (select id, len, case when len = 0 then 0 when len >= 64 then hi else hi - hi % cast(power(2, 64 - greatest(least(len, 64), 2)) as bigint) end as net from ({_SIX}))""")
 def _(t):
     net = V6.mask(v6(F.col("hi"), F.lit(0).cast("bigint")), F.col("len"))
     return t.sql(_SIX).withColumn("net", net).select("id", backbone.prefix_reject_reason(F.col("net"), F.col("len"), V6).alias("reason"))
@@ -58,13 +58,16 @@ _PEERS = """select o_custkey % 7 + 1 as collector, case o_orderkey % 3 when 0 th
     min(1000 + o_custkey) as peer_as from @orders group by 1, 2, 3"""
 _ENTR = "select l_linenumber as collector, l_orderkey % 10 as gen, l_suppkey % 20 as idx from @lineitem"
 query("src13_peer_tables", f"""with p as ({_PEERS}), e as ({_ENTR}), g as (select distinct collector, gen from p)
-    select collector, peer_as, count(*) as n from (select e.collector, e.idx, (select max(gen) from g where g.collector = e.collector and g.gen <= e.gen) as tg from e) x
-    join p on p.collector = x.collector and p.gen = x.tg and p.idx = x.idx group by all""".replace("select collector, peer_as", "select x.collector, peer_as"))(
-    lambda t: backbone.latest_peers(t.sql(_ENTR), t.sql(_PEERS)).groupBy("collector", "peer_as").agg(F.count("*").alias("n")))
+    select x.collector, p.peer_as, case when x.tg is null then 'no_peer_table' when p.idx is null then 'no_such_peer' end as violation, count(*) as n
+    from (select e.collector, e.idx, (select max(gen) from g where g.collector = e.collector and g.gen <= e.gen) as tg from e) x
+    left join p on p.collector = x.collector and p.gen = x.tg and p.idx = x.idx group by all""")(
+    lambda t: backbone.latest_peers(t.sql(_ENTR), t.sql(_PEERS)).groupBy("collector", "peer_as", "violation").agg(F.count("*").alias("n")))
 query("agg1_votes", "select net, len, origin, count(distinct peer_as) as vis from @rib group by all")(lambda t: backbone.votes(t.rib))
 query("agg2_total_visibility", "select net, len, count(distinct peer_as) as total_vis from @rib group by all")(lambda t: backbone.total_visibility(t.rib))
-query("agg3_ingest_counters", f"""select case when p is not null then concat('prefix_', p) when origin <> -1 and o is not null then concat('origin_', o) when origin = -1 then 'as_set'
-    else 'used' end as counter, count(*) as n from (select *, {PREASON} as p, {OREASON} as o from @rib) group by 1""")(
+query("agg3_ingest_counters", f"""with k as (select collector, net, len, p is not null as whole, case when p is not null then p when origin is null then 'no_as_path'
+    when origin <> -1 and o is not null then o when origin = -1 then 'as_set' else 'used' end as counter from (select *, {PREASON} as p, {OREASON} as o from @rib))
+    select counter, case when whole then count(distinct (collector, net, len)) else count(*) end as n from k group by counter, whole
+    union all select 'records', count(distinct (collector, net, len)) from k union all select 'entries', count(*) from k""")(
     lambda t: backbone.ingest_counters(t.rib))
 query("win1_winner", """select net, len, origin, vis from (select *, row_number() over (partition by net, len order by vis desc, origin) as r from (
     select net, len, origin, count(distinct peer_as) as vis from @rib where origin <> -1 group by all)) where r = 1""")(
@@ -89,8 +92,9 @@ def decisions(t):
 query("win2_prefix_decision", f"select net, len, origin, origin_vis, total_vis, moas, tie, minority, reason from {DECISION}")(decisions)
 query("agg4_resolve_counters", f"""select * from (select unnest(['prefixes', 'kept', 'below_min_peers', 'as_set_only', 'no_usable_origin', 'moas', 'ties', 'minority_winner']) as counter,
     unnest([count(*), count(*) filter (reason is null), count(*) filter (reason = 'below_min_peers'), count(*) filter (reason = 'as_set_only'),
-    count(*) filter (reason = 'no_usable_origin'), count(*) filter (moas), count(*) filter (tie), count(*) filter (minority)]) as n from {DECISION})""")(
-    lambda t: backbone.resolve_counters(decisions(t)))
+    count(*) filter (reason = 'no_usable_origin'), count(*) filter (moas), count(*) filter (tie), count(*) filter (minority)]) as n from {DECISION})
+    union all select 'min_peers', 2 union all select 'peer_ases', count(distinct peer_as) from @rib""")(
+    lambda t: backbone.resolve_counters(decisions(t), t.rib))
 query("agg5_links", f"select distinct upstream, origin from @rib where upstream > 0 and origin > 0 and ({PREASON}) is null and ({OREASON}) is null")(lambda t: backbone.links(t.rib))
 query("agg6_range_totals", "select 'ipv4' as family, count(*) as n, cast(sum(range_end - range_start + 1) as bigint) as addresses from @base")(
     lambda t: backbone.range_totals(t.base))
@@ -161,7 +165,7 @@ _A50 = "(select range_start, range_end, 200000 + asn % 50 as asn from @base)"
 _LPM = lambda where: f"""(select range_start, max(len) as len, arg_max(net, len) as net from (select s.range_start, d.len, d.net from (select *, unnest(range(8, 25)) as l from df) s
     join dec d on d.len = l and d.net = range_start - range_start % {pow2('32 - l')} where {where}) group by range_start)"""
 _CLS9 = f"""(with dec as (select * from {DECISION}), fb as {_FLAT.replace(DECISION, 'dec')}, seg as {_align(_A50, 'fb')}, df as (select * from seg where in_a and in_b and a_asn <> b_asn),
-    lk as (select distinct upstream as u, origin as o from @rib where upstream > 0 and origin > 0),
+    lk as (select distinct upstream as u, origin as o from @rib where upstream > 0 and origin > 0 and ({PREASON}) is null and ({OREASON}) is null),
     k as {_LPM('d.reason is null')}, x as {_LPM('d.reason is not null')}, v as (select net, len, origin as asn from {_V} where origin <> -1)
     select seg.range_start, seg.range_end, seg.a_asn, seg.b_asn, case when in_a and not in_b then 'only_a' when not in_a then 'only_b' when a_asn = b_asn then 'same'
     when exists (select 1 from v where v.net = k.net and v.len = k.len and v.asn = a_asn) then 'moas'

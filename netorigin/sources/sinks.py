@@ -114,7 +114,7 @@ def registry_json(registry: DataFrame) -> DataFrame:
 
 
 def holder_json(clusters: DataFrame) -> DataFrame:
-    """One line per holder; a pool is written in parts."""
+    """One line per holder and part."""
     return clusters.select("holder", "part", F.to_json(F.struct("holder", "part", "kind", "size", "asns")).alias("value"))
 
 

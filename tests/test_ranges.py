@@ -14,9 +14,11 @@ PLACES = [(V4, 65536 - 300), (V6, (1 << 64) - 300)]
 
 
 @pytest.fixture(params=PLACES, ids=["v4", "v6"])
-def place(request, monkeypatch):
-    monkeypatch.setattr(V6, "rows_per_bucket", 7)  # force several buckets
-    return request.param
+def place(request, spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")  # several IPv6 buckets
+    yield request.param
+    spark.conf.unset(name)
 
 
 def rand(seed, n, span=600, width=40):
