@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from netorigin.functions.space import V4, V6
 from netorigin.operators import backbone, project, quant, registry, sets
-from netorigin.operators.lineage import cut
+from netorigin.operators.lineage import cut, shared_folder
 from netorigin.plans import q_ranges as qr, q_networks as qn, q_routing as qt
 from netorigin.plans.build import build_intervals
 from netorigin.plans.catalog import query
@@ -143,17 +142,14 @@ query("snk9_segment_tsv", f"""select concat_ws(chr(9), class, {ip_text('range_st
     lambda t: sinks.segment_lines(qt.classed(t)).select("value"))
 
 
-def shared_folder(t, name: str) -> str:
-    """A fresh folder below the cluster's shared one; local only where none is named."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        return tempfile.mkdtemp(prefix=f"netorigin-{name}-")
-    return f"{root}/{name}-{uuid.uuid4()}"
+def fresh_folder(t, name: str) -> str:
+    """A fresh folder below the shared one."""
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4()}"
 
 
 @query("snk10_lookup_table", "select bucket, greatest(range_start, bucket * 65536) as range_start, least(range_end, bucket * 65536 + 65535) as range_end, asn, 4 as family from (select *, unnest(range(range_start >> 16, (range_end >> 16) + 1)) as bucket from @base)")
 def _(t):
-    path = shared_folder(t, "lookup") + "/table"
+    path = fresh_folder(t, "lookup") + "/table"
     sinks.write_lookup(t.base, path)
     return sinks.read_lookup(t.spark, path)
 
@@ -162,7 +158,7 @@ def _(t):
 def _(t):
     """Write the product rows as JSON lines, read them back, compare field by field."""
     wire = project.to_wire(qr.intervals(t))
-    path = shared_folder(t, "spool") + "/intervals"
+    path = fresh_folder(t, "spool") + "/intervals"
     sinks.write_interval_json(wire, path)
     back = parse.interval_records(t.spark.read.text(path))
     same = back.filter("violation is null").select(F.col("ip_version").cast("int").alias("ip_version"), *wire.columns[1:])
@@ -175,7 +171,7 @@ def _(t):
     schema = t.events.schema
     stream = t.spark.readStream.schema(schema).parquet(f"{t.folder}/events.parque[t]").select(
         "event_id", (16777216 + (F.col("event_id") * 7919) % 4000000000).alias("ip"))
-    out = shared_folder(t, "stream")
+    out = fresh_folder(t, "stream")
     v = stream_lookup.stream_verdicts(stream, cut(qr.segments(t)))
     q = v.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/ckpt").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
@@ -185,7 +181,7 @@ def _(t):
 @query("stm2_resumable", "select doc_id as asn, count(*) as n from @documents group by 1")
 def _(t):
     """Two runs over the same growing input: the second finds nothing left to do."""
-    out = shared_folder(t, "resume")
+    out = fresh_folder(t, "resume")
     src = t.spark.readStream.schema(t.documents.schema).parquet(f"{t.folder}/documents.parque[t]").select(F.col("doc_id").alias("asn"))
     for _ in range(2):
         q = src.writeStream.foreachBatch(resume.process_batch(lambda b: b.select("asn"), f"{out}/done")).option(

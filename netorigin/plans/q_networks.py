@@ -68,10 +68,11 @@ query("agg9_prefix_footprint", f"""select asn, prefixes_v4, cast(0 as bigint) as
     join (select asn, cast(sum(range_end - range_start + 1) as bigint) as ipv4_addresses from ({merged(_R4, 'asn')}) group by asn) using (asn)""")(
     lambda t: quant.prefix_footprint(t.rib.select("net", "len", F.col("origin").alias("asn")).distinct()))
 _R6 = "select asn, hi::uhugeint * 18446744073709551616 as range_start, hi::uhugeint * 18446744073709551616 + (1::uhugeint << (128 - len)::uhugeint) - 1 as range_end from @rib6"
-query("agg9_prefix_footprint_v6", f"""select asn, prefixes_v6, cast(a as varchar) as ipv6_addresses from (select asn, count(*) as prefixes_v6 from @rib6 group by asn)
-    join (select asn, sum((range_end - range_start + 1)::hugeint) as a from ({merged(_R6, 'asn')}) group by asn) using (asn)""")(
-    lambda t: quant.prefix_footprint(t.rib.select("net", "len", F.col("origin").alias("asn")).limit(0),
-                                     t.rib6.select(v6(F.col("hi"), F.lit(0).cast("bigint")).alias("net"), "len", "asn")).select("asn", "prefixes_v6", "ipv6_addresses"))
+query("agg9_prefix_footprint_v6", f"""select asn, coalesce(prefixes_v4, 0) as prefixes_v4, coalesce(prefixes_v6, 0) as prefixes_v6, coalesce(ipv4_addresses, 0) as ipv4_addresses, coalesce(cast(a as varchar), '0') as ipv6_addresses
+    from (select asn, count(*) as prefixes_v4 from {_P4} group by asn) full join (select asn, cast(sum(range_end - range_start + 1) as bigint) as ipv4_addresses from ({merged(_R4, 'asn')}) group by asn) using (asn)
+    full join (select asn, count(*) as prefixes_v6 from @rib6 group by asn) using (asn) full join (select asn, sum((range_end - range_start + 1)::hugeint) as a from ({merged(_R6, 'asn')}) group by asn) using (asn)""")(
+    lambda t: quant.prefix_footprint(t.rib.select("net", "len", F.col("origin").alias("asn")).distinct(),
+                                     t.rib6.select(v6(F.col("hi"), F.lit(0).cast("bigint")).alias("net"), "len", "asn")))
 _ROUTES = "(select distinct net, len, origin as asn from @rib)"
 _STATE = f"""(select net, len, asn, case when bool_or(vasn = asn and maxlen >= len) then 'valid' when bool_or(vasn is not null) then 'invalid' else 'notfound' end as state from (
     select r.net, r.len, r.asn, v.asn as vasn, v.maxlen from (select *, unnest(range(8, len + 1)) as l from {_ROUTES}) r
@@ -133,8 +134,8 @@ _FILES = "select concat('s', cast(user_id % 90 as string)) as source_id, cast(ca
 query("join11_oldest_input", f"select s.source_id, min(fetched_at) as fetched_at from ({_SRC}) s left join ({_FILES}) f on f.source_id = s.source_id group by 1")(
     lambda t: joins.oldest_input(t.sql(_SRC), t.sql(_FILES)))
 query("set1_union_lists", "select asn from @asn_lists union select asn from @countries")(lambda t: sets.union_lists(t.asn_lists, t.countries))
-query("set2_difference", "select asn from @names except select asn from @countries")(lambda t: sets.difference(t.names, t.countries))
-query("set2_intersection", "select asn from @names intersect select asn from @countries")(lambda t: sets.intersection(t.names, t.countries))
+query("set2_difference", "select asn from @names except select asn from @asn_lists")(lambda t: sets.difference(t.names, t.asn_lists))
+query("set2_intersection", "select asn from @names intersect select asn from @asn_lists")(lambda t: sets.intersection(t.names, t.asn_lists))
 _TA, _TB = "select l_orderkey, l_linenumber, l_quantity from @lineitem", "select l_orderkey, case when l_suppkey % 10 = 0 then 9 else l_linenumber end as l_linenumber, l_quantity from @lineitem"
 query("set4_table_difference", f"""select 'only_a' as side, count(*) as n, l_orderkey, l_linenumber, l_quantity from ({_TA} except all {_TB}) group by all
     union all select 'only_b' as side, count(*) as n, l_orderkey, l_linenumber, l_quantity from ({_TB} except all {_TA}) group by all""")(

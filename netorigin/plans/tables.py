@@ -2,7 +2,8 @@
 
 Routing-shaped tables are derived from the given tables by plain SQL that Spark
 and DuckDB read alike.  `@name` refers to a given or a derived table.  Every
-derived table reads its source whole; `%` only maps ids into address space.
+derived table reads its source whole: what a query should miss is a null or lies
+elsewhere.  `%` only maps ids into address space.
 """
 
 from __future__ import annotations
@@ -34,11 +35,11 @@ DERIVED = {
     "base": """select 16777216 + k * 1024 as range_start, max(16777216 + k * 1024 + w) as range_end, min(asn) as asn
         from (select o_orderkey % 4177920 as k, case when o_orderkey % 3 = 0 then 1023 else o_custkey % 1024 end as w,
         200000 + o_custkey as asn from @orders) group by k""",
-    # A second routing table: some blocks carry another origin, some are absent.
+    # A second routing table: some blocks carry another origin, some lie elsewhere.
     "base_b": """select 16777216 + k * 1024 as range_start, max(16777216 + k * 1024 + w) as range_end, min(asn) as asn
-        from (select l_orderkey % 4177920 as k, l_partkey % 1024 as w,
+        from (select (l_orderkey + case when l_returnflag = 'N' then 2088960 else 0 end) % 4177920 as k, l_partkey % 1024 as w,
         case when l_linenumber % 2 = 0 then 200000 + l_suppkey else 200000 + o_custkey end as asn
-        from @lineitem join @orders on l_orderkey = o_orderkey where l_returnflag <> 'N') group by k""",
+        from @lineitem join @orders on l_orderkey = o_orderkey) group by k""",
     "base_raw": """select 16777216 + (o_orderkey * 1024 + o_custkey % 700) % 4261412864 as range_start,
         16777216 + (o_orderkey * 1024 + o_custkey % 700) % 4261412864 + o_custkey % 1500 as range_end,
         200000 + o_custkey as asn from @orders""",
@@ -61,8 +62,8 @@ DERIVED = {
     "corrections": """select cast(200000 + n_nationkey * 31 as bigint) as asn, case n_regionkey when 0 then 'none' when 1 then 'hosting'
         when 2 then 'isp' else null end as category, case n_regionkey when 3 then 'stub' when 4 then 'none' else null end as network_role
         from @nation""",
-    "names": """select 200000 + c_custkey as asn, c_name as name from @customer where c_acctbal > 0""",
-    "countries": """select 200000 + c_custkey as asn, concat('C', cast(c_nationkey as string)) as cc from @customer where c_acctbal < 5000""",
+    "names": """select 200000 + c_custkey as asn, case when c_acctbal > 0 then c_name end as name from @customer""",
+    "countries": """select 200000 + c_custkey as asn, case when c_acctbal < 5000 then concat('C', cast(c_nationkey as string)) end as cc from @customer""",
     "ips": """select event_id, user_id, ts, 16777216 + (event_id * 7919) % 4000000000 as ip from @events""",
     "any_ips": """select event_id, (event_id * 2654435761) % 4294967296 as ip from @events""",
     "rib": f"""select l_linenumber as collector, 1000 + l_suppkey % 40 as peer_as, cast(8 + l_partkey % 17 as int) as len,
@@ -77,9 +78,10 @@ DERIVED = {
         case when o_custkey % 2 = 0 then 'arin' else 'apnic' end as rir,
         case when o_custkey % 9 = 0 then null else concat('C', cast(o_custkey % 25 as string)) end as cc,
         '20240101' as date, o_orderkey as ordinal from @orders
-        union all select 300000 + l_orderkey * 8 + 2 as start, 2 as count, 'x1' as opaque_id, 'allocated' as status,
+        union all select case when l_returnflag = 'R' then 300000 + l_orderkey * 8 + 2 else 2000000000 + l_orderkey * 16 + l_linenumber * 2 end as start,
+        2 as count, 'x1' as opaque_id, case when l_returnflag = 'R' then 'allocated' else 'reserved' end as status,
         case when l_suppkey % 2 = 0 then 'arin' else 'lacnic' end as rir, 'ZZ' as cc, '00000000' as date,
-        1000000000000 + l_orderkey * 10 + l_linenumber as ordinal from @lineitem where l_returnflag = 'R'""",
+        1000000000000 + l_orderkey * 10 + l_linenumber as ordinal from @lineitem""",
     "eyeballs": """select 200000 + c_custkey % 300 as asn, c_nationkey as economy, cast(floor(abs(c_acctbal) * 1000) as bigint) as users,
         c_acctbal / 1000000.0 as pct from @customer""",
     "gold": """select l.doc_id as asn, case l.quality when 1 then case when l.toxic = 1 then 'hosting_provider,vpn_provider' else 'hosting_provider' end
