@@ -5,7 +5,6 @@ Every stage is written as Parquet and read again by the next one, so a lost exec
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from netorigin.llm import neardup, packing, quality, secrets, substrings
 from netorigin.llm.queries import tokenizer_file
+from netorigin.operators.lineage import shared_folder
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,7 @@ ORACLE_SQL = None  # tokenizer ids are out of SQL's reach
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over `documents`."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpus-")
-    base = f"{root.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(out := f"{base}/{i}-{name}")
