@@ -3,9 +3,13 @@
 A text's five-word shingles are labelled with their occurrence number.  Each of `SKETCHES` hash functions takes the
 `TAKEN` least labelled shingles and keeps them in text order, so a sketch depends on what a text says and in which order.  Runs of
 sketches are bucket keys.  Texts of one bucket are linked to one member each, so a bucket of n texts gives n - 1
-candidates; two coarse and one fine family of buckets with different members keep small neighbourhoods together.  A candidate counts
+candidates; coarse and fine buckets with different members keep small neighbourhoods together.  A candidate counts
 when its shingle sets have a likeness of `SIMILARITY` or more and a banded alignment finds as much of the word order
 alike.  Texts with the same words are one node from the start.  Classes are the connected components of the links.
+
+A bucket that still holds several classes (texts that share a common passage) is dealt again by every single sketch, and
+each class in such a part meets two members of other classes, so texts that are alike to none of the first members are
+found too.  The work stays in proportion to the members of mixed buckets.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from netorigin.operators.lineage import cut
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, TAKEN = 24, 2
 COARSE, FINE = 2, 4  # sketches in a bucket key
+AGREE = 6  # sketches that texts of a mixed bucket must share; at likeness 0.8 about 15 of 24 agree, fewer than 6 in one pair of 10,000
 CELLS = 4_000_000
 
 
@@ -133,9 +138,9 @@ def alike(a: bytes, b: bytes) -> bool:
 
 
 def sketched(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """(doc_id, th, uid, node, codes, keys): one row per document; `node` is the same for the same words.
+    """(doc_id, th, uid, node, codes, keys, sketches): one row per document; `node` is the same for the same words.
 
-    `codes` are 16-bit word codes, enough to align by.
+    `codes` are 16-bit word codes, enough to align by; `sketches` are the upper halves of the sketches.
     """
     def run(batches):
         for b in batches:
@@ -146,14 +151,15 @@ def sketched(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFr
                     c = KNOWN.of(words)
                     sk = order_minhash(c)
                     rows.append((hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest(), (c >> np.uint64(48)).astype("<u2").tobytes(),
-                                 np.concatenate([bucket_keys(sk, COARSE), bucket_keys(sk, FINE)]).view(np.int64)))
-            node, codes, keys = zip(*rows, strict=True) if rows else ((), (), ())
+                                 np.concatenate([bucket_keys(sk, COARSE), bucket_keys(sk, FINE)]).view(np.int64), (sk >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+            node, codes, keys, sketches = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("uid"), pa.array(node, pa.binary()), pa.array(codes, pa.binary()),
-                                              pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "th", "uid", "node", "codes", "keys"])
+                                              pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int32()))],
+                                             names=["doc_id", "th", "uid", "node", "codes", "keys", "sketches"])
 
     return docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"),
                        F.monotonically_increasing_id().alias("uid"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, th bigint, uid bigint, node binary, codes binary, keys array<bigint>")
+        run, "doc_id bigint, th bigint, uid bigint, node binary, codes binary, keys array<bigint>, sketches array<int>")
 
 
 def candidates(table: DataFrame) -> DataFrame:
@@ -164,17 +170,61 @@ def candidates(table: DataFrame) -> DataFrame:
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def links(table: DataFrame) -> DataFrame:
-    """Candidates that the shingle likeness and the banded alignment confirm."""
+def confirmed(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The (a, b) of `pairs` that the shingle likeness and the banded alignment confirm."""
     def run(batches):
         for b in batches:
             ok = [alike(x, y) for x, y in zip(b.column("ca").to_pylist(), b.column("cb").to_pylist(), strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     one = table.groupBy("node").agg(F.min("codes").alias("codes"))  # copies have the same codes
-    pairs = (candidates(table).join(one.select(F.col("node").alias("a"), F.col("codes").alias("ca")), "a")
-             .join(one.select(F.col("node").alias("b"), F.col("codes").alias("cb")), "b"))
-    return pairs.select("a", "b", "ca", "cb").mapInArrow(run, "a binary, b binary")
+    both = (pairs.join(one.select(F.col("node").alias("a"), F.col("codes").alias("ca")), "a")
+            .join(one.select(F.col("node").alias("b"), F.col("codes").alias("cb")), "b"))
+    return both.select("a", "b", "ca", "cb").mapInArrow(run, "a binary, b binary")
+
+
+def links(table: DataFrame) -> DataFrame:
+    """Confirmed candidates."""
+    return confirmed(table, candidates(table))
+
+
+def mixed_candidates(table: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct (a, b) of nodes of different classes that share a bucket and a further sketch, and `AGREE` sketches in all.
+
+    Buckets of up to three nodes are left out: there every pair has met.
+    """
+    one = table.groupBy("node").agg(F.min("keys").alias("keys"), F.min("sketches").alias("sketches"))
+    named = one.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "keys", "sketches")
+    rows = named.select("node", "label", F.explode("keys").alias("key"))
+    mixed = (rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+             .filter("low <> high and n > 3").select("key"))
+    members = rows.join(mixed, "key").join(one.select("node", "sketches"), "node")
+    parts = cut(members.select("node", "label", "key", F.posexplode("sketches").alias("at", "sketch"))
+                .select("node", "label", F.xxhash64("key", "at", "sketch").alias("part")))
+    hubs = (parts.groupBy("part").agg(F.min(F.struct("label", "node")).alias("low"), F.max(F.struct("label", "node")).alias("high"))
+            .filter("low.label <> high.label"))
+    met = (parts.join(hubs, "part").select("node", "label", F.explode(F.array("low", "high")).alias("hub")).filter("label <> hub.label")
+           .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
+    pairs = (met.join(one.select(F.col("node").alias("a"), F.col("sketches").alias("sa")), "a")
+             .join(one.select(F.col("node").alias("b"), F.col("sketches").alias("sb")), "b"))
+    same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda e: e))
+    return pairs.filter(same >= AGREE).select("a", "b")
+
+
+def joined_classes(table: DataFrame, labels: DataFrame) -> DataFrame:
+    """`labels` after the classes that `mixed_candidates` links have become one."""
+    def label(of):
+        return labels.select(F.col("node").alias(of), F.col("label").alias("l" + of))
+
+    new = cut(confirmed(table, mixed_candidates(table, labels)))
+    if new.isEmpty():
+        return labels
+    edges = (new.join(label("a"), "a", "left").join(label("b"), "b", "left")
+             .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    over = components(edges).withColumnRenamed("label", "top")
+    named = labels.select("node", F.col("label").alias("was")).union(
+        edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti").select("node", F.col("node").alias("was")))
+    return named.join(over.withColumnRenamed("node", "was"), "was", "left").select("node", F.coalesce("top", "was").alias("label"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -202,7 +252,7 @@ def classes(docs: DataFrame, text: str = "text", doc: str = "doc_id", keep_row:
     null class_id.  Repeated rows are copies, one of them is kept.  `keep_row` adds the row key (th, uid).
     """
     table = cut(sketched(docs, text, doc))
-    labels = components(cut(links(table)))
+    labels = joined_classes(table, components(cut(links(table))))
     rows = table.select("doc_id", "th", "uid", "node").join(labels, "node", "left").select(
         "doc_id", "th", "uid", F.coalesce("label", "node").alias("label"))
     best = F.struct(F.col("doc_id").isNull().alias("o"), F.col("doc_id"), F.col("uid"))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import re
 import zlib
 from collections import defaultdict
@@ -232,6 +233,30 @@ def test_near_dedup(docs, none):
     assert kept.columns == docs.columns and kept.count() == len(cls)
 
 
+def test_near_dedup_finds_pairs_behind_a_common_passage(spark):
+    """Texts of one bucket that are alike to none of its first members: classes equal brute force over all pairs."""
+    passage, rows = prose(110), []
+    for i in range(70):
+        own = ["own%d_%d" % (i, j) for j in range(60)]
+        rows += [(2 * i, passage + " " + " ".join(own)), (2 * i + 1, passage + " " + " ".join([*own[:40], "x", *own[41:]]))]
+    codes = [(neardup.KNOWN.of(t.split()) >> np.uint64(48)).astype("<u2").tobytes() for _, t in rows]
+    want = {i: i for i, _ in rows}
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if neardup.alike(codes[i], codes[j]):
+            low, high = sorted((want[i], want[j]))
+            want = {k: low if v == high else v for k, v in want.items()}
+    assert len(set(want.values())) == 70
+    table = neardup.cut(neardup.sketched(spark.createDataFrame(rows, "doc_id long, text string")).withColumn("keys", F.array(F.lit(1).cast("bigint"))))
+    first = neardup.components(neardup.cut(neardup.links(table)))  # one bucket for all: its first members find few links
+    assert first.count() < 10
+    label = {r.node: r.label for r in neardup.joined_classes(table, first).collect()}
+    node = {r.doc_id: r.node for r in table.collect()}
+    least = {}
+    for i, _ in rows:
+        least.setdefault(label[node[i]], i)
+    assert {i: least[label[node[i]]] for i, _ in rows} == want
+
+
 def test_alignment_is_edit_distance():
     for _ in range(200):
         a, b = (RNG.integers(0, 4, RNG.integers(0, 25)) for _ in range(2))
