@@ -7,14 +7,15 @@ candidates; coarse and fine buckets with different members keep small neighbourh
 when its shingle sets have a likeness of `SIMILARITY` or more and a banded alignment finds as much of the word order
 alike.  Texts with the same words are one node from the start.  Classes are the connected components of the links.
 
-A bucket that still holds several classes (texts that share a common passage) is dealt again by every single sketch, and
-each class in such a part meets two members of other classes, so texts that are alike to none of the first members are
-found too.  The work stays in proportion to the members of mixed buckets.
+A coarse bucket that still holds several classes (texts of one template, texts that share a common passage) is settled
+exactly: its members are dealt to blocks, every two blocks meet in one task, and there each member is compared with each
+member of another class.  So no two texts of different classes that share a coarse bucket stay uncompared.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ from netorigin.operators.lineage import cut
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, TAKEN = 24, 2
 COARSE, FINE = 2, 4  # sketches in a bucket key
-AGREE = 6  # sketches that texts of a mixed bucket must share; at likeness 0.8 about 15 of 24 agree, fewer than 6 in one pair of 10,000
+BLOCK, BLOCK_BYTES = 512, 2_000_000  # most nodes and about the most bytes of codes in a block of a mixed bucket
+DENSE = 24  # a shingle of more texts of a task is counted by matrix product, others pair by pair
 CELLS = 4_000_000
 
 
@@ -131,16 +133,47 @@ def _banded(a: np.ndarray, b: np.ndarray, t: int) -> int:
 
 def alike(a: bytes, b: bytes) -> bool:
     x, y = np.frombuffer(a, dtype="<u2"), np.frombuffer(b, dtype="<u2")
-    if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)) or likeness(x, y) < SIMILARITY:
-        return False
+    return sized(len(x), len(y)) and likeness(x, y) >= SIMILARITY and aligned(x, y)
+
+
+def sized(m: int, n: int) -> bool:
+    return min(m, n) >= SIMILARITY * max(m, n)
+
+
+def aligned(x: np.ndarray, y: np.ndarray) -> bool:
     most = int((1 - SIMILARITY) * max(len(x), len(y)) + 1e-9)
     return edits(x, y, most) <= most
 
 
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the number of elements that each two of the sets have in common; the diagonal is not filled."""
+    n = len(sets)
+    out = np.zeros(n * n, dtype=np.int64)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    order = np.argsort(values := np.concatenate(sets), kind="stable")
+    values, owner = values[order], owner[order]
+    at = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.append(at, len(values)))
+    for c in range(2, min(DENSE, n) + 1):
+        rows = owner[at[size == c][:, None] + np.arange(c)]  # owners ascend
+        for i, j in combinations(range(c), 2):
+            np.add.at(out, rows[:, i] * n + rows[:, j], 1)
+    out = out.reshape(n, n)
+    out += out.T
+    often = np.flatnonzero(size > DENSE)
+    for i in range(0, len(often), 2048):
+        some = often[i:i + 2048]
+        m = np.zeros((n, len(some)), dtype=np.float32)
+        for k, s in enumerate(some):
+            m[owner[at[s]:at[s] + size[s]], k] = 1
+        out += (m @ m.T).astype(np.int64)  # whole numbers under 2048
+    return out
+
+
 def sketched(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """(doc_id, th, uid, node, codes, keys, sketches): one row per document; `node` is the same for the same words.
+    """(doc_id, th, uid, node, codes, keys): one row per document; `node` is the same for the same words.
 
-    `codes` are 16-bit word codes, enough to align by; `sketches` are the upper halves of the sketches.
+    `codes` are 16-bit word codes, enough to align by; `keys` has the coarse bucket keys first.
     """
     def run(batches):
         for b in batches:
@@ -151,15 +184,15 @@ def sketched(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFr
                     c = KNOWN.of(words)
                     sk = order_minhash(c)
                     rows.append((hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest(), (c >> np.uint64(48)).astype("<u2").tobytes(),
-                                 np.concatenate([bucket_keys(sk, COARSE), bucket_keys(sk, FINE)]).view(np.int64), (sk >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-            node, codes, keys, sketches = zip(*rows, strict=True) if rows else ((), (), (), ())
+                                 np.concatenate([bucket_keys(sk, COARSE), bucket_keys(sk, FINE)]).view(np.int64)))
+            node, codes, keys = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("uid"), pa.array(node, pa.binary()), pa.array(codes, pa.binary()),
-                                              pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int32()))],
-                                             names=["doc_id", "th", "uid", "node", "codes", "keys", "sketches"])
+                                              pa.array(keys, pa.list_(pa.int64()))],
+                                             names=["doc_id", "th", "uid", "node", "codes", "keys"])
 
     return docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"),
                        F.monotonically_increasing_id().alias("uid"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, th bigint, uid bigint, node binary, codes binary, keys array<bigint>, sketches array<int>")
+        run, "doc_id bigint, th bigint, uid bigint, node binary, codes binary, keys array<bigint>")
 
 
 def candidates(table: DataFrame) -> DataFrame:
@@ -188,35 +221,66 @@ def links(table: DataFrame) -> DataFrame:
     return confirmed(table, candidates(table))
 
 
-def mixed_candidates(table: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct (a, b) of nodes of different classes that share a bucket and a further sketch, and `AGREE` sketches in all.
+def mixed_members(table: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, i, j, node, label): the members of the coarse buckets that hold several classes, dealt to tasks (i, j).
 
-    Buckets of up to three nodes are left out: there every pair has met.
+    The members of a bucket's largest class and the others are dealt to blocks of at most about `BLOCK`.  Task (i, j) holds two
+    blocks; all two blocks meet but those of the largest class among themselves.  Buckets of up to three nodes are left
+    out: there every pair has met.
     """
-    one = table.groupBy("node").agg(F.min("keys").alias("keys"), F.min("sketches").alias("sketches"))
-    named = one.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "keys", "sketches")
-    rows = named.select("node", "label", F.explode("keys").alias("key"))
-    mixed = (rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-             .filter("low <> high and n > 3").select("key"))
-    members = rows.join(mixed, "key").join(one.select("node", "sketches"), "node")
-    parts = cut(members.select("node", "label", "key", F.posexplode("sketches").alias("at", "sketch"))
-                .select("node", "label", F.xxhash64("key", "at", "sketch").alias("part")))
-    hubs = (parts.groupBy("part").agg(F.min(F.struct("label", "node")).alias("low"), F.max(F.struct("label", "node")).alias("high"))
-            .filter("low.label <> high.label"))
-    met = (parts.join(hubs, "part").select("node", "label", F.explode(F.array("low", "high")).alias("hub")).filter("label <> hub.label")
-           .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
-    pairs = (met.join(one.select(F.col("node").alias("a"), F.col("sketches").alias("sa")), "a")
-             .join(one.select(F.col("node").alias("b"), F.col("sketches").alias("sb")), "b"))
-    same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda e: e))
-    return pairs.filter(same >= AGREE).select("a", "b")
+    one = table.groupBy("node").agg(F.min(F.slice("keys", 1, SKETCHES // COARSE)).alias("keys"), F.min(F.length("codes")).alias("bytes"))
+    rows = one.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.explode("keys").alias("key"), "bytes")
+    sizes = rows.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+
+    def blocks_of(n, size):
+        return F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES))
+
+    mixed = (sizes.groupBy("key").agg(F.max(F.struct("n", "label", "bytes")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+             .filter("top.n < n and n > 3")
+             .select("key", F.col("top.label").alias("top"), (blocks_of(F.col("n"), F.col("bytes")) == 1).alias("small"),
+                     blocks_of(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("others"),
+                     blocks_of(F.col("top.n"), F.col("top.bytes")).alias("tops")))
+    members = rows.join(mixed, "key")
+    is_top, salt = F.col("label") == F.col("top"), F.xxhash64("node")
+    block = F.when(F.col("small"), F.lit(0)).when(is_top, F.col("others") + F.pmod(salt, "tops")).otherwise(F.pmod(salt, "others"))
+    last = F.when(F.col("small"), F.lit(0)).when(is_top, F.col("others") - 1).otherwise(F.col("others") + F.col("tops") - 1)
+    return (members.select("key", "node", "label", block.cast("int").alias("block"), F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("other"))
+            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "label"))
+
+
+def unmet(nodes: list[bytes], labels: list[bytes], texts: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """Links (a, b) that make every two alike nodes of different classes one class; all pairs of different classes are compared."""
+    codes = [np.frombuffer(t, dtype="<u2") for t in texts]
+    sets = [np.unique(runs(c.astype(np.uint64), min(SHINGLE, len(c)) or 1)) for c in codes]
+    of = {x: i for i, x in enumerate(sorted(set(labels)))}
+    cls = np.array([of[x] for x in labels])
+    n = np.array([len(x) for x in sets])
+    both = common(sets)
+    near = both / np.maximum(1, n[:, None] + n[None, :] - both) >= SIMILARITY
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(near & (cls[:, None] != cls[None, :]), 1)), strict=True):
+        if cls[i] != cls[j] and sized(len(codes[i]), len(codes[j])) and aligned(codes[i], codes[j]):
+            cls[cls == cls[j]] = cls[i]
+            out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+    return out
+
+
+def mixed_links(table: DataFrame, labels: DataFrame) -> DataFrame:
+    """Confirmed (a, b) of nodes of different classes that share a coarse bucket, enough to join all classes that are to be joined."""
+    def run(t: pa.Table) -> pa.Table:
+        got = unmet(*(t.column(c).to_pylist() for c in ("node", "label", "codes"))) if len(set(t.column("label").to_pylist())) > 1 else []
+        return pa.table({"a": pa.array([a for a, _ in got], pa.binary()), "b": pa.array([b for _, b in got], pa.binary())})
+
+    one = table.groupBy("node").agg(F.min("codes").alias("codes"))
+    return mixed_members(table, labels).join(one, "node").groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def joined_classes(table: DataFrame, labels: DataFrame) -> DataFrame:
-    """`labels` after the classes that `mixed_candidates` links have become one."""
+    """`labels` after the classes that `mixed_links` links have become one."""
     def label(of):
         return labels.select(F.col("node").alias(of), F.col("label").alias("l" + of))
 
-    new = cut(confirmed(table, mixed_candidates(table, labels)))
+    new = cut(mixed_links(table, labels))
     if new.isEmpty():
         return labels
     edges = (new.join(label("a"), "a", "left").join(label("b"), "b", "left")

@@ -257,6 +257,46 @@ def test_near_dedup_finds_pairs_behind_a_common_passage(spark):
     assert {i: least[label[node[i]]] for i, _ in rows} == want
 
 
+def test_near_dedup_of_one_template(spark):
+    """Texts of one template, all nearly alike: every edited copy is found behind the others, also where blocks are small."""
+    rng, rows = np.random.default_rng(11), []
+    template = ["t%d" % i for i in range(400)]
+    for i in range(500):
+        a = template + ["own%d_%d" % (i, j) for j in range(50)]
+        b = list(a)
+        for k in rng.choice(len(a), 9, replace=False):
+            b[k] = "edit%d_%d" % (i, k)
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    codes = [(neardup.KNOWN.of(t.split()) >> np.uint64(48)).astype("<u2") for _, t in rows]
+    sets = [np.unique(neardup.runs(c.astype(np.uint64), 5)) for c in codes]
+    both = neardup.common(sets)
+    for i, j in rng.integers(0, len(rows), (500, 2)):
+        assert i == j or both[i, j] == len(np.intersect1d(sets[i], sets[j]))
+    want = {i: i for i, _ in rows}
+    size = np.array([len(x) for x in sets])
+    for i, j in zip(*np.nonzero(np.triu(both / (size[:, None] + size[None, :] - both) >= neardup.SIMILARITY, 1)), strict=True):
+        if want[i] != want[j] and neardup.alike(codes[i].tobytes(), codes[j].tobytes()):
+            low, high = sorted((want[i], want[j]))
+            want = {k: low if v == high else v for k, v in want.items()}
+    assert sum(want[2 * i] == want[2 * i + 1] for i in range(500)) > 400 and len(set(want.values())) > 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == want
+
+
+def test_mixed_buckets_in_small_blocks(spark, monkeypatch):
+    """All nodes of different classes meet in some task, however the blocks are cut."""
+    nodes = [bytes([i]) for i in range(40)]
+    table = spark.createDataFrame([(x, b"ab", [1]) for x in nodes], "node binary, codes binary, keys array<bigint>")
+    labels = spark.createDataFrame([(x, b"\x00") for x in nodes[:25]], "node binary, label binary")
+    for block in (4, 30, 100):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        met = defaultdict(set)
+        for r in neardup.mixed_members(table, labels).collect():
+            met[r.i, r.j].add(bytes(r.node))
+        pairs = {p for v in met.values() for p in itertools.permutations(v, 2)}
+        assert all((a, b) in pairs for a in nodes for b in nodes[25:] if a != b)
+
+
 def test_alignment_is_edit_distance():
     for _ in range(200):
         a, b = (RNG.integers(0, 4, RNG.integers(0, 25)) for _ in range(2))
