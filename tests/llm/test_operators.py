@@ -149,6 +149,25 @@ def test_secrets(docs, none):
     assert clean.filter("doc_id = 1").first().text == BASE
 
 
+def test_whole_keys_and_long_tokens_go(spark):
+    body = [base64.b64encode(RNG.bytes(48)).decode() for _ in range(25)] + ["c2hvcnQ="]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    cut = "\n".join([head, *body])
+    jwt = "eyJ" + "a" * 1500 + ".eyJ" + "b" * 9000 + "." + "c" * 1200
+    made = [("\n".join([head, *body, end]), ""), ("\n".join([head, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", "", *body, end]), ""),
+            ("\\n".join([head, *body, end]), '"'), (" ".join([head, *body, end]), " and on"), ("\r\n".join([head, *body]), "\r\n\r\nnext words"),
+            (cut, "\n\nProse after it"), (cut, "\nand words after it"), ("\n".join([head, "Proc-Type: 4,ENCRYPTED", "", *body]), "\n\nnext"), (head, " is its first line"), (head, "\nNote: no key here\n"),
+            ("\n".join([head, *["> " + x for x in body], end]), "\n"), (jwt, " x"), ("ghp_" + "a" * 900, " x"), ("xoxb-" + "1" * 900, " x"), ("sk_live_" + "Z" * 900, " x")]
+    rows = [(i, "before " + s + rest) for i, (s, rest) in enumerate(made)]
+    docs = spark.createDataFrame([*rows, (99, head + "\n" + "x - y\n" * 200_000)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert {i: got[i] for i, _ in rows} == {i: "before [SECRET]" + rest for i, (_, rest) in enumerate(made)}
+    assert got[99].startswith("[SECRET]\nx - y")
+    for r in secrets.scan(docs).select("text", secrets.as_text(F.col("spans")).alias("s")).collect():
+        spans = sorted((m.start(), n, m.end(), k.kind) for n, k in enumerate(secrets.RULES) for m in re.finditer(k.pattern, r.text) if len(m.group(k.group)) >= k.least)
+        assert r.s == ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)
+
+
 def test_trigram_queries_hold_for_every_match():
     made = {"assign": "API_KEY = 'abcdefghijkl'", "access": "AKIAABCDEFGHIJKLMN", "github": "ghp_" + "a" * 36, "slack": "xoxb-1234567890", "google": "AIza" + "b" * 35,
             "stripe": "sk_live_" + "1" * 16, "jwt": "eyJ" + "a" * 10 + ".eyJ" + "b" * 10 + "." + "c" * 10, "private_key": "-----BEGIN RSA PRIVATE KEY-----"}
