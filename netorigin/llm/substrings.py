@@ -1,10 +1,9 @@
 """Substring dedup: windows of 13 words that start in an earlier document are removed.
 
-The corpus is a set of strings of words; its suffix tree is cut at depth 13, where an internal node is a window
-that occurs again.  Vertical partitioning gives each suffix a prefix of variable length: up to its first word that is not frequent.
-No such prefix has more suffixes than that word has places, at most one in `FREQUENT / 2`; prefixes are dealt to memory-sized groups,
-and each group sorts its suffixes and reads the deep nodes off equal neighbours.  Edges are fingerprints: a suffix is its prefix group
-and a 64-bit hash of its 13 words.
+A window is a 64-bit hash of its 13 words, and repeats are found by a join on these hashes; no suffix tree is built, and equal
+hashes are not verified.  Each window is dealt by a prefix of variable length, up to its first word that is not frequent: no such
+prefix has more windows than that word has places, at most one in `FREQUENT / 2`.  Prefixes are dealt to memory-sized groups, and each
+group sorts its hashes and reads the repeats off equal neighbours.
 
 Documents are batched in id order.  A batch sends every distinct window once, so a window that is common in the corpus costs a
 group one entry a batch; the first batch that has it owns it, and the later ones are told.  Within a batch the least id owns a
@@ -129,7 +128,7 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc: str = "doc_id", diges
                          "suffixes": pa.array([pack_sorted(x) for x in np.split(h, at[1:])] if len(at) else [], pa.binary())})
 
     def deep_nodes(t: pa.Table) -> pa.Table:
-        """The suffixes of one prefix group in order; a node with several leaves is told to all batches but the first."""
+        """The window hashes of one group in order; a hash of several batches is told to all of them but the first."""
         lists = [unpack_sorted(x) for x in t.column("suffixes").to_pylist()]
         batch = np.repeat(np.asarray(t.column("batch").to_numpy(), dtype=np.int64), [len(x) for x in lists])
         h = np.concatenate(lists)
