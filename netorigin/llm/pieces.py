@@ -10,15 +10,16 @@ LIMIT = 1_000_000
 class Pieces:
     """piece -> number, and the ids of all numbered pieces in one row."""
 
-    def __init__(self):
+    def __init__(self, limit: int = LIMIT):
+        self.limit = limit
         self.number: dict[str, int] = {}
         self.ids = np.zeros(0, dtype=np.int32)
         self.ends = np.zeros(1, dtype=np.int64)
 
     def missing(self, split: list[list[str]]) -> list[str]:
         new = set().union(*split).difference(self.number)
-        if len(self.number) > LIMIT:
-            self.__init__()
+        if len(self.number) > self.limit:
+            self.__init__(self.limit)
             new = set().union(*split)
         return sorted(new)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netorigin.llm import bpe, fingerprints, licenses, neardup, packing, quality, secrets, substrings, toxicity, urls
+from netorigin.llm import alignment, bpe, centroids, fingerprints, licenses, neardup, packing, quality, secrets, substrings, toxicity, urls
 
 WORDS = r"[x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> '']"
 
@@ -70,6 +70,39 @@ def op9_fingerprints(spark, folder):
     return fingerprints.compare_edited(table(spark, folder, "documents"))
 
 
+def op11_token_alignment(spark, folder):
+    import public_tokenizers
+
+    return alignment.align(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), public_tokenizers.PATTERN, tokenizer_file("piece_bpe_32k.model"))
+
+
+def op13_centroid_clusters(spark, folder):
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+def _centroid_sql() -> str:
+    """Every round as a pair of tables: all distances, then the floors of the means."""
+    dim, count, scale, seed = centroids.DIMENSION, centroids.CENTROIDS, centroids.SCALE, centroids.SEED
+    parts = [f"""
+v as materialized (select row_number() over () as r, vec_id, [cast(floor({scale} * cast(e as double)) as bigint) for e in embedding] as x from embeddings
+      where len(embedding) = {dim} and len([e for e in embedding if e is not null and isfinite(e)]) = {dim}),
+c0 as materialized (select row_number() over (order by sha256('{seed}:' || vec_id) nulls last, x) - 1 as k, x as c from v
+       qualify k < {count})"""]
+    for i in range(centroids.ROUNDS + 1):
+        parts.append(f"""
+a{i} as materialized (select r, arg_min(k, (d, k)) as k, min(d) as d from
+       (select r, k, list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(x, c)])::bigint as d from v, c{i}) group by r)""")
+        if i < centroids.ROUNDS:
+            parts.append(f"""
+m{i} as materialized (select k, list(m order by j) as c from (select k, j, (s - ((s % n + n) % n)) // n as m from
+       (select k, j, sum(e)::bigint as s, count(*) as n from (select k, unnest(x) as e, generate_subscripts(x, 1) as j from a{i} join v using (r)) group by k, j)) group by k),
+c{i + 1} as materialized (select k, coalesce(m{i}.c, c{i}.c) as c from c{i} left join m{i} using (k))""")
+    last = centroids.ROUNDS
+    return f"""with {",".join(parts)}
+select vec_id, cast(k as integer) as cluster, d as distance, cast(sum(d) over (partition by k) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+       sha256(array_to_string(c, ',')) as centroid_sha256 from a{last} join v using (r) join c{last} using (k)"""
+
+
 def _quality_sql() -> str:
     stop = ", ".join(f"'{x}'" for x in sorted({f for w in quality.STOP_WORDS for f in (w, w.capitalize())}))
     fails = []
@@ -98,6 +131,6 @@ select *, not base_failed and not ({" or ".join(fails)}) as kept from b"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_packing, op3_byte_bpe, op4_substring_dedup, op5_secret_scan, op6_license_scan, op7_toxicity,
-                            op8_url_filter, op9_fingerprints, op10_near_dedup)}
+                            op8_url_filter, op9_fingerprints, op10_near_dedup, op11_token_alignment, op13_centroid_clusters)}
 
-ORACLES: dict[str, str] = {"op1_quality_rules": _quality_sql()}
+ORACLES: dict[str, str] = {"op1_quality_rules": _quality_sql(), "op13_centroid_clusters": _centroid_sql()}
