@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netorigin.llm import alignment, bpe, centroids, fingerprints, licenses, neardup, packing, quality, secrets, substrings, toxicity, urls
+from netorigin.llm import alignment, bpe, centroids, fingerprints, licenses, neardup, ngramjoin, packing, quality, secrets, substrings, toxicity, urls
 
 WORDS = r"[x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> '']"
 
@@ -76,10 +76,33 @@ def op11_token_alignment(spark, folder):
     return alignment.align(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), public_tokenizers.PATTERN, tokenizer_file("piece_bpe_32k.model"))
 
 
+def op12_ngram_join(spark, folder):
+    return ngramjoin.join(table(spark, folder, "documents"))
+
+
 def op13_centroid_clusters(spark, folder):
     return centroids.cluster(table(spark, folder, "embeddings"))
 
 
+def _ngram_sql() -> str:
+    """Links of distinct shingle sets, then the least document id over all that is reached."""
+    n, percent = ngramjoin.SHINGLE, ngramjoin.PERCENT
+    lower = WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    return rf"""
+with recursive w as (select doc_id, {lower} as w from documents),
+s as materialized (select doc_id, case when len(w) = 0 then [] when len(w) < {n} then [array_to_string(w, ' ')]
+        else list_sort(list_distinct([array_to_string(list_slice(w, i, i + {n - 1}), ' ') for i in range(1, len(w) - {n - 2})])) end as s from w),
+u as materialized (select row_number() over () as u, s, len(s) as n, min(doc_id) as least from s where len(s) > 0 group by s),
+e as materialized (select u, n, unnest(s) as x from u),
+l as materialized (select a.u as a, b.u as b from e a join e b on a.x = b.x and a.u < b.u and 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+      group by a.u, b.u, a.n, b.n having 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+g as materialized (select a, b from l union all select b, a from l),
+r as (select u as a, u as b from u union select r.a, g.b from r join g on r.b = g.a),
+c as (select a as u, min(x.least) as component_id from r join u x on r.b = x.u group by a)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, coalesce(c.component_id, s.doc_id) as component_id
+from s left join u on u.s = s.s left join c on c.u = u.u"""
+
+
 def _centroid_sql() -> str:
     """Every round as a pair of tables: all distances, then the floors of the means."""
     dim, count, scale, seed = centroids.DIMENSION, centroids.CENTROIDS, centroids.SCALE, centroids.SEED
@@ -131,6 +154,6 @@ select *, not base_failed and not ({" or ".join(fails)}) as kept from b"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_packing, op3_byte_bpe, op4_substring_dedup, op5_secret_scan, op6_license_scan, op7_toxicity,
-                            op8_url_filter, op9_fingerprints, op10_near_dedup, op11_token_alignment, op13_centroid_clusters)}
+                            op8_url_filter, op9_fingerprints, op10_near_dedup, op11_token_alignment, op12_ngram_join, op13_centroid_clusters)}
 
-ORACLES: dict[str, str] = {"op1_quality_rules": _quality_sql(), "op13_centroid_clusters": _centroid_sql()}
+ORACLES: dict[str, str] = {"op1_quality_rules": _quality_sql(), "op12_ngram_join": _ngram_sql(), "op13_centroid_clusters": _centroid_sql()}
