@@ -185,10 +185,11 @@ def cluster(embeddings: DataFrame, count: int = CENTROIDS, rounds: int = ROUNDS,
                 which, d = search.nearest(x)
                 for c in np.unique(which):
                     sums[c] += int(d[which == c].astype(np.int64 if d.dtype != object else object).sum())
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array([str(v) for v in sums], pa.string())], names=["cluster", "d"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array([min(v, 1 << 100) for v in sums], pa.decimal128(38, 0))], names=["cluster", "d"])
 
-    sums = {r["cluster"]: int(r["d"]) for r in kept.select("x").mapInArrow(totals, "cluster int, d string")
-            .groupBy("cluster").agg(F.sum(F.col("d").cast("decimal(38,0)")).alias("d")).collect()}
+    # a sum past 64 bits is null in the end, so no more than 2^100 of it is carried
+    sums = {r["cluster"]: int(r["d"]) for r in kept.select("x").mapInArrow(totals, "cluster int, d decimal(38,0)")
+            .groupBy("cluster").agg(F.sum("d").alias("d")).collect()}
     inertia, each = sum(sums.values()), [sums.get(c, 0) for c in range(len(centroids))]
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
 

@@ -15,10 +15,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables
 
 def test_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("name", ["op1_quality_rules"])
+@pytest.mark.parametrize("name", ["op1_quality_rules", "op12_ngram_join", "op13_centroid_clusters"])
 def test_twin(spark, name):
     assert compare(entry.queries()[name](spark, FOLDER), duck_views(FOLDER), entry.oracle_sql()[name]) is None
 
