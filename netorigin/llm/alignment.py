@@ -53,16 +53,16 @@ class Side:
     def __call__(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of each text after a space, and whether its token bytes are those of the spaced text."""
         split = [self.split(" " + t) for t in texts]
-        new = self.pieces.missing(split)
+        ids = self.pieces.ids_of(split, self.fresh)
+        return ids, np.array([not self.odd or self.odd.isdisjoint(ps) for ps in split], dtype=bool)
+
+    def fresh(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces that are not in the cache; those that do not come back byte by byte are noted."""
         if not self.pieces.number:
             self.odd.clear()
-        for at in range(0, len(new), 5_000):
-            part = new[at:at + 5_000]
-            got = self.encode(part)
-            self.odd.update(p for p, ids in zip(part, got, strict=True) if self.bytes_of(ids) != p.encode("utf-8", "surrogatepass"))
-            self.pieces.add(part, np.array([len(g) for g in got], dtype=np.int64), np.array([x for g in got for x in g], dtype=np.int64))
-        same = np.array([not self.odd or self.odd.isdisjoint(ps) for ps in split], dtype=bool)
-        return self.pieces.gather(split)[1], same
+        got = self.encode(pieces)
+        self.odd.update(p for p, ids in zip(pieces, got, strict=True) if self.bytes_of(ids) != p.encode("utf-8", "surrogatepass"))
+        return got
 
 
 class ByteLevel(Side):

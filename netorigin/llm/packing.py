@@ -27,6 +27,7 @@ from netorigin.llm.pieces import Pieces
 CAPACITY = 2048
 END_ID = 1
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids array<int>"
+CACHED = 600_000  # chunks remembered in a worker
 CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -37,7 +38,7 @@ def encoder_of(path: str) -> Encoder:
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizer file.
+    """Ids of whole texts by the tokenizer file, special tokens written in a text included, as the library has them.
 
     The tokenizer drops white space before it merges, so a text's ids are those of its space-free chunks in a row; each
     distinct chunk is encoded once while it stays in the cache.
@@ -47,19 +48,23 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.pieces = Pieces()
+        self.pieces = Pieces(CACHED)
+
+    def encode(self, chunks: list[str]) -> list[list[int]]:
+        return [self.tokenizer.encode(c, add_special_tokens=False).ids for c in chunks]
 
     def __call__(self, texts: list[str | None], end: int = END_ID) -> list[np.ndarray]:
-        chunks = [CHUNK.findall(t or "") for t in texts]
-        new = self.pieces.missing(chunks)
-        for at in range(0, len(new), 2_000):  # joined by spaces, which give no ids; a token's offset tells its chunk
-            part = new[at:at + 2_000]
-            begins = np.cumsum([0, *(len(c) + 1 for c in part)])[:-1]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            whose = np.searchsorted(begins, np.array([o[0] for o in e.offsets], dtype=np.int64), side="right") - 1
-            self.pieces.add(part, np.bincount(whose, minlength=len(part)), np.array(e.ids, dtype=np.int64))
-        return [np.append(ids, end).astype("<u4") for ids in self.pieces.gather(chunks)[1]]
+        return [np.append(ids, end).astype("<u4") for ids in self.pieces.ids_of([chunks(t or "") for t in texts], self.encode)]
+
+
+def chunks(text: str) -> list[str]:
+    """Space-free chunks.  Python also splits at the four separators below space, which are no white space for the tokenizer; other white space is the same.
+
+    The tokenizer lower-cases, so chunks differ less when plain text is lower-cased first; its special tokens are looked for before that.
+    """
+    if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+        return CHUNK.findall(text)
+    return text.lower().split() if text.isascii() and "<|" not in text else text.split()
 
 
 class Packer:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import chain, repeat
+
 import numpy as np
 
 LIMIT = 1_000_000
@@ -39,3 +42,20 @@ class Pieces:
             stop = np.cumsum(size)
             out.append(self.ids[np.repeat(self.ends[k] - stop + size, size) + np.arange(stop[-1] if len(k) else 0)])
         return numbers, out
+
+    def ids_of(self, split: list[list[str]], encode: Callable[[list[str]], list[list[int]]]) -> list[np.ndarray]:
+        """Per text the ids of its pieces; `encode` gives those of pieces that are not numbered yet.  All texts are looked up at once."""
+        if len(self.number) > self.limit:
+            self.__init__(self.limit)
+        words = [*chain.from_iterable(split)]
+        k = np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        if len(unknown := np.flatnonzero(k < 0)):
+            new = sorted({words[i] for i in unknown.tolist()})
+            got = encode(new)
+            self.add(new, np.fromiter(map(len, got), dtype=np.int64, count=len(got)), np.fromiter(chain.from_iterable(got), dtype=np.int64))
+            k[unknown] = [self.number[words[i]] for i in unknown.tolist()]
+        size = self.ends[k + 1] - self.ends[k]
+        stop = np.cumsum(size)
+        ids = self.ids[np.repeat(self.ends[k] - stop + size, size) + np.arange(stop[-1] if len(k) else 0)]
+        edge = np.append(0, stop)[np.cumsum([0, *map(len, split)])].tolist()
+        return [ids[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
