@@ -12,7 +12,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from netorigin.llm import alignment, centroids, ngramjoin
+from netorigin.llm import alignment, centroids, ngramjoin, packing, substrings
 from netorigin.llm.queries import tokenizer_file
 
 A, B, PATTERN = "byte_bpe_50k.json", "piece_bpe_32k.model", public_tokenizers.PATTERN
@@ -249,3 +249,33 @@ def test_search_skips(monkeypatch):
     which, d = centroids.Search.of(c.tolist()).nearest(x)
     full = ((x[:, None, :] - c[None]) ** 2).sum(2)
     assert (which == full.argmin(1)).all() and (d == full.min(1)).all() and sum(looked) < 0.2 * full.size
+
+
+# --- substring dedup on columns that clash with its own, and spans
+
+
+def test_repeats_carry_any_column(spark):
+    rng = np.random.default_rng(9)
+    words = ["w%d" % x for x in rng.integers(0, 300, 200)]
+    passage = words[50:80]
+    rows = [(3, " ".join(words)), (7, "x y " + " ".join(passage) + "\n z"), (None, " ".join(passage[:13])), (2, None), (9, " ".join(passage[:12])), (7, "q " + " ".join(passage))]
+    names = ["doc_id", "text", "_id", "_text", "_z", "row", "batch", "none", "found", "group", "removed_spans"]
+    df = spark.createDataFrame([(i, t, *(f"{n}{k}" for n in names[2:])) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names[2:]))
+    got = substrings.drop_repeats(df)
+    assert got.columns == [*names, "n_words", "n_removed", "kept_text", "kept_sha256"]
+    assert order(got.select(*names).collect()) == order(df.collect())
+    found = {(r.doc_id, r.found.n_words): r.found for r in substrings.find_repeats(df).collect()}
+    assert [tuple(s) for s in found[7, 33].removed_spans] == [(2, 30)] and found[7, 33].kept_text == "x y z"
+    assert [tuple(s) for s in found[7, 31].removed_spans] == [(1, 30)] and found[None, 13].n_removed == 13
+    assert found[3, 200].removed_spans == [] and found[3, 200].n_removed == 0 and found[9, 12].n_removed == 0 and found[2, 0].kept_text == ""
+
+
+def test_packing_special_tokens(spark):
+    """A special token written in a text is one id, as in the library."""
+    lib = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    texts = ["a <|endoftext|> b", "A<|endoftext|>B", "<|ENDOFTEXT|> X", "x\x1cy\x1fz", "İI H̱ Σς　w", "'S 'RE <|startoftext|><|endoftext|>", "", None]
+    got = packing.pack(frame(spark, list(enumerate(texts))).coalesce(1), tokenizer_file("word_bpe_49k.json")).collect()
+    ids = {}
+    for r in sorted(got, key=lambda r: r.start):
+        ids.setdefault(r.doc_id, []).extend(r.ids)
+    assert ids == {i: [*lib.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)} and 49407 in ids[0] + ids[5]
