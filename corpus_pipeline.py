@@ -27,10 +27,10 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def no_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated windows.  Untouched texts stay as they are; emptied documents go."""
-    d = substrings.drop_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return (d.filter("n_removed = 0 or n_removed < n_words").withColumn("text", text)
-            .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*docs.columns))
+    touched = F.col("found.n_removed") > 0
+    made = {"text": F.col("found.kept_text"), "n_chars": F.length("found.kept_text").cast("bigint")}
+    return (substrings.find_repeats(docs).filter("found.n_removed = 0 or found.n_removed < found.n_words")
+            .select(*[F.when(touched, made[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in made else F.col(f"row.`{c}`") for c in docs.columns]))
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
