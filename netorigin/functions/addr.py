@@ -249,6 +249,43 @@ def cidr_pieces(df, start: str = "range_start", end: str = "range_end"):
         start, end, *rest, "p.net", "p.len")
 
 
+def cidr_cover_v6(df, start: str = "range_start", end: str = "range_end"):
+    """Exact minimal prefix decomposition of IPv6 ranges: one row per (net, len).  A null bound or an end before its start gives no row.
+
+    Let a be the address before the range, b the one after it, and d the highest bit in which they differ.  The blocks are, for every bit k below d, the one
+    right of a's path where a has 0 at k, and the one left of b's path where b has 1 at k.  A range that begins the space has no a, and all bits of b count; one that
+    ends it has no b; the whole space is one block.  All of it is bit work on the two halves; nothing needs more than 64 bits.
+    """
+    s, e = F.col(start), F.col(end)
+    before, after = V6.pred(s), V6.succ(e)
+    bits = lambda x, half: unbias(x[half])
+    differ = lambda half: bits(before, half).bitwiseXOR(bits(after, half))
+    one = F.lit(1).cast("bigint")
+    shl = lambda n: F.call_function("shiftleft", one, n.cast("int"))
+    high_part = lambda x, k: F.when(k < 63, F.call_function("shiftrightunsigned", x, (k + 1).cast("int"))).otherwise(F.lit(0).cast("bigint"))
+
+    def at(k: Column) -> Column:
+        low = k < 64
+        j = F.when(low, k).otherwise(k - 64)
+        bit = shl(j)
+        has = lambda x: F.when(low, bits(x, "lo").bitwiseAND(bit) != 0).otherwise(bits(x, "hi").bitwiseAND(bit) != 0)
+        # some higher bit differs, or one side is beyond the space
+        below = before.isNull() | after.isNull() | F.when(low, (differ("hi") != 0) | (high_part(differ("lo"), j) != 0)).otherwise(high_part(differ("hi"), j) != 0)
+        piece = lambda hi, lo: F.struct(v6(hi, lo).alias("net"), (F.lit(128) - k).cast("int").alias("len"))
+        ma, mb = V6.mask(before, F.lit(127) - k), V6.mask(after, F.lit(127) - k)
+        left = F.when(before.isNotNull() & below & ~has(before), piece(F.when(low, bits(ma, "hi")).otherwise(bits(ma, "hi").bitwiseOR(bit)),
+                                                                       F.when(low, bits(ma, "lo").bitwiseOR(bit)).otherwise(bits(ma, "lo"))))
+        right = F.when(after.isNotNull() & below & has(after), piece(bits(mb, "hi"), bits(mb, "lo")))
+        return F.array(left, right)
+
+    nothing = F.lit(0).cast("bigint")
+    whole = F.array(F.struct(v6(nothing, nothing).alias("net"), F.lit(0).alias("len")))
+    parts = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(127)), at)), lambda p: p.isNotNull())
+    rest = [c for c in df.columns if c not in (start, end)]
+    return (df.filter(s.isNotNull() & e.isNotNull() & (s <= e)).select(s, e, *rest, F.explode(F.when(before.isNull() & after.isNull(), whole).otherwise(parts)).alias("p"))
+            .select(start, end, *rest, "p.net", "p.len"))
+
+
 def register_sql(spark) -> None:
     """Address helpers for SQL users: plain SQL functions, no Python at run time."""
     octets = " + ".join(f"cast(split(t, '[.]')[{i}] as bigint) * {1 << (24 - 8 * i)}" for i in range(4))

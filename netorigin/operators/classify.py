@@ -63,3 +63,10 @@ def lookup(addresses: DataFrame, table: DataFrame, space=V4, addr: str = "ip") -
 def classify_points(points: DataFrame, table: DataFrame, space=V4, addr: str = "ip") -> DataFrame:
     """Verdict columns on every point row."""
     return points.join(lookup(points, table, space, addr), addr)
+
+
+def stored_verdicts(points: DataFrame, index, addr: str = "ip") -> DataFrame:
+    """points + verdict, rule, asn from a stored index of the lookup table; batch or stream.  Every non-null address gets a verdict."""
+    hit = index.lookup(points, addr, how="left").withColumn("v", verdict_of(F.col(addr), index.space))
+    special = special_verdict(F.col(addr), index.space).isNotNull()
+    return hit.select(*points.columns, "v.verdict", "v.rule", F.when(~special, F.col("asn")).alias("asn"))

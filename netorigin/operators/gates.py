@@ -276,6 +276,31 @@ def tiling(pieces: DataFrame, intervals: DataFrame) -> DataFrame:
     return t.join(over, "k").drop("k")
 
 
+def exact_tiling(pieces: DataFrame, records: DataFrame, space) -> DataFrame:
+    """Do the prefixes of each record cover it exactly once?  One row: records, pieces, covered, uncovered, outside, overlaps, orphans.
+
+    pieces(range_start, range_end, net, len) name their record by its bounds; `records` are distinct ranges.  `uncovered` counts records with a missing piece,
+    `outside` pieces that leave their record, `overlaps` pieces that begin inside or on another one of the whole table, `orphans` pieces without a
+    record.  All sizes are exact, in IPv6 as decimals.  Every piece is looked at once per record and once along the line, so a fault anywhere is found.
+    """
+    p = pieces.select("range_start", "range_end", "net", space.last(F.col("net"), F.col("len")).alias("last"))
+    # A piece of several records or copies of one lie at one position: count them there, scan the line for what earlier ones reach.
+    line = scan(p.groupBy(F.col("net").alias("pos")).agg(F.max("last").alias("reach"), F.count("*").alias("n")), space, maxes=("reach",))
+    over = line.select((F.col("n") - 1 + F.when(F.coalesce(F.col("top_reach") >= F.col("pos"), F.lit(False)), 1).otherwise(0)).alias("k")).agg(
+        F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("overlaps"))
+    inside = (F.col("net") >= F.col("range_start")) & (F.col("last") <= F.col("range_end"))
+    per = p.distinct().groupBy("range_start", "range_end").agg(
+        F.sum(F.when(inside, space.size(F.col("net"), F.col("last")))).alias("covered"), F.count_if(~inside).alias("outside"), F.count("*").alias("pieces"))
+    r = records.select("range_start", "range_end", F.lit(True).alias("known"))
+    j = r.join(per, ["range_start", "range_end"], "full")
+    short = F.col("known") & ~F.coalesce(F.col("covered") == space.size(F.col("range_start"), F.col("range_end")), F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    total = j.agg(F.count("known").alias("records"), F.coalesce(F.sum("pieces"), zero).alias("pieces"), F.coalesce(F.sum("covered").cast("decimal(38,0)"), zero).cast("decimal(38,0)").alias("covered"),
+                  F.count_if(short).alias("uncovered"), F.coalesce(F.sum("outside"), zero).alias("outside"),
+                  F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("pieces"))), zero).alias("orphans"))
+    return total.join(F.broadcast(over)).select("records", "pieces", "covered", "uncovered", "outside", "overlaps", "orphans")
+
+
 def mapped_collisions(intervals6: DataFrame) -> DataFrame:
     """IPv6 rows that touch ::/96 or ::ffff:0:0/96; both counts must be 0."""
     s, e = F.col("range_start"), F.col("range_end")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netorigin.operators.lineage import cut
+from netorigin.operators.forest import covering_chain, flatten
 from netorigin.operators.ranges import coalesce_equal
 from netorigin.operators.scan import scan
 
@@ -85,33 +85,20 @@ def longest_prefix_match(points: DataFrame, prefixes: DataFrame, space, payload:
 
 
 def flatten_prefixes(prefixes: DataFrame, space, payload: list[str], merge: bool = True) -> DataFrame:
-    """Nested prefixes -> disjoint ranges, the most specific prefix winning.
-
-    Segments between neighbouring prefix bounds are matched by their first
-    address; touching segments with an equal payload are then joined.
-    """
-    prefixes = cut(prefixes.select("net", "len", *payload))  # read three times below
-    p = prefixes.select("net", "len", space.last(F.col("net"), F.col("len")).alias("last"))
-    bounds = p.select(F.explode(F.array(F.col("net"), space.succ(F.col("last")))).alias("pos")).filter("pos is not null").distinct()
-    seg = scan(bounds, space, nexts=True).select(
-        F.col("pos").alias("range_start"), F.coalesce(space.pred(F.col("next_pos")), space.max()).alias("range_end"))
-    # After the last bound nothing is covered, except a prefix that ends at the
-    # family maximum; the match below decides that by itself.
-    hit = lpm_distinct(seg.select(F.col("range_start").alias("ip")), prefixes, space, payload)
-    out = seg.join(hit, F.col("range_start") == F.col("ip")).select("range_start", "range_end", *payload, "net", "len")
+    """Nested prefixes -> disjoint ranges, the most specific prefix winning; touching ranges with an equal payload are then joined."""
+    out = flatten(prefixes.select("net", "len", *payload), space, payload)
     if not merge:
         return out
     return coalesce_equal(out.select("range_start", "range_end", *payload), space, payload)
 
 
 def covering_prefixes(routes: DataFrame, vrps: DataFrame, space) -> DataFrame:
-    """Every stored prefix that covers a route: probe only lengths that occur and
-    are not longer than the route.  routes(net,len,...), vrps(net,len,...)."""
-    lengths = observed_lengths(vrps) or [0]
-    r = routes.withColumnsRenamed({"net": "route_net", "len": "route_len"})
-    probes = _probe(r, "route_net", space, lengths, F.col("route_len"))
+    """Every stored prefix that covers a route.  routes(net,len,...), vrps(net,len,...): the route's columns with route_net and
+    route_len, net and len, and the other stored columns as vrp_<column>."""
+    r = routes.withColumnsRenamed({"net": "route_net", "len": "route_len"}).withColumn("route_len", F.col("route_len").cast("int"))
     v = vrps.withColumn("len", F.col("len").cast("int"))
-    return probes.join(v.withColumnsRenamed({c: f"vrp_{c}" for c in v.columns if c not in ("net", "len")}), ["net", "len"])
+    return r.join(covering_chain(routes, v, space), ["route_net", "route_len"]).join(
+        v.withColumnsRenamed({c: f"vrp_{c}" for c in v.columns if c not in ("net", "len")}), ["net", "len"])
 
 
 def merge_sources(tables: dict[str, DataFrame], key: str = "asn") -> DataFrame:

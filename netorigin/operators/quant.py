@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from netorigin.functions import text as tx
 from netorigin.functions.space import V4, V6
-from netorigin.operators.joins import _probe, merge_sources, observed_lengths
+from netorigin.operators.forest import covering_chain
+from netorigin.operators.joins import merge_sources
+from netorigin.operators.lineage import cut
 from netorigin.operators.ranges import union_size
 from netorigin.operators.scan import scan
 
@@ -58,25 +60,18 @@ def prefix_footprint(p4: DataFrame, p6: DataFrame | None = None) -> DataFrame:
 def route_states(routes: DataFrame, vrps: DataFrame, space=V4) -> DataFrame:
     """Validation state of each distinct route(net, len, asn): valid | invalid | notfound.
 
-    Stored prefixes collapse to one row per (net, len, asn) with the widest
-    permitted length, plus one row per (net, len) that only says "covered".  A
-    route probes both keys per occurring length, so no (route, prefix) pairs
-    beyond one per probe are made, however many copies a stored prefix has.
+    A route's chain of covering prefixes says whether it is covered at all.  Stored prefixes collapse to one row per
+    (net, len, asn) with the widest permitted length, and meet the chains of that ASN's routes only.
     """
-    lengths = observed_lengths(vrps) or [0]
-    r = routes.select("net", "len", "asn").distinct()
-    anyone = F.lit(-1).cast("bigint")
-    v = vrps.select("net", F.col("len").cast("int").alias("len"), F.col("asn").cast("bigint").alias("asn"), "maxlen")
-    keyed = v.select("net", "len", F.explode(F.array(F.col("asn"), anyone)).alias("who"), "maxlen").groupBy(
-        "net", "len", "who").agg(F.max("maxlen").alias("maxlen"))
-    probes = _probe(r.select(F.col("net").alias("route_net"), F.col("len").alias("route_len"), F.col("asn").cast("bigint").alias("asn")),
-                    "route_net", space, lengths, F.col("route_len"))
-    probes = probes.withColumn("who", F.explode(F.array(F.col("asn"), anyone)))
-    hit = probes.join(keyed, ["net", "len", "who"]).groupBy("route_net", "route_len", "asn").agg(
-        F.max((F.col("who") != -1) & (F.col("maxlen") >= F.col("route_len"))).alias("ok"))
-    return r.join(hit.withColumnsRenamed({"route_net": "net", "route_len": "len"}), ["net", "len", "asn"], "left").select(
-        "net", "len", "asn",
-        F.when(F.col("ok"), F.lit("valid")).when(F.col("ok").isNotNull(), F.lit("invalid")).otherwise(F.lit("notfound")).alias("state"))
+    r = routes.select("net", F.col("len").cast("int").alias("len"), F.col("asn").cast("bigint").alias("asn")).distinct()
+    v = vrps.select("net", F.col("len").cast("int").alias("len"), F.col("asn").cast("bigint").alias("asn"), "maxlen").groupBy("net", "len", "asn").agg(F.max("maxlen").alias("maxlen"))
+    chain = cut(covering_chain(r, v, space))
+    named = r.withColumnsRenamed({"net": "route_net", "len": "route_len"})
+    covered = chain.select("route_net", "route_len").distinct().withColumn("covered", F.lit(True))
+    fits = (named.join(chain, ["route_net", "route_len"]).join(v, ["net", "len", "asn"]).filter(F.col("maxlen") >= F.col("route_len"))
+            .select("route_net", "route_len", "asn").distinct().withColumn("ok", F.lit(True)))
+    return (named.join(covered, ["route_net", "route_len"], "left").join(fits, ["route_net", "route_len", "asn"], "left")
+            .select(F.col("route_net").alias("net"), F.col("route_len").alias("len"), "asn", F.when(F.col("ok"), F.lit("valid")).when(F.col("covered"), F.lit("invalid")).otherwise(F.lit("notfound")).alias("state")))
 
 
 def route_validation(states: DataFrame) -> DataFrame:

@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netorigin.functions.space import V4, V6
-from netorigin.operators import backbone, project, quant, registry, sets
+from netorigin.functions.space import V4, V6, v6
+from netorigin.operators import backbone, classify, digest, gates, index, project, quant, ranges, registry, sets
 from netorigin.operators.lineage import cut, shared_folder
 from netorigin.plans import q_ranges as qr, q_networks as qn, q_routing as qt
 from netorigin.plans.build import build_intervals
 from netorigin.plans.catalog import query
-from netorigin.plans.tables import SEGMENTS, ip_text
+from netorigin.plans.tables import HI6, SEGMENTS, hex128, ip_text, merged, ranges6, u128
+from netorigin.functions import addr
 from netorigin.sources import parse, sinks
 from netorigin.streaming import lookup as stream_lookup, resume
 
@@ -178,6 +179,57 @@ def _(t):
     return t.spark.read.parquet(f"{out}/rows")
 
 
+def stored(t, table: DataFrame, space, payload: list[str]) -> index.StoredIndex:
+    """An index of `table`, written to a fresh folder and opened again."""
+    path = fresh_folder(t, "index")
+    index.write_index(table, space, payload, path)
+    return index.StoredIndex.open(t.spark, path, space)
+
+
+LAYERS = ["asn", "flags", "vpn_range", "datacenter_range"]
+
+
+@query("join1_stored_index", """select event_id, ip, case when b.range_end >= ip then b.range_start end as range_start, case when b.range_end >= ip then b.range_end end as range_end,
+    case when b.range_end >= ip then b.asn end as asn from @ips i asof left join @base b on i.ip >= b.range_start""")
+def _(t):
+    return stored(t, t.base, V4, ["asn"]).lookup(t.ips.select("event_id", "ip"), how="left")
+
+
+@query("join1_stored_index_v6", f"""select event_id, {hex128('range_start')} as start_hex, {hex128('range_end')} as end_hex, asn from (select event_id, {u128('hi', 'lo')} as ip from @ips6) i
+    asof join {ranges6('base6', ', asn')} b on i.ip >= b.range_start where b.range_end >= i.ip""")
+def _(t):
+    points = t.ips6.select("event_id", v6(F.col("hi"), F.col("lo")).alias("ip"))
+    return stored(t, t.six("base6"), V6, ["asn"]).lookup(points).select("event_id", V6.hex(F.col("range_start")).alias("start_hex"), V6.hex(F.col("range_end")).alias("end_hex"), "asn")
+
+
+query("cls11_stored_lookup", f"select event_id, ip, verdict, rule, asn from {qr._LOOKUP}")(
+    lambda t: classify.stored_verdicts(t.ips.select("event_id", "ip"), stored(t, qr.segments(t), V4, LAYERS)))
+
+
+def streamed(t, points: DataFrame, ix: index.StoredIndex) -> DataFrame:
+    """Verdicts of a stream of the events, drained into a table that is read back."""
+    out = fresh_folder(t, "stream")
+    q = classify.stored_verdicts(points, ix).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/ckpt").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return t.spark.read.parquet(f"{out}/rows")
+
+
+def event_stream(t) -> DataFrame:
+    return t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parque[t]")
+
+
+query("stm1_stored_index", f"select event_id, ip, verdict, rule, asn from {qr._LOOKUP}")(
+    lambda t: streamed(t, event_stream(t).select("event_id", (16777216 + (F.col("event_id") * 7919) % 4000000000).alias("ip")), stored(t, qr.segments(t), V4, LAYERS)))
+
+
+@query("stm1_stored_index_v6", f"""select event_id, {hex128('ip')} as ip_hex, case when asn is null then 'unknown' else 'unknown' end as verdict, case when asn is null then 'unrouted' else 'asn_no_category' end as rule, asn from (
+    select event_id, ip, case when b.range_end >= ip then asn end as asn from (select event_id, {u128('hi', 'lo')} as ip from @ips6) i asof left join {ranges6('base6', ', asn')} b on i.ip >= b.range_start)""")
+def _(t):
+    base = t.six("base6").select("range_start", "range_end", "asn", F.lit(0).alias("flags"), F.lit(False).alias("vpn_range"), F.lit(False).alias("datacenter_range"))
+    points = event_stream(t).select("event_id", v6(F.lit(HI6) + F.col("event_id") * 104729, F.col("event_id") * 31).alias("ip"))
+    return streamed(t, points, stored(t, base, V6, LAYERS)).select("event_id", V6.hex(F.col("ip")).alias("ip_hex"), "verdict", "rule", "asn")
+
+
 @query("stm2_resumable", "select doc_id as asn, count(*) as n from @documents group by 1")
 def _(t):
     """Two runs over the same growing input: the second finds nothing left to do."""
@@ -202,3 +254,52 @@ def build(t) -> DataFrame:
 _SEG = SEGMENTS.replace("@base", "sane").replace("(with b as", f"(with sane as {_SANEB}, b as", 1)
 query("full_build", f"select core_verdict, count(*) as intervals, cast(sum(n) as bigint) as addresses from (select {qr.VERDICT} as core_verdict, range_end - range_start + 1 as n from {qr.INTERVALS.replace(SEGMENTS, _SEG)}) group by 1")(
     lambda t: build(t).groupBy("core_verdict").agg(F.count("*").alias("intervals"), F.sum(F.col("range_end") - F.col("range_start") + 1).alias("addresses")))
+
+# ---------------------------------------------------------------- two builds, 128-bit covers and their proof
+_TWO = f"(select count(*) as n from {qr.INTERVALS})"
+
+
+@query("dq23_two_builds", f"select 'again' as build, n as rows_a, n as rows_b, true as same from {_TWO} union all select 'one_flag', n, n, false from {_TWO} union all select 'one_row_less', n, n - 1, false from {_TWO}")
+def _(t):
+    """The product built twice, the second time from reversed and redistributed inputs; then with one flag changed, and with one row gone."""
+    first = cut(qr.intervals(t))
+    mixed = ranges.merge_ranges(t.vpn_raw.repartition(5), V4), ranges.merge_ranges(t.dc_raw.orderBy(F.col("range_start").desc()), V4)
+    second = cut(project.intervals(qr.stamped(t).repartition(7), *mixed, t.names))
+    least = first.agg(F.min("range_start").alias("at"))
+    changed = second.join(F.broadcast(least), F.col("range_start") == F.col("at"), "left").withColumn("vpn_range", F.col("vpn_range") != F.col("at").isNotNull()).drop("at")
+    fewer = second.join(F.broadcast(least), F.col("range_start") == F.col("at"), "left_anti")
+    rows = [digest.same_digest(first, other).select(F.lit(name).alias("build"), "rows_a", "rows_b", "same") for name, other in (("again", second), ("one_flag", changed), ("one_row_less", fewer))]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+_R6 = f"({merged('select * from ' + ranges6('vpn6'))})"
+_COVER6 = f"""(with l as (select range_start, range_end, k::uhugeint as k, 1::uhugeint << k::uhugeint as blk from (select *, unnest(range(0, 96)) as k from {_R6})),
+    b as (select *, (range_start + blk - 1) // blk as lo, (range_end + 1) // blk as hi from l),
+    x as (select *, lo % 2 = 1 as odd_lo, hi % 2 = 1 as odd_hi from b where lo < hi)
+    select range_start, range_end, lo * blk as net, cast(128 - k as integer) as len from x where odd_lo
+    union all select range_start, range_end, (hi - 1) * blk, cast(128 - k as integer) from x where odd_hi and not (odd_lo and lo = hi - 1))"""
+_HEX6 = f"{hex128('range_start')} as start_hex, {hex128('range_end')} as end_hex, {hex128('net')} as net_hex, len"
+
+
+def cover6(t) -> DataFrame:
+    return addr.cidr_cover_v6(ranges.merge_ranges(t.six("vpn6"), V6))
+
+
+query("addr12_cidr_cover_v6", f"select {_HEX6} from {_COVER6}")(
+    lambda t: cover6(t).select(V6.hex(F.col("range_start")).alias("start_hex"), V6.hex(F.col("range_end")).alias("end_hex"), V6.hex(F.col("net")).alias("net_hex"), "len"))
+
+_SIZE6 = "cast((range_end - range_start + 1)::varchar as decimal(38,0))"
+_BLK6 = "cast((1::uhugeint << (128 - len)::uhugeint)::varchar as decimal(38,0))"
+query("dq18_exact_tiling_v6", f"""select (select count(*) from {_R6}) as records, count(*) as pieces, cast(sum({_BLK6}) as decimal(38,0)) as covered, cast(0 as bigint) as uncovered,
+    cast(0 as bigint) as outside, cast(0 as bigint) as overlaps, cast(0 as bigint) as orphans from {_COVER6}""")(
+    lambda t: gates.exact_tiling(cover6(t), ranges.merge_ranges(t.six("vpn6"), V6), V6))
+# Faults: no /117 pieces, a copy of every /121 in half its size, every record that begins at an even hextet gone.
+_BAD6 = f"""(select * from {_COVER6} where len <> 117 union all select range_start, range_end, net, 122 from {_COVER6} where len = 121)"""
+_KEPT6 = f"(select * from {_R6} where (range_start >> 64::uhugeint) % 2 = 1)"
+query("dq18_broken_tiling_v6", f"""with p as {_BAD6}, per as (select range_start, range_end, count(*) as pieces, sum({_BLK6}) as covered from p group by 1, 2)
+    select (select count(*) from {_KEPT6}) as records, cast(sum(pieces) as bigint) as pieces, cast(sum(covered) as decimal(38,0)) as covered,
+    (select count(*) from {_KEPT6} r left join per using (range_start, range_end) where covered is null or covered <> {_SIZE6}) as uncovered, cast(0 as bigint) as outside,
+    (select count(*) from {_COVER6} where len = 121) as overlaps,
+    cast(sum(case when (range_start >> 64::uhugeint) % 2 = 1 then 0 else pieces end) as bigint) as orphans from per""")(
+    lambda t: gates.exact_tiling(cover6(t).filter("len <> 117").union(cover6(t).filter("len = 121").withColumn("len", F.lit(122))),
+                                 ranges.merge_ranges(t.six("vpn6"), V6).filter((F.col("range_start")["hi"] % 2) != 0), V6))
