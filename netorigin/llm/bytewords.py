@@ -41,8 +41,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of the texts of a column: byte bounds, hashes, and the number of the text each is in."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, lower: bool = False):
+        """`lower` takes A-Z as a-z; other letters stay."""
         self.data, self.edges = text_bytes(column)
+        if lower:
+            self.data = self.data | np.where((self.data >= 65) & (self.data <= 90), np.uint8(32), np.uint8(0))
         inside = ~SPACE[self.data]
         before, after = np.append(False, inside)[:-1], np.append(inside, False)[1:]
         before[self.edges[:-1][self.edges[:-1] < len(inside)]] = False
@@ -79,12 +82,12 @@ class Words:
         return [raw[s - lo:e - lo] for s, e in zip(self.starts[a:b].tolist(), self.ends[a:b].tolist(), strict=True)]
 
 
-def words_by_block(column: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, Words]]:
+def words_by_block(column: pa.Array, size: int = 4_000_000, lower: bool = False) -> Iterator[tuple[int, Words]]:
     """(first row, words) of runs of rows with about `size` bytes of text each."""
     lengths = np.asarray(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
     ends = np.cumsum(lengths)
     while at < len(lengths):
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
-        yield at, Words(column.slice(at, to - at))
+        yield at, Words(column.slice(at, to - at), lower)
         at = to

@@ -12,14 +12,13 @@ with one set are one node.
   sizes and places allow is compared.  So no link between two classes is lost, and no list is expanded into pairs that are known to be connected.
 * The boundary is the one of least cost: subsets filed by the small sets, against list entries met by the others, both counted on the data.
 
-Candidates get the exact shingle counts.  Classes are the connected components.
+Candidates whose parity signatures leave too few common shingles go; the others get the exact shingle counts.  Classes are the connected components.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-import string
 from itertools import chain, combinations
 
 import numpy as np
@@ -27,18 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netorigin.llm.columns import blocks
+from netorigin.llm.bytewords import Words, words_by_block
 from netorigin.llm.neardup import components
-from netorigin.llm.wordhash import KNOWN, WORD, mix, runs
+from netorigin.llm.wordhash import runs
 from netorigin.operators.lineage import cut
 
 SHINGLE, PERCENT = 5, 80
 MOST_SMALL = 24  # no larger set is filed by subsets
-ENTRY_COST = 4  # a met list entry against a filed subset
+ENTRY_COST = 8  # a met list entry, whose two sets are to be compared, against a filed subset or a posted shingle
 FREQUENT = 65_536  # a shingle with more than one in so many places is frequent; at most so many are
 SHORT = 3
+BROADCAST_KEYS = 200_000  # rows of three numbers
 BLOCK = 4_096  # most sets of a list in a block
-LOWER = {ord(c): c.lower() for c in string.ascii_uppercase}
 NO_HASHES = np.zeros(0, dtype=np.uint64)
 
 
@@ -57,10 +56,26 @@ def filed(n: int, most: int, percent: int = PERCENT) -> int:
     return sum(math.comb(n, needed(n, b, percent)) for b in partners(n, most, percent) if needed(n, b, percent) <= min(n, b))
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Ascending hashes of the distinct runs of `size` words, A-Z in lower case; fewer words are one run."""
-    codes = KNOWN.of(WORD.findall((text or "").translate(LOWER)))
-    return np.unique(runs(codes, min(size, len(codes)))) if len(codes) else NO_HASHES
+def shingle_sets(words: Words, size: int = SHINGLE) -> list[np.ndarray]:
+    """Per text the ascending hashes of its distinct runs of `size` words; fewer words are one run, no words none."""
+    codes = words.hashes()
+    h = runs(codes, size)
+    return [np.unique(h[a:b - size + 1]) if b - a >= size else runs(codes[a:b], b - a) if b > a else NO_HASHES
+            for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
+
+
+def signature(s: np.ndarray) -> bytes:
+    """Parity bits of the set: bit i tells whether an odd number of hashes end in i.  Between two and four bits a shingle, 64 at least."""
+    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of shingles that are in one set alone: each changes one bit of its signature."""
+    a, b = sorted((np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
@@ -71,8 +86,8 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
     def run(batches):
         codes, counts, total = NO_HASHES, np.zeros(0, np.int64), 0
         for b in batches:
-            for _, texts in blocks(b):
-                h = np.concatenate([NO_HASHES, *(shingles(t, size) for t in texts)])
+            for _, words in words_by_block(b.column("text"), lower=True):
+                h = np.concatenate([NO_HASHES, *shingle_sets(words, size)])
                 total += len(h)
                 u, n = np.unique(h, return_counts=True)
                 codes, inverse = np.unique(np.concatenate([codes, u]), return_inverse=True)
@@ -92,9 +107,10 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, frequent: np.ndarray, text: str, doc: str, size: int, percent: int) -> DataFrame:
-    """(doc_id, th, uid, node, n, rare, prefix, whole), one row per document.
+    """(doc_id, th, uid, node, n, rare, prefix, whole, sign), one row per document.
 
-    `node` is the same for the same set; `prefix` has the shingles to post in order, the first `rare` of them not frequent; `whole` is the set if it is small.
+    `node` is the same for the same set; `prefix` has the shingles to post in order, the first `rare` of them not frequent; `whole` is the set if it is small,
+    `sign` its signature.
     """
     by_hash = np.argsort(frequent)
     known = frequent[by_hash]
@@ -105,11 +121,11 @@ def sketched(docs: DataFrame, frequent: np.ndarray, text: str, doc: str, size: i
 
     def run(batches):
         for b in batches:
-            nodes, ns, rare, prefix, whole = [], [], [], [], []
-            for _, texts in blocks(b.select(["uid", "text"])):
-                for t in texts:
-                    s = shingles(t, size)
+            nodes, ns, rare, prefix, whole, signs = [], [], [], [], [], []
+            for _, words in words_by_block(b.column("text"), lower=True):
+                for s in shingle_sets(words, size):
                     n = len(s)
+                    signs.append(signature(s))
                     take = n - -(-percent * n // 100) + 1 if n else 0
                     nodes.append(hashlib.md5(s.tobytes()).digest())
                     ns.append(n)
@@ -125,15 +141,15 @@ def sketched(docs: DataFrame, frequent: np.ndarray, text: str, doc: str, size: i
                     prefix.append(s[:take])
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), b.column("th"), b.column("uid"), pa.array(nodes, pa.binary()), pa.array(ns, pa.int64()), pa.array(rare, pa.int64()),
-                lists(prefix), lists(whole)], names=["doc_id", "th", "uid", "node", "n", "rare", "prefix", "whole"])
+                lists(prefix), lists(whole), pa.array(signs, pa.binary())], names=["doc_id", "th", "uid", "node", "n", "rare", "prefix", "whole", "sign"])
 
     return docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"),
                        F.monotonically_increasing_id().alias("uid"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, th bigint, uid bigint, node binary, n bigint, rare bigint, prefix array<bigint>, whole array<bigint>")
+        run, "doc_id bigint, th bigint, uid bigint, node binary, n bigint, rare bigint, prefix array<bigint>, whole array<bigint>, sign binary")
 
 
 def boundary(small: DataFrame, percent: int) -> int:
-    """Size up to which sets are filed by subsets: the least sum of subsets filed up to it and list entries met above it, among the sets of up to `MOST_SMALL`."""
+    """Size up to which sets are filed by subsets: the least sum of subsets filed, shingles posted and list entries met, among the sets of up to `MOST_SMALL`."""
     entries = small.select("n", F.explode("prefix").alias("token"))
     lists = entries.groupBy("token").agg(F.count("*").alias("length"))
     sizes = entries.groupBy("token", "n").agg(F.count("*").alias("sets"))
@@ -141,7 +157,9 @@ def boundary(small: DataFrame, percent: int) -> int:
     sets = {r["n"]: r["count"] for r in small.groupBy("n").count().collect()}
 
     def cost(most: int) -> float:
-        return sum(k * filed(n, most, percent) for n, k in sets.items() if n <= most) + ENTRY_COST * sum(v for n, v in met.items() if n > most)
+        light = sum(k * filed(n, most, percent) for n, k in sets.items() if n <= most)
+        posted = sum(k * (n - -(-percent * n // 100) + 1) for n, k in sets.items() if 100 * n >= percent * (most + 1))
+        return light + posted + ENTRY_COST * sum(v for n, v in met.items() if n > most)
 
     return min(range(MOST_SMALL + 1), key=lambda most: (cost(most), most))
 
@@ -255,14 +273,33 @@ def met_in_blocks(members: DataFrame, most: int, percent: int) -> DataFrame:
     return members.groupBy("token", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
-def sets_of(docs: DataFrame, heads: DataFrame, uids: DataFrame, text: str, doc: str, size: int) -> DataFrame:
-    """(uid, shingles): the sets of the nodes `uids`, taken again from a document of each."""
+def likely(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of `pairs` whose signatures allow a link: an exact filter that needs a small part of the sets' bytes."""
     def run(batches):
         for b in batches:
-            for names, texts in blocks(b.select(["uid", "text"])):
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([shingles(t, size).tobytes() for t in texts], pa.binary())], names=["uid", "shingles"])
+            na, nb, x, y = (b.column(c).to_pylist() for c in ("na", "nb", "xa", "xb"))
+            ok = [differing(s, t) <= m + n - 2 * needed(m, n, percent) for m, n, s, t in zip(na, nb, x, y, strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    side = lambda of: table.select(F.col("uid").alias(of), F.col("n").alias("n" + of), F.col("sign").alias("x" + of))
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a bigint, b bigint")
+
 
-    asked = heads.join(uids, "uid", "left_semi").select("uid", F.col("doc_id").alias("_doc"), "th")
+def sets_of(docs: DataFrame, heads: DataFrame, pairs: DataFrame, text: str, doc: str, size: int) -> DataFrame:
+    """(uid, shingles): the sets of the nodes in `pairs`, taken again from a document of each.
+
+    The keys of the documents asked for are broadcast while they are few by count, and joined by shuffle beyond that.
+    """
+    def run(batches):
+        for b in batches:
+            for at, words in words_by_block(b.column("text"), lower=True):
+                sets = shingle_sets(words, size)
+                yield pa.RecordBatch.from_arrays([b.column("uid").slice(at, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["uid", "shingles"])
+
+    uids = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    asked = cut(heads.join(uids, "uid", "left_semi").select("uid", F.col("doc_id").alias("_doc"), "th"))
+    if asked.count() <= BROADCAST_KEYS:
+        asked = F.broadcast(asked)
     rows = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text")).withColumn("_th", F.xxhash64(F.coalesce("text", F.lit(""))))
     return (rows.join(asked, (rows["_th"] == asked["th"]) & rows["doc_id"].eqNullSafe(asked["_doc"])).select("uid", "text").mapInArrow(run, "uid bigint, shingles binary")
             .groupBy("uid").agg(F.min("shingles").alias("shingles")))  # repeated rows have the same
@@ -307,17 +344,18 @@ def join(docs: DataFrame, text: str = "text", doc: str = "doc_id", size: int = S
     fits = ((100 * least >= percent * greatest) & (greatest > most)
             & ((100 + percent) * (1 + F.least(F.col("n") - F.col("pos"), F.col("hub.n") - F.col("hub.pos"))) >= percent * (least + greatest)))
     with_hubs = often.join(hubs, "token").filter(fits & (F.col("uid") != F.col("hub.uid"))).select(F.col("hub.uid").alias("a"), F.col("uid").alias("b"))
+    signs = table.select("uid", "n", "sign")
     pairs = cut(met.filter("hub is not null").select(F.col("uid").alias("a"), F.col("hub").alias("b")).union(with_hubs).distinct())
     entries = met.filter("hub is null").drop("hub").union(often)
-    sets = cut(sets_of(docs, heads, pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), text, doc, size))
-    links = cut(light_links(small, most, percent).union(confirmed(pairs, sets, percent)))
-    labels = components(links)
-    more = cut(met_in_blocks(mixed_members(entries, labels), most, percent).join(pairs, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        new = more.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(sets, "uid", "left_anti")
-        found = cut(confirmed(more, sets.union(sets_of(docs, heads, new, text, doc, size)), percent))
-        if not found.isEmpty():
-            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).filter("a <> b").union(found))
+
+    def linked(candidates: DataFrame) -> DataFrame:
+        some = cut(likely(candidates, signs, percent))
+        return confirmed(some, cut(sets_of(docs, heads, some, text, doc, size)), percent)
+
+    labels = components(cut(light_links(small, most, percent).union(linked(pairs))))
+    found = cut(linked(met_in_blocks(mixed_members(entries, labels), most, percent).join(pairs, ["a", "b"], "left_anti")))
+    if not found.isEmpty():
+        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).filter("a <> b").union(found))
     named = table.select("doc_id", "uid", "n", "node")
     head = named.filter("n > 0").groupBy("node").agg(F.min("uid").alias("head"), F.min("doc_id").alias("least"))
     of = head.join(labels.withColumnRenamed("node", "head"), "head", "left").withColumn("label", F.coalesce("label", "head"))

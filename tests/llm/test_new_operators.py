@@ -4,7 +4,6 @@ import hashlib
 import itertools
 import random
 import re
-import string
 
 import numpy as np
 import public_tokenizers
@@ -18,7 +17,7 @@ from netorigin.llm.queries import tokenizer_file
 A, B, PATTERN = "byte_bpe_50k.json", "piece_bpe_32k.model", public_tokenizers.PATTERN
 DOCS = "doc_id bigint, text string, uid string, token int, pairs string, node string, n_words int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = {ord(c): c.lower() for c in string.ascii_uppercase}
+LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def frame(spark, rows):
@@ -279,3 +278,13 @@ def test_packing_special_tokens(spark):
     for r in sorted(got, key=lambda r: r.start):
         ids.setdefault(r.doc_id, []).extend(r.ids)
     assert ids == {i: [*lib.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)} and 49407 in ids[0] + ids[5]
+
+
+def test_signature_bounds_the_difference():
+    rng = np.random.default_rng(3)
+    for n, k in itertools.product((1, 5, 40, 500, 3000), (0, 1, 3, 50, 400)):
+        common, x, y = (rng.integers(0, 2**63, m).astype(np.uint64) for m in (n, k, k // 2))
+        a, b = (np.unique(np.concatenate([common, z])) for z in (x, y))
+        apart = len(np.setxor1d(a, b))
+        d = ngramjoin.differing(ngramjoin.signature(a), ngramjoin.signature(b))
+        assert d <= apart and d == ngramjoin.differing(ngramjoin.signature(b), ngramjoin.signature(a)) and (d > 0 or apart == 0 or k < 5)
