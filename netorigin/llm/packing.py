@@ -27,7 +27,11 @@ from netorigin.llm.pieces import Pieces
 CAPACITY = 2048
 END_ID = 1
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids array<int>"
-CACHED = 600_000  # chunks remembered in a worker
+CACHED = 300_000  # chunks remembered in a worker, and parts of chunks
+PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")  # each is its own canonical form; an apostrophe may begin a contraction
+PART = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+SHOWN = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}  # byte-level models show these bytes as characters from 256 on
+FLUSH_IDS = 500_000
 CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -48,10 +52,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.pieces = Pieces(CACHED)
+        self.parts: dict[str, list[int]] = {}
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
-        return [self.tokenizer.encode(c, add_special_tokens=False).ids for c in chunks]
+        return [self.by_parts(c) if PLAIN.fullmatch(c) and "<|" not in c else self.tokenizer.encode(c, add_special_tokens=False).ids for c in chunks]
+
+    def by_parts(self, chunk: str) -> list[int]:
+        """A chunk of common characters is lower-cased and cut as the tokenizer does it, so that a word is merged once whatever signs follow it."""
+        if len(self.parts) > CACHED:
+            self.parts.clear()
+        out: list[int] = []
+        for p in PART.findall(chunk.lower()):
+            ids = self.parts.get(p)
+            if ids is None:
+                shown = p if p.isascii() else p.encode().decode("latin-1").translate(SHOWN)
+                ids = self.parts[p] = [t.id for t in self.model.tokenize(shown)]
+            out += ids
+        return out
 
     def __call__(self, texts: list[str | None], end: int = END_ID) -> list[np.ndarray]:
         return [np.append(ids, end).astype("<u4") for ids in self.pieces.ids_of([chunks(t or "") for t in texts], self.encode)]
@@ -147,9 +166,11 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc: str = "doc_id
     """
     def run(batches):
         encoder, packer = encoder_of(tokenizer), Packer(capacity)
-        base, count, rows = TaskContext.get().partitionId() << 33, 0, []
+        base, count, held, rows = TaskContext.get().partitionId() << 33, 0, 0, []
 
         def flush():
+            nonlocal held
+            held = 0
             cols = list(zip(*rows, strict=True)) or [[]] * 8
             rows.clear()
             kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())]
@@ -157,22 +178,25 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc: str = "doc_id
                                               names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
         def lay(window):
-            nonlocal count
+            nonlocal count, held
             at = 0
             for d, start, ids, total in window:
                 rows.append((d, start, len(ids), zlib.crc32(ids.tobytes()), total, base + count, at, ids.astype(np.int32) if keep_ids else None))
                 at += len(ids)
             count += 1
+            held += at if keep_ids else 0
 
         for b in batches:
             for names, texts in blocks(b):
                 for d, ids in zip(names, encoder(texts), strict=True):
                     for w in packer.add(d, ids):
                         lay(w)
-                if len(rows) > 5_000:
-                    yield flush()
+                    if len(rows) > 5_000 or held > FLUSH_IDS:
+                        yield flush()
         for w in packer.finish():
             lay(w)
+            if len(rows) > 5_000 or held > FLUSH_IDS:
+                yield flush()
         yield flush()
 
     out = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCHEMA)
