@@ -27,7 +27,7 @@ from netorigin.operators.lineage import cut
 
 LANE = 1024
 CHARS = 1_000_000
-CACHED = 200_000  # pieces each tokenizer remembers in a worker
+CACHED = 300_000  # pieces each tokenizer remembers in a worker
 COMPACT = 16  # steps between two compactions
 SPACED = re.compile(r" *[^ ]+| +")
 
@@ -58,8 +58,8 @@ class Side:
 
     def fresh(self, pieces: list[str]) -> list[list[int]]:
         """Ids of pieces that are not in the cache; those that do not come back byte by byte are noted."""
-        if not self.pieces.number:
-            self.odd.clear()
+        if len(self.odd) > CACHED:
+            self.odd = {p for p in self.odd if p in self.pieces.number or p in self.pieces.older[0]}
         got = self.encode(pieces)
         self.odd.update(p for p, ids in zip(pieces, got, strict=True) if self.bytes_of(ids) != p.encode("utf-8", "surrogatepass"))
         return got

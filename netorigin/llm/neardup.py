@@ -197,7 +197,8 @@ def sketched(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFr
 
 def candidates(table: DataFrame) -> DataFrame:
     """Distinct (a, b) of nodes that share a bucket; b is the bucket's least or greatest node."""
-    rows = table.select("node", F.explode("keys").alias("key"))
+    one = table.groupBy("node").agg(F.min("keys").alias("keys"))  # copies have the same keys
+    rows = one.select("node", F.explode("keys").alias("key"))
     hubs = (rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high"))
     met = rows.join(hubs, "key").select("node", F.explode(F.array("low", "high")).alias("hub")).filter("node <> hub")
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()

@@ -18,6 +18,7 @@ class Pieces:
         self.number: dict[str, int] = {}
         self.ids = np.zeros(0, dtype=np.int32)
         self.ends = np.zeros(1, dtype=np.int64)
+        self.older: tuple[dict[str, int], np.ndarray, np.ndarray] = ({}, self.ids, self.ends)
 
     def missing(self, split: list[list[str]]) -> list[str]:
         new = set().union(*split).difference(self.number)
@@ -44,14 +45,22 @@ class Pieces:
         return numbers, out
 
     def ids_of(self, split: list[list[str]], encode: Callable[[list[str]], list[list[int]]]) -> list[np.ndarray]:
-        """Per text the ids of its pieces; `encode` gives those of pieces that are not numbered yet.  All texts are looked up at once."""
-        if len(self.number) > self.limit:
+        """Per text the ids of its pieces; `encode` gives those of pieces that are not numbered yet.  All texts are looked up at once.
+
+        Half of the limit is for a younger generation; when it is full it becomes the older one, from which pieces that occur again are taken back.
+        """
+        if len(self.number) > self.limit // 2:
+            older = (self.number, self.ids, self.ends)
             self.__init__(self.limit)
+            self.older = older
         words = [*chain.from_iterable(split)]
         k = np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         if len(unknown := np.flatnonzero(k < 0)):
             new = sorted({words[i] for i in unknown.tolist()})
-            got = encode(new)
+            known, ids, ends = self.older
+            again = [known.get(w, -1) for w in new]
+            fresh = iter(encode([w for w, i in zip(new, again, strict=True) if i < 0]))
+            got = [next(fresh) if i < 0 else ids[ends[i]:ends[i + 1]].tolist() for i in again]
             self.add(new, np.fromiter(map(len, got), dtype=np.int64, count=len(got)), np.fromiter(chain.from_iterable(got), dtype=np.int64))
             k[unknown] = [self.number[words[i]] for i in unknown.tolist()]
         size = self.ends[k + 1] - self.ends[k]

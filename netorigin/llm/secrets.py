@@ -184,7 +184,7 @@ def of_kind(spans: Column, *kinds: str) -> Column:
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """`docs` with every found span replaced by `mark`; overlapping spans become one mark, other texts stay as they are."""
-    d = scan(docs, text)
+    d = scan(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text")), "text")
     def add(acc, s):
         last = F.get(acc, F.size(acc) - 1)
         longer = F.struct(last["at"].alias("at"), F.greatest(last["till"], s["till"]).alias("till"))
@@ -192,9 +192,10 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
             F.concat(acc, F.array(F.struct(s["at"].alias("at"), s["till"].alias("till")))))
 
     merged = F.aggregate("spans", F.array().cast("array<struct<at:int,till:int>>"), add)
-    t = F.col(text)
+    t = F.col("text")
     cut = let(merged, lambda m: F.concat(
         F.array_join(F.transform(m, lambda s, i: F.concat(t.substr(
             F.coalesce(F.get(m, i - 1)["till"], F.lit(0)) + 1, s["at"] - F.coalesce(F.get(m, i - 1)["till"], F.lit(0))), F.lit(mark))), ""),
         t.substr(F.get(m, F.size(m) - 1)["till"] + 1, F.length(t))))
-    return d.withColumn(text, F.when(F.size("spans") > 0, cut).otherwise(t)).select(*docs.columns)
+    clean = F.when(F.size("spans") > 0, cut).otherwise(t)
+    return d.select(*[clean.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])

@@ -68,20 +68,21 @@ def grades(labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, graded: DataFrame, text: str = "text", doc: str = "doc_id", sample: int = SAMPLE,
         l1: float = 0.002, l2: float = 1e-3, rounds: int = 200) -> Model:
-    """Model of at most `sample` labelled documents.  Without documents of some grade its threshold stays beyond reach.
+    """Model of at most `sample` labelled documents, those of the least hashes of their ids; of rows that repeat an id the one of the least text hash.
 
-    Only the feature numbers of the sampled documents reach the driver.
+    Without documents of some grade its threshold stays beyond reach.  Only the feature numbers of the sampled documents reach the driver.
     """
     picked = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def features(batches):
         known = Features()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("grade"), pa.array([sorted(known.of(t)) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))],
-                                             names=["grade", "f"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade"), pa.array([sorted(known.of(t)) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))],
+                                             names=["doc_id", "grade", "f"])
 
-    rows = (docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), "doc_id").select("grade", "text")
-            .mapInArrow(features, "grade int, f array<int>").limit(sample).toPandas())
+    found = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked.withColumn("doc_id", F.col("doc_id").cast("bigint"))), "doc_id")
+    one = found.groupBy("doc_id", "grade").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = one.select("doc_id", "grade", "text").mapInArrow(features, "doc_id bigint, grade int, f array<int>").toPandas().sort_values("doc_id", ignore_index=True)
     top = 2
     none = np.zeros(0, dtype=np.int64)
     at = np.concatenate([none, *(np.full(len(f), i) for i, f in enumerate(rows.f))])

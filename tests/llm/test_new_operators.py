@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from netorigin.llm import alignment, centroids, ngramjoin, packing, substrings
+from netorigin.llm import alignment, centroids, ngramjoin, packing, secrets, substrings, toxicity, urls
 from netorigin.llm.queries import tokenizer_file
 
 A, B, PATTERN = "byte_bpe_50k.json", "piece_bpe_32k.model", public_tokenizers.PATTERN
@@ -288,3 +289,86 @@ def test_signature_bounds_the_difference():
         apart = len(np.setxor1d(a, b))
         d = ngramjoin.differing(ngramjoin.signature(a), ngramjoin.signature(b))
         assert d <= apart and d == ngramjoin.differing(ngramjoin.signature(b), ngramjoin.signature(a)) and (d > 0 or apart == 0 or k < 5)
+
+
+# --- url rules, columns that clash in redaction, repeated ids in a fit
+
+
+def urls_brute(rows, support, confidence):
+    """Verdicts of urls that no fixed rule decides: (token set, verdict) of the decided ones, all token combinations counted."""
+    labelled, asked = [r for r in rows if r[1]], [r for r in rows if not r[1]]
+    where = {}
+    for i, (ts, _) in enumerate(labelled):
+        for t in ts:
+            where.setdefault(t, set()).add(i)
+    least = max(1, -(-int(round(support * len(labelled) * 1000)) // 1000))
+    where = {t: w for t, w in where.items() if len(w) >= least}
+    rep = {t: min(u for u in where if where[u] == w) for t, w in where.items() if len({labelled[i][1] for i in w}) > 1}
+    rules = []
+
+    def rule(ts, rows_in):
+        for v in ("allow", "block"):
+            k = sum(labelled[i][1] == v for i in rows_in)
+            if k >= least and k / len(rows_in) >= confidence:
+                rules.append((tuple(sorted(ts)), v, k / len(rows_in), k / len(labelled)))
+
+    for t, w in where.items():
+        rule([t], w)
+    one = {(r[0][0], r[1]): r[2] for r in rules}
+    reps = sorted(set(rep.values()))
+    for n in range(2, len(reps) + 1):
+        for ts in itertools.combinations(reps, n):
+            both = set.intersection(*(where[t] for t in ts))
+            if both:
+                rule(ts, both)
+    rules = [r for r in rules if len(r[0]) == 1 or not any(one.get((t, r[1]), -1) >= r[2] for t in r[0])]
+    out = []
+    for ts, _ in asked:
+        has = ts | {rep[t] for t in ts if t in rep}
+        fit = [r for r in rules if set(r[0]) <= has]
+        out.append(min(fit, key=lambda r: (-r[2], -r[3], -len(r[0]), r[0], r[1]))[1] if fit else "allow")
+    return out
+
+
+def test_mined_verdicts(spark):
+    rng = random.Random(12)
+    urls_ = []
+    for _ in range(500):
+        host = rng.choice(["x.example.com", "b.net", "www.example.com", "c.org", "d.org"])
+        path = "/".join(p for p in ("en", "shop", "deals", "news", "misc", "top") if rng.random() < 0.45)
+        urls_.append(f"http://{host}/{path}")
+    urls_ += [f"http://q{i % 9}.net/es/a/b/c" for i in range(40)] + [f"http://q{i % 9}.io/a/b/k" for i in range(10)]
+    df = spark.createDataFrame(list(enumerate(urls_)), "page_id bigint, url string")
+    got = {r.page_id: r for r in urls.judge(df, support=0.03, confidence=0.7).collect()}
+
+    def tokens(u):
+        host, path = u[7:].partition("/")[::2]
+        return {"h:" + x for x in re.split("[.-]+", host)} | {"p:" + x for x in re.split("[/._-]+", "/" + path) if not x.isdigit() and x}
+
+    rows = [(tokens(u), got[i].verdict if got[i].rule else None) for i, u in enumerate(urls_)]
+    want = iter(urls_brute(rows, 0.03, 0.7))
+    assert [got[i].verdict for i in range(len(urls_)) if not got[i].rule] == [next(want) for r in rows if not r[1]]
+    assert {got[i].verdict for i in range(len(urls_)) if not got[i].rule} == {"allow", "block"}
+
+
+@pytest.mark.parametrize("parts", [16, 40])
+def test_long_shared_paths(spark, parts):
+    deep = "/".join(f"part{i}" for i in range(parts))
+    rows = [f"http://a{i % 50}.com/x{i % 20}/y" for i in range(1000)] + [f"http://b{i}.net/es/{deep}/z{i}" for i in range(30)] + [f"http://free.org/{deep}"]
+    rows += [f"http://b{i}.com/mixed/{deep}" for i in range(20)] + [f"http://b{i}.net/fr/mixed/{deep}" for i in range(20)]
+    began = time.time()
+    got = urls.judge(spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")).collect()
+    assert len(got) == len(rows) and time.time() - began < 60
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "key AKIAABCDEFGHIJKLMN end", "a", "b", "c"), (2, None, "d", None, "e")], "doc_id bigint, text string, spans string, row string, _d string")
+    got = sorted(map(tuple, secrets.redact(df).collect()))
+    assert secrets.redact(df).columns == df.columns and got == [(1, "key [SECRET] end", "a", "b", "c"), (2, None, "d", None, "e")]
+
+
+def test_fit_of_repeated_ids(spark):
+    rows = [(i % 40, f"{'vile ugly' if i % 4 == 0 else 'calm clear'} words of {i}") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    models = [toxicity.fit(spark.createDataFrame(r, "doc_id bigint, text string").repartition(n), toxicity.grades(labels)) for r, n in ((rows, 1), (rows[::-1], 5))]
+    assert models[0].weights == models[1].weights and models[0].thresholds == models[1].thresholds
