@@ -51,13 +51,21 @@ def cluster_members(registry: DataFrame) -> DataFrame:
 
 
 def holder_clusters(registry: DataFrame) -> DataFrame:
-    """Clusters with their sorted ASNs: (holder, part, kind, size, asns).
+    """One row per holder: (holder, kind, size, asns), the ASNs sorted.
 
-    Every cluster is written in parts of 65,536 ASN numbers, so that no row and no
-    task holds a pool of any size; `size` is that of the whole cluster.
+    Singles and siblings hold at most the pool threshold of ASNs.  A pool may hold any number: its row has its size and no
+    array, its members are the rows of `pool_parts`.
     """
-    m = cluster_members(registry).withColumn("part", F.shiftright("asn", 16))
-    return m.groupBy("holder", "part", "kind", "size").agg(F.sort_array(F.collect_set("asn")).alias("asns"))
+    m = cluster_members(registry)
+    bounded = m.filter("kind <> 'pool'").groupBy("holder", "kind", "size").agg(F.sort_array(F.collect_set("asn")).alias("asns"))
+    pools = cluster_sizes(registry).filter("kind = 'pool'").select("holder", "kind", "size", F.lit(None).cast("array<bigint>").alias("asns"))
+    return bounded.unionByName(pools)
+
+
+def pool_parts(registry: DataFrame) -> DataFrame:
+    """(holder, part, size, asns): the members of pools in parts of 65,536 ASN numbers, so that no row grows with a pool; `size` is that of the pool."""
+    m = cluster_members(registry).filter("kind = 'pool'").withColumn("part", F.shiftright("asn", 16))
+    return m.groupBy("holder", "part", "size").agg(F.sort_array(F.collect_set("asn")).alias("asns"))
 
 
 def registry_stats(rows: DataFrame) -> DataFrame:

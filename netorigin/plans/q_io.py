@@ -19,6 +19,11 @@ from netorigin.sources import parse, sinks
 from netorigin.streaming import lookup as stream_lookup, resume
 
 
+def fresh_folder(t, name: str) -> str:
+    """A fresh folder below the shared one."""
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4()}"
+
+
 S = lambda c: f"cast({c} as string)"
 
 # ---------------------------------------------------------------- sources: lines built from the given tables
@@ -119,9 +124,21 @@ query("snk5_origin_csv", "select range_start || ',' || range_end || ',' || asn |
 _J = lambda c: f"coalesce('\"' || {c} || '\"', 'null')"
 query("snk6_registry_json", f"""select '{{"asn":' || asn || ',"rir":"' || rir || '","cc":' || {_J('cc')} || ',"registered":"' || registered || '","status":"' || status || '","holder":' || {_J('holder')} || '}}' as value from {qn._OK}""")(
     lambda t: sinks.registry_json(qn.reg(t)).select("value"))
-query("snk6_holder_json", f"""select '{{"holder":"' || holder || '","part":' || part || ',"kind":"' || kind || '","size":' || size || ',"asns":[' || asns || ']}}' as value from (select holder, part, kind, size, string_agg(asn, ',' order by asn) as asns
-    from (select *, asn >> 16 as part from {qn._MEM}) group by holder, part, kind, size)""")(
+query("snk6_holder_json", f"""select '{{"holder":"' || holder || '","kind":"' || kind || '","size":' || size || case when kind = 'pool' then '}}' else ',"asns":[' || asns || ']}}' end as value
+    from (select holder, kind, size, string_agg(asn, ',' order by asn) as asns from {qn._MEM} group by holder, kind, size)""")(
     lambda t: sinks.holder_json(registry.holder_clusters(qn.reg(t))).select("value"))
+
+
+@query("snk6_written_registry", f"""select 'asn-registry' as part, count(*) as lines from {qn._OK} union all select 'holders', count(distinct holder) from {qn._MEM}
+    union all select 'pools', count(*) from (select distinct holder, asn >> 16 from {qn._MEM} where kind = 'pool')""")
+def _(t):
+    """The three line files of the registry, written and read again."""
+    path = fresh_folder(t, "registry")
+    sinks.write_registry(qn.reg(t), registry.holder_clusters(qn.reg(t)), registry.pool_parts(qn.reg(t)), path)
+    count = lambda name: t.spark.read.text(f"{path}/{name}").agg(F.lit(name).alias("part"), F.count("*").alias("lines"))
+    return count("asn-registry").union(count("holders")).union(count("pools"))
+
+
 query("snk7_quant_json", """select asn, '{"asn":' || asn || ',"quant":{"asn":' || asn || ',"rir":null,"country":null,"rpki_roas":' || n || '},"sources":[{"fields":["rpki_roas"],"source":"validated payloads","url":"u","as_of":"2024-01-01"}]}' as value
     from (select asn, count(*) as n from @vrps group by asn)""")(
     lambda t: sinks.quant_json(_quant(t)))
@@ -143,11 +160,6 @@ query("snk9_segment_tsv", f"""select concat_ws(chr(9), class, {ip_text('range_st
     lambda t: sinks.segment_lines(qt.classed(t)).select("value"))
 
 
-def fresh_folder(t, name: str) -> str:
-    """A fresh folder below the shared one."""
-    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4()}"
-
-
 @query("snk10_lookup_table", "select bucket, greatest(range_start, bucket * 65536) as range_start, least(range_end, bucket * 65536 + 65535) as range_end, asn, 4 as family from (select *, unnest(range(range_start >> 16, (range_end >> 16) + 1)) as bucket from @base)")
 def _(t):
     path = fresh_folder(t, "lookup") + "/table"

@@ -32,9 +32,13 @@ def reg(t):
 query("set3_expand_blocks", f"select asn, rir, status, ordinal from {_EXP}")(
     lambda t: registry.expand_blocks(t.delegation_blocks).select("asn", "rir", "status", "ordinal"))
 query("agg23_registry_rows", f"select asn, rir, cc, registered, status, holder, conflict from {_REG}")(rows)
-query("agg11_holder_clusters", f"""select holder, part, kind, size, list_aggregate(list_sort(list(cast(asn as string))), 'string_agg', ',') as asns from (select *, asn >> 16 as part from {_MEM})
-    group by holder, part, kind, size""")(
-    lambda t: registry.holder_clusters(reg(t)).withColumn("asns", F.array_join(F.array_sort(F.transform("asns", lambda a: a.cast("string"))), ",")))
+_TEXT = lambda c: F.array_join(F.array_sort(F.transform(c, lambda a: a.cast("string"))), ",")
+query("agg11_holder_clusters", f"""select holder, kind, size, case when kind <> 'pool' then list_aggregate(list_sort(list(cast(asn as string))), 'string_agg', ',') end as asns
+    from {_MEM} group by holder, kind, size""")(
+    lambda t: registry.holder_clusters(reg(t)).withColumn("asns", _TEXT("asns")))
+query("agg11_pool_parts", f"""select holder, part, size, list_aggregate(list_sort(list(cast(asn as string))), 'string_agg', ',') as asns from (select *, asn >> 16 as part from {_MEM} where kind = 'pool')
+    group by holder, part, size""")(
+    lambda t: registry.pool_parts(reg(t)).withColumn("asns", _TEXT("asns")))
 query("agg12_registry_stats", f"""select 'asns_total' as stat, count(*) as value from {_OK} union all select 'delegated', count(*) from {_DEL}
     union all select 'conflicts', count(*) from {_REG} where conflict union all select concat('status:', status), count(*) from {_OK} group by status
     union all select concat('rir:', rir), count(*) from {_DEL} group by rir union all select 'holders', count(*) from {_SIZES}

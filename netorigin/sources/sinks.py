@@ -114,13 +114,19 @@ def registry_json(registry: DataFrame) -> DataFrame:
 
 
 def holder_json(clusters: DataFrame) -> DataFrame:
-    """One line per holder and part."""
-    return clusters.select("holder", "part", F.to_json(F.struct("holder", "part", "kind", "size", "asns")).alias("value"))
+    """One line per holder; that of a pool has no members."""
+    return clusters.select("holder", F.to_json(F.struct("holder", "kind", "size", "asns")).alias("value"))
 
 
-def write_registry(registry: DataFrame, clusters: DataFrame, path: str) -> None:
+def pool_json(parts: DataFrame) -> DataFrame:
+    """One line per part of a pool."""
+    return parts.select("holder", "part", F.to_json(F.struct("holder", "part", "size", "asns")).alias("value"))
+
+
+def write_registry(registry: DataFrame, clusters: DataFrame, parts: DataFrame, path: str) -> None:
     write_lines(registry_json(registry), f"{path}/asn-registry", ["asn"])
-    write_lines(holder_json(clusters), f"{path}/holders", ["holder", "part"])
+    write_lines(holder_json(clusters), f"{path}/holders", ["holder"])
+    write_lines(pool_json(parts), f"{path}/pools", ["holder", "part"])
 
 
 def quant_json(quant: DataFrame) -> DataFrame:
