@@ -167,7 +167,7 @@ def draft_names(dossiers: DataFrame) -> DataFrame:
     (asn, name, url, basis, reason, ordinal); reason is set where nothing is drafted."""
     d = dossiers.withColumn("name", F.coalesce(tx.clean_name(F.col("display_name")), tx.clean_name(F.col("legal_name"))))
     named = _first(_first_party(F.col("evidence"), F.col("website"), False),
-                   lambda e: F.coalesce(F.rlike(e["claim"], F.concat(F.lit(r"\bAS"), F.col("asn").cast("string"), F.lit(r"\b"))), F.lit(False)))
+                   lambda e: F.coalesce(F.array_contains(F.regexp_extract_all(e["claim"], F.lit(r"\bAS(\d+)\b"), 1), F.col("asn").cast("string")), F.lit(False)))
     site_ok = F.coalesce(F.col("website").startswith("http"), F.lit(False)) & ~tx.restricted_url(F.col("website"))
     item_ok = F.coalesce(F.col("qid").rlike(r"^Q\d+$"), F.lit(False))
     d = d.withColumn("e", named)
@@ -182,22 +182,22 @@ def draft_names(dossiers: DataFrame) -> DataFrame:
         .when(basis.isNull(), "no_admissible_source").alias("reason"), "ordinal")
 
 
+MARK = "\x01"
+
+
 def claim_names_country(claim: Column, cc: Column, city: Column) -> Column:
     """The claim holds a name of the country or the first part of the city as whole words.
 
-    The pattern per country is a literal; the city is looked up literally with
-    its neighbours checked, so no per-row pattern has to be compiled.
+    The names of countries are fixed patterns; the city is text to replace, not a pattern, so nothing is compiled per row.
     """
     out = F.lit(False)
     for code, words in vocab.COUNTRY_ALIASES.items():
         alt = "|".join(re.escape(w) for w in words)
         out = F.when(cc == code, claim.rlike(rf"(?<![\p{{IsAlphabetic}}\p{{IsDigit}}])(?:{alt})(?![\p{{IsAlphabetic}}\p{{IsDigit}}])")).otherwise(out)
+    # A literal replacement marks the town; whether a mark stands alone is one constant pattern.
     town = F.when(F.length(F.trim(city)) >= 3, F.trim(F.split(city, ",")[0]))
-    edge = r"[\p{IsAlphabetic}\p{IsDigit}]"
-    parts = F.split(claim, F.concat(F.lit(r"\Q"), town, F.lit(r"\E")), -1)
-    ends = F.transform(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: ~p.rlike(edge + "$"))
-    begins = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: ~p.rlike("^" + edge))
-    in_town = F.when((town != "") & (F.size(parts) > 1), F.exists(F.zip_with(ends, begins, lambda a, b: a & b), lambda x: x))
+    marked = F.replace(F.translate(claim, MARK, " "), town, F.lit(MARK))
+    in_town = F.when(town != "", marked.rlike(rf"(?<![\p{{IsAlphabetic}}\p{{IsDigit}}]){MARK}(?![\p{{IsAlphabetic}}\p{{IsDigit}}])"))
     return F.coalesce(out, F.lit(False)) | F.coalesce(in_town, F.lit(False))
 
 

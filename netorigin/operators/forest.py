@@ -42,19 +42,31 @@ def opened(lines: DataFrame, payload: list[str] | None = None) -> Column:
         F.col("pos").alias("net"), e["len"].alias("len"), *[e[c].alias(c) for c in payload or []]).alias("open")))
 
 
+def topmost(lines: DataFrame, payload: list[str], keep: dict[str, Column], space) -> DataFrame:
+    """`lines` of `depths` that lie in some prefix: pos, the columns `keep`, and last_open, the most specific prefix (net, len, payload) there."""
+    own = opened(lines, payload)
+    kind = lines.select(own.alias("o")).schema["o"].dataType
+    carried = F.array(F.struct(F.col("run_delta").cast("bigint").alias("depth"), F.lit(None).cast(kind.elementType["open"].dataType).alias("open")))
+    rows = lines.withColumn("e", F.explode(F.when(F.size("opens") > 0, own).when(F.col("run_delta") > 0, carried))).select(
+        "pos", "e.depth", "e.open", F.when(F.col("e.depth") == F.col("run_delta"), F.struct(*[c.alias(n) for n, c in keep.items()])).alias("top"))
+    return scan(rows, space, keys=("depth",), lasts=("open",)).filter("top is not null").select("pos", "top.*", "last_open")
+
+
 def flatten(prefixes: DataFrame, space, payload: list[str]) -> DataFrame:
     """range_start, range_end, payload, net, len: the stretches between neighbouring bounds with the most specific prefix that covers each.
 
     Of several prefixes with the same net and length the greatest payload stands.
     """
     s = depths(prefixes, space, payload, nexts=True)
-    own = opened(s, payload)
-    kind = s.select(own.alias("o")).schema["o"].dataType
-    carried = F.array(F.struct(F.col("run_delta").cast("bigint").alias("depth"), F.lit(None).cast(kind.elementType["open"].dataType).alias("open")))
-    rows = s.withColumn("e", F.explode(F.when(F.size("opens") > 0, own).when(F.col("run_delta") > 0, carried))).select(
-        "pos", "e.depth", "e.open", F.when(F.col("e.depth") == F.col("run_delta"), F.struct(F.coalesce(space.pred(F.col("next_pos")), space.max()).alias("last"))).alias("top"))
-    return scan(rows, space, keys=("depth",), lasts=("open",)).filter("top is not null").select(
-        F.col("pos").alias("range_start"), F.col("top.last").alias("range_end"), *[F.col(f"last_open.{c}") for c in [*payload, "net", "len"]])
+    return topmost(s, payload, {"last": F.coalesce(space.pred(F.col("next_pos")), space.max())}, space).select(
+        F.col("pos").alias("range_start"), F.col("last").alias("range_end"), *[F.col(f"last_open.{c}") for c in [*payload, "net", "len"]])
+
+
+def most_specific(addresses: DataFrame, prefixes: DataFrame, space, payload: list[str], addr: str = "ip") -> DataFrame:
+    """Each distinct non-null address in some prefix, with net, len and payload of the longest one; of several equal prefixes the greatest payload."""
+    asked = addresses.select(F.col(addr).alias("net"), F.lit(space.bits).alias("len"))
+    s = depths(prefixes, space, payload, asked=asked)
+    return topmost(s, payload, {"asked": F.size("lens") > 0}, space).filter("asked").select(F.col("pos").alias(addr), "last_open.*")
 
 
 def covering_chain(routes: DataFrame, stored: DataFrame, space) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from netorigin.functions import vocab
 from netorigin.functions.addr import int_to_v4, overlaps, v4_to_int, v6_block, v6_text, v6_to_pair
 from netorigin.functions.space import V4
+from netorigin.operators.lineage import cut
 from netorigin.operators.joins import resolve_points
 from netorigin.operators.scan import scan
 
@@ -154,6 +155,32 @@ def run_ledger(results: DataFrame, build_id: str, reanchor: DataFrame | None = N
     return ev, clean
 
 
+def carried_reviews(results: DataFrame, reviewed: DataFrame, build_at: str, reanchor: DataFrame) -> DataFrame:
+    """(metric, rvalue, reviewed_at) for the next build.
+
+    A review that was in effect is carried, one that newer pins have replaced is retired.  An acked metric that `reanchor` names gets the value just
+    accepted, in place of an older review; an ack alone changes nothing.
+    """
+    new = results.filter("status = 'acked'").join(reanchor.select("metric").distinct(), "metric", "left_semi").select(
+        "metric", F.col("now").alias("rvalue"), F.lit(build_at).alias("reviewed_at"))
+    kept = reviewed.select("metric", "rvalue", "reviewed_at").join(results.filter("review_in_effect").select("metric"), "metric", "left_semi")
+    return kept.join(new, "metric", "left_anti").unionByName(new)
+
+
+def ledger_fold(builds: list[tuple[str, DataFrame, DataFrame, DataFrame]], policy: tuple[float, float, float, float], reviewed: DataFrame) -> DataFrame:
+    """Builds in order, each (time, state, acks, reanchor) -> (build_at, metric, now, status, slide, rvalue): every outcome, and the review that stands after it.
+
+    Each build is judged with the reviews that the ones before it left.  The state handed on is one row a metric, checkpointed, so the plan of the last build
+    does not hold those of the others.
+    """
+    out = []
+    for at, state, acks, reanchor in builds:
+        results = cut(drift(state, policy, acks, reviewed))
+        reviewed = cut(carried_reviews(results, reviewed, at, reanchor))
+        out.append(results.select(F.lit(at).alias("build_at"), "metric", "now", "status", "slide").join(reviewed.select("metric", "rvalue"), "metric", "left"))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 def forecast(state: DataFrame, policy: tuple[float, float, float, float], floors: DataFrame, build_age_hours: float) -> DataFrame:
     """Would a healthy value pass tonight?  (metric, problem).
 

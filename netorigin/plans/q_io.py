@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netorigin.functions.space import V4, V6, v6
-from netorigin.operators import backbone, classify, digest, gates, index, project, quant, ranges, registry, sets
+from netorigin.operators import backbone, classify, digest, gates, index, metrics, project, quant, ranges, registry, sets
 from netorigin.operators.lineage import cut, shared_folder
 from netorigin.plans import q_ranges as qr, q_networks as qn, q_routing as qt
 from netorigin.plans.build import build_intervals
 from netorigin.plans.catalog import query
-from netorigin.plans.tables import HI6, SEGMENTS, hex128, ip_text, merged, ranges6, u128
+from netorigin.plans.tables import FLAGS, HI6, SEGMENTS, hex128, ip_text, merged, ranges6, u128
 from netorigin.functions import addr
 from netorigin.sources import parse, sinks
 from netorigin.streaming import lookup as stream_lookup, resume
@@ -234,7 +234,7 @@ query("stm1_stored_index", f"select event_id, ip, verdict, rule, asn from {qr._L
     lambda t: streamed(t, event_stream(t).select("event_id", (16777216 + (F.col("event_id") * 7919) % 4000000000).alias("ip")), stored(t, qr.segments(t), V4, LAYERS)))
 
 
-@query("stm1_stored_index_v6", f"""select event_id, {hex128('ip')} as ip_hex, case when asn is null then 'unknown' else 'unknown' end as verdict, case when asn is null then 'unrouted' else 'asn_no_category' end as rule, asn from (
+@query("stm1_stored_index_v6", f"""select event_id, {hex128('ip')} as ip_hex, 'unknown' as verdict, case when asn is null then 'unrouted' else 'no_category' end as rule, asn from (
     select event_id, ip, case when b.range_end >= ip then asn end as asn from (select event_id, {u128('hi', 'lo')} as ip from @ips6) i asof left join {ranges6('base6', ', asn')} b on i.ip >= b.range_start)""")
 def _(t):
     base = t.six("base6").select("range_start", "range_end", "asn", F.lit(0).alias("flags"), F.lit(False).alias("vpn_range"), F.lit(False).alias("datacenter_range"))
@@ -315,3 +315,92 @@ query("dq18_broken_tiling_v6", f"""with p as {_BAD6}, per as (select range_start
     cast(sum(case when (range_start >> 64::uhugeint) % 2 = 1 then 0 else pieces end) as bigint) as orphans from per""")(
     lambda t: gates.exact_tiling(cover6(t).filter("len <> 117").union(cover6(t).filter("len = 121").withColumn("len", F.lit(122))),
                                  ranges.merge_ranges(t.six("vpn6"), V6).filter((F.col("range_start")["hi"] % 2) != 0), V6))
+
+# ---------------------------------------------------------------- the whole product over both families, gaps filled
+_WANTED = """(select distinct asn from @asn_lists where list in ('bad_asn', 'vpn_provider', 'mobile_carrier', 'enterprise_gateway', 'cdn', 'hosting_extra') and list <> 'bad_asn'
+    and asn not in (select asn from @base_raw) and asn not in (select asn from @base6))"""
+
+
+def _filled(base: str, candidates: str) -> str:
+    """SQL: `base` and what it leaves free of the candidates of missing ASNs; candidates are disjoint."""
+    return f"""(with c as (select range_start as p from {base} union select range_end + 1 from {base} union select range_start from {candidates} union select range_end + 1 from {candidates}),
+        s as (select p as range_start, lead(p) over (order by p) - 1 as range_end from c)
+        select s.range_start, s.range_end, a.asn from s asof join {candidates} a on s.range_start >= a.range_start asof left join {base} b on s.range_start >= b.range_start
+        where s.range_end is not null and a.range_end >= s.range_start and not coalesce(b.range_end >= s.range_start, false) union all select range_start, range_end, asn from {base})"""
+
+
+_C4 = f"(select * from {qr._CAND} where asn in {_WANTED})"
+_C6 = f"(select * from {ranges6('cand6', ', asn')} where asn in {_WANTED})"
+_FOUR = SEGMENTS.replace("@base", "filled").replace("(with b as", f"(with sane as {_SANEB}, filled as {_filled('sane', _C4)}, b as", 1)
+_SIX = f"""(with base as {ranges6('base6', ', asn')}, vpn as {_R6}, filled as {_filled('base', _C6)},
+    b as (select range_start as p from filled union select range_end + 1 from filled union select range_start from vpn union select range_end + 1 from vpn),
+    s as (select p as range_start, lead(p) over (order by p) - 1 as range_end from b)
+    select * from (select s.range_start, s.range_end, case when f.range_end >= s.range_start then f.asn end as asn, case when f.range_end >= s.range_start then coalesce(g.flags, 0) else 0 end as flags,
+    coalesce(v.range_end >= s.range_start, false) as vpn_range, false as datacenter_range from s asof left join filled f on s.range_start >= f.range_start
+    left join {FLAGS} g on g.asn = f.asn asof left join vpn v on s.range_start >= v.range_start) where range_end is not null and (asn is not null or vpn_range))"""
+
+
+def _tally(version: int, segments: str) -> str:
+    return f"""select {version} as ip_version, core_verdict, count(*) as intervals, cast(sum(n) as varchar) as addresses from (
+        select {qr.VERDICT} as core_verdict, cast((range_end - range_start + 1)::varchar as decimal(38,0)) as n from {qr.INTERVALS.replace(SEGMENTS, segments)}) group by 2"""
+
+
+@query("full_build_both", f"{_tally(4, _FOUR)} union all {_tally(6, _SIX)}")
+def _(t):
+    """Both families from raw layers: an ASN that originates something in one family is missing in neither; what is missing gets its candidate ranges."""
+    shared = (t.asn_meta, t.asn_lists, t.corrections, t.names)
+    base6, vpn6 = t.six("base6"), t.six("vpn6")
+    four = build_intervals(t.base_raw, t.vpn_raw, t.dc_raw, *shared, candidates=t.sql(f"select * from {qr._CAND}"), elsewhere=(base6,))
+    six = build_intervals(base6, vpn6, vpn6.limit(0), *shared, candidates=t.six("cand6"), space=V6, elsewhere=(t.base_raw,))
+
+    def tally(rows: DataFrame, space) -> DataFrame:
+        size = space.size(F.col("range_start"), F.col("range_end")).cast("decimal(38,0)")
+        return rows.groupBy("ip_version", "core_verdict").agg(F.count("*").alias("intervals"), F.sum(size).cast("decimal(38,0)").cast("string").alias("addresses"))
+
+    return tally(four, V4).unionByName(tally(six, V6))
+
+
+# ---------------------------------------------------------------- gates that find what is broken
+@query("dq12_refind_broken", "select count(*) * 3 as mismatches from @base where range_end >= range_start + 512 and ((range_start - 16777216) // 1024) % 11 = 3")
+def _(t):
+    """Rows looked up in a table in which every eleventh one begins an address late: its start is in a gap, its middle and end come back to another start."""
+    wide = t.base.filter("range_end >= range_start + 512")
+    nth = F.floor((F.col("range_start") - 16777216) / 1024)
+    late = wide.withColumn("range_start", F.when(nth % 11 == 3, F.col("range_start") + 1).otherwise(F.col("range_start")))
+    return gates.refind_mismatches(wide, late).agg(F.count("*").alias("mismatches"))
+
+
+@query("dq15_export_changed", "select 'only_a' as side, count(*) as n from @base where asn % 13 = 5 union all select 'only_b', count(*) from @base where asn % 13 = 5")
+def _(t):
+    """A written and read table whose ASNs changed in some rows: each is found on both sides."""
+    path = fresh_folder(t, "export") + "/base"
+    t.base.withColumn("asn", F.when(F.col("asn") % 13 == 5, F.col("asn") + 1000000).otherwise(F.col("asn"))).write.parquet(path)
+    return sets.table_difference(t.base, t.spark.read.parquet(path)).groupBy("side").agg(F.sum("n").alias("n"))
+
+
+@query("dq14_broken_rows", """select unnest(['inverted', 'overlap', 'not_coalesced']) as violation, unnest([(select count(*) from @base where asn % 17 = 2)::bigint,
+    (select count(*) from @base where asn % 17 = 4)::bigint, 0::bigint]) as n""")
+def _(t):
+    """Some rows turned round, some copied: the first are inverted, the copies overlap."""
+    b = t.base.withColumn("range_end", F.when(F.col("asn") % 17 == 2, F.col("range_start") - 1).otherwise(F.least(F.col("range_end"), F.col("range_start") + 500)))
+    return gates.interval_violations(b.unionByName(b.filter("asn % 17 = 4")), ["asn"])
+
+
+@query("agg14_build_stats", f"""select metric, cast(value as varchar) as value from (
+    select 'base_ipv4' as metric, count(*)::hugeint as value from @base union all select 'base_ipv4.addresses', sum(range_end - range_start + 1) from @base
+    union all select 'vpn_ipv4', count(*) from {qr.VPN} union all select 'vpn_ipv4.addresses', sum(range_end - range_start + 1) from {qr.VPN}
+    union all select 'dc_ipv4', count(*) from {qr.DC} union all select 'dc_ipv4.addresses', sum(range_end - range_start + 1) from {qr.DC}
+    union all select 'base_ipv6', count(*) from @base6 union all select 'base_ipv6.addresses', sum((range_end - range_start + 1)::varchar::decimal(38,0))::varchar::hugeint from {ranges6('base6')}
+    union all select 'records_ipv4', count(*) from {qr.INTERVALS} union all select 'records_ipv4.routed', count(asn) from {qr.INTERVALS}
+    union all select 'records_ipv4.vpn', count(*) filter (vpn_range) from {qr.INTERVALS} union all select 'org_names', count(*) from @names
+    union all select 'org_names.named', count(name) from @names union all select 'countries', count(*) from @countries union all select 'countries.known', count(cc) from @countries)""")
+def _(t):
+    """Layers, product, names and countries of a build, counted by the writes themselves."""
+    m, path = metrics.BuildMetrics(t.spark), fresh_folder(t, "build")
+    size = lambda space: F.sum(space.size(F.col("range_start"), F.col("range_end")))
+    for name, df, space in (("base_ipv4", t.base, V4), ("vpn_ipv4", qr.vpn(t), V4), ("dc_ipv4", qr.dc(t), V4), ("base_ipv6", t.six("base6"), V6)):
+        m.write(name, df, path, addresses=size(space))
+    m.write("records_ipv4", qr.intervals(t), path, routed=F.count("asn"), vpn=F.count_if("vpn_range"))
+    m.write("org_names", t.names, path, named=F.count("name"))
+    m.write("countries", t.countries, path, known=F.count("cc"))
+    return m.rows()

@@ -68,6 +68,28 @@ query("dq9_ledger", f"""select count(*) as metrics, bool_and(status in ('pass',
     lambda t: gates.run_ledger(gates.drift(state(t), vocab.HOSTING_POLICY, t.sql(_ACK), t.sql(_REV)), "b1")[1].drop("build_id"))
 query("dq9_events", f"select metric, status, slide from {_drift(*vocab.HOSTING_POLICY)} where status in ('warn', 'recovery', 'acked', 'fail')")(
     lambda t: gates.run_ledger(gates.drift(state(t), vocab.HOSTING_POLICY, t.sql(_ACK), t.sql(_REV)), "b1")[0].select("metric", "status", "slide"))
+_PRIO = "(select concat('prio:', o_orderpriority) as metric, count(*) as n, min(o_orderpriority) < '2' or min(o_orderpriority) between '3' and '4' as again from @orders group by o_orderpriority)"
+_DAYS = ("2024-01-10T00:00:00Z", "2024-01-11T00:00:00Z", "2024-01-21T00:00:00Z")
+
+
+@query("dq9_fold", f"""select '{_DAYS[0]}' as build_at, metric, n // 2 as now, 'acked' as status, true as slide, case when again then n // 2 end as rvalue from {_PRIO}
+    union all select '{_DAYS[1]}', metric, n // 2, case when again then 'pass' else 'warn' end, not again, case when again then n // 2 end from {_PRIO}
+    union all select '{_DAYS[2]}', metric, n // 2, 'pass', false, null from {_PRIO}""")
+def _(t):
+    """Three builds: every metric halves and is acked, some are named as new references; then nothing moves, and the named ones pass where the others slide; then
+    newer pins retire the reviews."""
+    n = t.sql(f"select * from {_PRIO}")
+    half = F.floor(F.col("n") / 2).cast("bigint")
+    state = lambda prev, pin, at: n.select("metric", half.alias("now"), prev.cast("bigint").alias("prev"), F.array(F.struct(
+        F.lit(at[:10]).alias("label"), pin.cast("bigint").alias("value"), F.lit(at).alias("at"))).alias("pins"))
+    acks, quiet = n.select("metric", F.lit("half the orders are gone for good").alias("reason")), n.select("metric", F.lit(None).cast("string").alias("reason")).limit(0)
+    named, none = n.filter("again").select("metric"), n.select("metric").limit(0)
+    old, new = "2024-01-07T00:00:00Z", "2024-01-14T00:00:00Z"
+    first = n.select("metric", F.lit(None).cast("bigint").alias("rvalue"), F.lit(None).cast("string").alias("reviewed_at")).limit(0)
+    return gates.ledger_fold([(_DAYS[0], state(F.col("n"), F.col("n"), old), acks, named), (_DAYS[1], state(half, F.col("n"), old), quiet, none),
+                              (_DAYS[2], state(half, half, new), quiet, none)], vocab.HOSTING_POLICY, first)
+
+
 query("dq22_forecast", f"""with s as (select metric, now, coalesce(greatest(v1, v2), 0) as best from {_STATE}), h as (select *, case when best > 0 then best else now end as healthy from s),
     d as (select *, case when now > 0 then (healthy - now) / now when best > 0 then 0 end as x from h), n as (select *, case when now > 0 then (healthy - now) / now end as y from d)
     select metric, problem from (select metric, unnest(list_filter([case when y > 0.2 and best = 0 then 'healthy_value_would_fail' end, case when y > 0.2 and best > 0 then 'only_pins_would_rescue' end,

@@ -101,6 +101,8 @@ DERIVED = {
         p_partkey as e_lo from @part""",
     "rib6": f"""select cast(16 + p % 33 as int) as len, x - x % {pow2('48 - p % 33')} as hi, 200000 + p % 50 as asn from
         (select min(l_partkey) as p, x from (select {HI6} + (l_orderkey % 5000) * 65536 * 64 as x, l_partkey from @lineitem) group by x)""",
+    "cand6": f"""select {HI6} + s_suppkey * 688128 as s_hi, cast(0 as bigint) as s_lo, {HI6} + s_suppkey * 688128 + 200000 as e_hi, cast(-1 as bigint) as e_lo,
+        200000 + s_suppkey * 17 as asn from @supplier""",
     "ips6": f"""select event_id, {HI6} + (event_id * 104729) as hi, event_id * 31 as lo from @events""",
     "urls": """select page_id as id, url from @pages union all select 1000000 + s_suppkey as id, concat('https://', case s_nationkey % 8
         when 0 then 'www.ripe.net' when 1 then 'stat.ripe.net' when 2 then 'peeringdb.com' when 3 then 'notripe.net'

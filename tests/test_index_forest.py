@@ -106,6 +106,11 @@ def test_forest(spark, version, seed):
         over = [p for p in stored if covers(p, q, bits) and p != q]
         best = max(over, key=lambda p: p[1], default=(None, None))
         assert up[q] == (*best, len(over) + 1)
+    asked = [n for n, _ in stored] + [n + (1 << bits - k) - 1 for n, k in stored] + [rng.randrange(1 << bits) for _ in range(50)]
+    at = spark.createDataFrame([(put(version, x),) for x in [*asked, *asked]] + [(None,)], f"ip {DDL[version]}")
+    best = {got(version, x.ip): (got(version, x.net), x.len) for x in forest.most_specific(at, s, space, ["asn"]).collect()}
+    assert best == {x: max((p for p in stored if p[0] <= x < p[0] + (1 << bits - p[1])), key=lambda p: p[1])
+                    for x in asked if any(p[0] <= x < p[0] + (1 << bits - p[1]) for p in stored)}
     flat = [(got(version, x.range_start), got(version, x.range_end), (got(version, x.net), x.len)) for x in forest.flatten(s, space, ["asn"]).collect()]
     bounds = sorted({n for n, _ in stored} | {n + (1 << bits - k) for n, k in stored})
     want = []
