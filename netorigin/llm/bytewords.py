@@ -13,7 +13,7 @@ from netorigin.llm.wordhash import FACTOR, mix
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse
-STEP = 1 << 20  # about the bytes that are hashed at once
+STEP = 1 << 18  # about the bytes that are hashed at once
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
@@ -82,7 +82,7 @@ class Words:
         return [raw[s - lo:e - lo] for s, e in zip(self.starts[a:b].tolist(), self.ends[a:b].tolist(), strict=True)]
 
 
-def words_by_block(column: pa.Array, size: int = 4_000_000, lower: bool = False) -> Iterator[tuple[int, Words]]:
+def words_by_block(column: pa.Array, size: int = 1_000_000, lower: bool = False) -> Iterator[tuple[int, Words]]:
     """(first row, words) of runs of rows with about `size` bytes of text each."""
     lengths = np.asarray(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0

@@ -9,7 +9,7 @@ with one set are one node.
   corpus come last, most others are rare.  These postings make the inverted lists.  A list of up to `SHORT` sets gives all its pairs that sizes and places
   allow.  In a longer list each set meets the list's first.  Then the lists that still hold several classes are gone through in full: their members are
   dealt to blocks, all blocks meet but those of the list's largest class among themselves, and each pair of different classes that
-  sizes and places allow is compared.  So no link between two classes is lost, and no list is expanded into pairs that are known to be connected.
+  sizes, places and short signatures allow is compared.  So no link between two classes is lost, and no list is expanded into pairs that are known to be connected.
 * The boundary is the one of least cost: subsets filed by the small sets, against list entries met by the others, both counted on the data.
 
 Candidates whose parity signatures leave too few common shingles go; the others get the exact shingle counts.  Classes are the connected components.
@@ -35,9 +35,11 @@ SHINGLE, PERCENT = 5, 80
 MOST_SMALL = 24  # no larger set is filed by subsets
 ENTRY_COST = 8  # a met list entry, whose two sets are to be compared, against a filed subset or a posted shingle
 FREQUENT = 65_536  # a shingle with more than one in so many places is frequent; at most so many are
+REPORTED = 16  # places in a task below which a shingle is not reported as frequent
 SHORT = 3
 BROADCAST_KEYS = 200_000  # rows of three numbers
 BLOCK = 4_096  # most sets of a list in a block
+SIGN_BYTES = 128  # of a folded signature, which entries of mixed lists carry
 NO_HASHES = np.zeros(0, dtype=np.uint64)
 
 
@@ -70,6 +72,14 @@ def signature(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
+def folded(sign: bytes, size: int) -> bytes:
+    """A signature of `size` bytes: halves of a longer one laid over each other, a shorter one as it is, filled up with zeros.  Only equal lengths compare."""
+    a = np.frombuffer(sign, dtype=np.uint8)
+    while len(a) > size:
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return a.tobytes().ljust(size, b"\0")
+
+
 def differing(x: bytes, y: bytes) -> int:
     """A lower bound of the number of shingles that are in one set alone: each changes one bit of its signature."""
     a, b = sorted((np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)), key=len)
@@ -81,7 +91,7 @@ def differing(x: bytes, y: bytes) -> int:
 def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
     """Hashes of frequent shingles, the rarest first; at most `FREQUENT`.
 
-    A task keeps the commonest of the shingles it has met, so its memory is bounded.  The table only orders shingles: whatever it holds, the join is exact.
+    A task keeps the commonest of the shingles it has met, so its memory is bounded, and reports those with `REPORTED` places and its share.  The table only orders shingles: whatever it holds, the join is exact.
     """
     def run(batches):
         codes, counts, total = NO_HASHES, np.zeros(0, np.int64), 0
@@ -95,7 +105,7 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
                 if len(codes) > 4 * FREQUENT:
                     top = np.sort(np.argsort(-counts, kind="stable")[:2 * FREQUENT])
                     codes, counts = codes[top], counts[top]
-        often = counts * FREQUENT > total
+        often = (counts * FREQUENT > total) & (counts >= REPORTED)
         yield pa.RecordBatch.from_arrays([pa.array([None, *codes[often].view(np.int64).tolist()], pa.int64()),
                                           pa.array([total, *counts[often].tolist()], pa.int64())], names=["shingle", "n"])
 
@@ -107,10 +117,10 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, frequent: np.ndarray, text: str, doc: str, size: int, percent: int) -> DataFrame:
-    """(doc_id, th, uid, node, n, rare, prefix, whole, sign), one row per document.
+    """(doc_id, th, uid, node, n, rare, prefix, whole, sign, short), one row per document.
 
     `node` is the same for the same set; `prefix` has the shingles to post in order, the first `rare` of them not frequent; `whole` is the set if it is small,
-    `sign` its signature.
+    `sign` its signature, `short` the folded one.
     """
     by_hash = np.argsort(frequent)
     known = frequent[by_hash]
@@ -121,11 +131,12 @@ def sketched(docs: DataFrame, frequent: np.ndarray, text: str, doc: str, size: i
 
     def run(batches):
         for b in batches:
-            nodes, ns, rare, prefix, whole, signs = [], [], [], [], [], []
+            nodes, ns, rare, prefix, whole, signs, short = [], [], [], [], [], [], []
             for _, words in words_by_block(b.column("text"), lower=True):
                 for s in shingle_sets(words, size):
                     n = len(s)
                     signs.append(signature(s))
+                    short.append(folded(signs[-1], SIGN_BYTES))
                     take = n - -(-percent * n // 100) + 1 if n else 0
                     nodes.append(hashlib.md5(s.tobytes()).digest())
                     ns.append(n)
@@ -141,11 +152,12 @@ def sketched(docs: DataFrame, frequent: np.ndarray, text: str, doc: str, size: i
                     prefix.append(s[:take])
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), b.column("th"), b.column("uid"), pa.array(nodes, pa.binary()), pa.array(ns, pa.int64()), pa.array(rare, pa.int64()),
-                lists(prefix), lists(whole), pa.array(signs, pa.binary())], names=["doc_id", "th", "uid", "node", "n", "rare", "prefix", "whole", "sign"])
+                lists(prefix), lists(whole), pa.array(signs, pa.binary()), pa.array(short, pa.binary())],
+                names=["doc_id", "th", "uid", "node", "n", "rare", "prefix", "whole", "sign", "short"])
 
     return docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"),
                        F.monotonically_increasing_id().alias("uid"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, th bigint, uid bigint, node binary, n bigint, rare bigint, prefix array<bigint>, whole array<bigint>, sign binary")
+        run, "doc_id bigint, th bigint, uid bigint, node binary, n bigint, rare bigint, prefix array<bigint>, whole array<bigint>, sign binary, short binary")
 
 
 def boundary(small: DataFrame, percent: int) -> int:
@@ -206,7 +218,7 @@ def met_in_lists(postings: DataFrame, most: int, percent: int) -> DataFrame:
 
         def pairs(x, i, j):
             ok = possible(x[2][i], x[3][i], x[2][j], x[3][j], most, percent)
-            return np.unique(np.stack([np.minimum(x[1][i], x[1][j])[ok], np.maximum(x[1][i], x[1][j])[ok]]), axis=1)
+            return np.stack([np.minimum(x[1][i], x[1][j])[ok], np.maximum(x[1][i], x[1][j])[ok]])
 
         def out(p, entries):
             n, m = p.shape[1], entries.shape[1]
@@ -240,8 +252,8 @@ def met_in_lists(postings: DataFrame, most: int, percent: int) -> DataFrame:
     return postings.repartition("token").sortWithinPartitions("token", "uid").mapInArrow(run, "token bigint, uid bigint, n bigint, pos bigint, hub bigint")
 
 
-def mixed_members(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """(token, i, j, uid, n, pos, label): the entries of the lists that hold several classes, dealt to tasks (i, j) of two blocks each."""
+def mixed_members(entries: DataFrame, labels: DataFrame, signs: DataFrame) -> DataFrame:
+    """(token, i, j, block, uid, n, pos, label, sign): the entries of the lists that hold several classes, dealt to tasks (i, j) of two blocks each."""
     rows = entries.join(labels.select(F.col("node").alias("uid"), "label"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     sizes = rows.groupBy("token", "label").agg(F.count("*").alias("k"))
     mixed = (sizes.groupBy("token").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("k")).filter("top.k < k")
@@ -250,24 +262,30 @@ def mixed_members(entries: DataFrame, labels: DataFrame) -> DataFrame:
     is_top, salt = F.col("label") == F.col("top"), F.xxhash64("uid")
     block = F.when(F.col("one"), F.lit(0)).when(is_top, F.col("others") + F.pmod(salt, "tops")).otherwise(F.pmod(salt, "others"))
     last = F.when(F.col("one"), F.lit(0)).when(is_top, F.col("others") - 1).otherwise(F.col("others") + F.col("tops") - 1)
-    return (rows.join(mixed, "token").select("token", "uid", "n", "pos", "label", block.cast("int").alias("block"), F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("other"))
-            .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "uid", "n", "pos", "label"))
+    return (rows.join(mixed, "token").join(signs.select("uid", "sign"), "uid")
+            .select("token", "uid", "n", "pos", "label", "sign", block.cast("int").alias("block"), F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("other"))
+            .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "uid", "n", "pos", "label", "sign"))
 
 
 def met_in_blocks(members: DataFrame, most: int, percent: int) -> DataFrame:
-    """(a, b) of different classes in one task that sizes and places allow."""
+    """(a, b) of different classes in one task that sizes, places and folded signatures allow."""
     def run(t: pa.Table) -> pa.Table:
         block, uid, n, pos, label, i, j = (np.asarray(t.column(c).to_numpy()) for c in ("block", "uid", "n", "pos", "label", "i", "j"))
         order = np.argsort(n, kind="stable")
         block, uid, n, pos, label = block[order], uid[order], n[order], pos[order], label[order]
+        sign = np.frombuffer(b"".join(t.column("sign").to_pylist()), dtype="<u8").reshape(len(n), -1)[order]
+        # signatures that were shorter before they were filled up compare with their like alone
+        bits = np.minimum(1 << np.maximum(6, np.ceil(np.log2(np.maximum(2 * n, 2))).astype(np.int64)), 8 * SIGN_BYTES)
         upto = np.searchsorted(n, 100 * n // percent, side="right")
         found = [np.zeros((2, 0), dtype=np.int64)]
         for k in range(len(n)):
             r = np.arange(k + 1, upto[k])
             r = r[(label[r] != label[k]) & ((block[r] != block[k]) | (i[0] == j[0]))]
             r = r[possible(n[k], pos[k], n[r], pos[r], most, percent)]
+            apart = np.where(bits[r] == bits[k], np.bitwise_count(sign[r] ^ sign[k]).sum(1, dtype=np.int64), 0)
+            r = r[apart <= n[k] + n[r] - 2 * needed(n[k], n[r], percent)]
             found.append(np.stack([np.minimum(uid[k], uid[r]), np.maximum(uid[k], uid[r])]))
-        p = np.unique(np.concatenate(found, axis=1), axis=1)
+        p = np.concatenate(found, axis=1)
         return pa.table({"a": pa.array(p[0], pa.int64()), "b": pa.array(p[1], pa.int64())})
 
     return members.groupBy("token", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
@@ -353,7 +371,7 @@ def join(docs: DataFrame, text: str = "text", doc: str = "doc_id", size: int = S
         return confirmed(some, cut(sets_of(docs, heads, some, text, doc, size)), percent)
 
     labels = components(cut(light_links(small, most, percent).union(linked(pairs))))
-    found = cut(linked(met_in_blocks(mixed_members(entries, labels), most, percent).join(pairs, ["a", "b"], "left_anti")))
+    found = cut(linked(met_in_blocks(mixed_members(entries, labels, table.select("uid", F.col("short").alias("sign"))), most, percent).join(pairs, ["a", "b"], "left_anti")))
     if not found.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).filter("a <> b").union(found))
     named = table.select("doc_id", "uid", "n", "node")
