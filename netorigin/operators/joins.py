@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netorigin.operators.forest import covering_chain, flatten
+from netorigin.operators.forest import covering_chain, flatten, most_specific
 from netorigin.operators.ranges import coalesce_equal
 from netorigin.operators.scan import scan
 
@@ -57,12 +57,14 @@ def _probe(df: DataFrame, addr: str, space, lengths: list[int], max_len: Column
 
 
 def lpm_distinct(addresses: DataFrame, prefixes: DataFrame, space, payload: list[str], addr: str = "ip") -> DataFrame:
-    """Longest-prefix match for distinct addresses: one equi-join per probe length.
+    """Longest-prefix match for distinct addresses: in IPv4 one equi-join per probe length, in IPv6 along the line (forest.py).
 
     Short IPv4 prefixes, each of which may cover a large share of the addresses,
     are few by arithmetic and are broadcast; a longer prefix holds at most 2^15
     addresses, so no shuffled key can grow with the data.
     """
+    if space.version == 6:  # long IPv6 prefixes may each cover any share of the addresses
+        return most_specific(addresses, prefixes, space, payload, addr)
     lengths = observed_lengths(prefixes) or [0]
     body = prefixes.select("net", F.col("len").cast("int").alias("len"), F.struct("net", "len", *payload).alias("pfx"))
     found = []

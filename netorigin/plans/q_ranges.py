@@ -197,6 +197,9 @@ def prefixes6(t) -> DataFrame:
 
 
 query("win4_flatten_v6", f"{HEXED}, asn from {_FLAT6}")(lambda t: hexed(joins.flatten_prefixes(prefixes6(t), V6, ["asn"]), "asn"))
+query("join2_longest_prefix_v6", f"""select event_id, max(len) as len, arg_max(asn, len) as asn from (select i.event_id, p.len, p.asn from
+    (select *, unnest(range(16, 49)) as l from (select event_id, {u128('hi', 'lo')} as ip from @ips6)) i join {_P6} p on p.len = l and p.net = ip - ip % (1::uhugeint << (128 - l)::uhugeint)) group by event_id""")(
+    lambda t: joins.longest_prefix_match(t.ips6.select("event_id", v6(F.col("hi"), F.col("lo")).alias("ip")), prefixes6(t), V6, ["asn"]).select("event_id", "len", "asn"))
 _SPECIAL = """case when ip < 16777216 then 'private:special_reserved' when ip between 167772160 and 184549375 then 'private:special_rfc1918'
     when ip between 1681915904 and 1686110207 then 'cgnat:special_cgnat' when ip between 2130706432 and 2147483647 then 'private:special_loopback'
     when ip between 2851995648 and 2852061183 then 'private:special_link_local' when ip between 2886729728 and 2887778303 then 'private:special_rfc1918'
