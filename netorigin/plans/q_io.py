@@ -12,7 +12,7 @@ from netorigin.operators import backbone, classify, digest, gates, index, metric
 from netorigin.operators.lineage import cut, shared_folder
 from netorigin.plans import q_ranges as qr, q_networks as qn, q_routing as qt
 from netorigin.plans.build import build_intervals
-from netorigin.plans.catalog import query
+from netorigin.plans.catalog import ORACLES, query
 from netorigin.plans.tables import FLAGS, HI6, SEGMENTS, hex128, ip_text, merged, ranges6, u128
 from netorigin.functions import addr
 from netorigin.sources import parse, sinks
@@ -139,15 +139,32 @@ def _(t):
     return count("asn-registry").union(count("holders")).union(count("pools"))
 
 
-query("snk7_quant_json", """select asn, '{"asn":' || asn || ',"quant":{"asn":' || asn || ',"rir":null,"country":null,"rpki_roas":' || n || '},"sources":[{"fields":["rpki_roas"],"source":"validated payloads","url":"u","as_of":"2024-01-01"}]}' as value
-    from (select asn, count(*) as n from @vrps group by asn)""")(
-    lambda t: sinks.quant_json(_quant(t)))
-
-
-def _quant(t):
-    empty = t.sql("select cast(null as bigint) as asn, cast(null as string) as rir, cast(null as string) as country from @region where false")
-    q = quant.quant_records({"rir": empty, "rank": empty, "rpki": quant.roa_counts(t.vrps)}, "2024-01-01", {"rpki": "u"})
-    return q
+_WITH6 = f"""with a as ({qn._RIRT}), b as ({qn._RANKT}), e as (select asn, eyeball_users, eyeball_rank from ({ORACLES['agg7_win3_eyeballs']})), c as (select asn, count(*) as rpki_roas from @vrps group by asn),
+    p as ({ORACLES['agg9_prefix_footprint_v6']}), v as ({ORACLES['agg10_route_validation']}),
+    m as (select asn, coalesce(case a.rir when 'ripencc' then 'RIPE' when 'arin' then 'ARIN' end, case when b.rir = 'JPNIC' then 'APNIC' end) as rir, coalesce(a.country, b.country) as country, allocated, status, asrank,
+    eyeball_users, eyeball_rank, rpki_roas, prefixes_v4, prefixes_v6, ipv4_addresses, ipv6_addresses, rov_valid, rov_invalid, rov_notfound, rpki_rov_status,
+    a.asn is not null as ha, b.asn is not null as hb, e.asn is not null as he, c.asn is not null as hc, p.asn is not null as hp, v.asn is not null as hv
+    from a full join b using (asn) full join e using (asn) full join c using (asn) full join p using (asn) full join v using (asn)
+    where not (asn <= 0 or asn = 23456 or asn between 64496 and 131071 or asn >= 4200000000))"""
+_FIELDS6 = ["rir", "country", "allocated", "status", "asrank", "eyeball_users", "eyeball_rank", "rpki_roas", "prefixes_v4", "prefixes_v6", "ipv4_addresses", "ipv6_addresses",
+            "rov_valid", "rov_invalid", "rov_notfound", "rpki_rov_status"]
+
+
+def six_sources(t) -> DataFrame:
+    """Quantities of every ASN from all six sources."""
+    footprint = quant.prefix_footprint(t.rib.select("net", "len", F.col("origin").alias("asn")).distinct(), t.rib6.select(v6(F.col("hi"), F.lit(0).cast("bigint")).alias("net"), "len", "asn"))
+    return quant.quant_records({
+        "rir": t.sql(qn._RIRT), "rank": t.sql(qn._RANKT), "eyeball": quant.eyeball_totals(t.eyeballs).drop("eyeball_pct_internet"), "rpki": quant.roa_counts(t.vrps),
+        "prefixes": footprint, "rov": quant.route_validation(quant.route_states(qn.routes(t), t.vrps))}, "2024-01-01", {"rpki": "u"})
+
+
+_NAMED6 = {"ha": "registry delegations", "hb": "AS rank", "he": "eyeball estimates", "hc": "validated payloads", "hp": "prefix table", "hv": "route validation"}
+query("cls20_six_sources", f"""{_WITH6} select asn, {', '.join(_FIELDS6)}, concat_ws(',', {', '.join(f"case when {k} then '{v}' end" for k, v in _NAMED6.items())}) as sources from m""")(
+    lambda t: six_sources(t).select("asn", *[f"quant.{c}" for c in _FIELDS6], F.array_join(F.transform("sources", lambda s: s["source"]), ",").alias("sources")))
+_LISTS6 = {k: quant.SOURCE_FIELDS[s][1] for k, s in zip(_NAMED6, quant.SOURCE_FIELDS, strict=True)}
+_PROV6 = ", ".join(f"""case when {k} then {{'fields': {_LISTS6[k]}, 'source': '{v}', 'url': '{'u' if k == 'hc' else ''}', 'as_of': '2024-01-01'}} end""" for k, v in _NAMED6.items())
+query("snk7_quant_json", f"""{_WITH6} select asn, cast(to_json({{'asn': asn, 'quant': {{'asn': asn, {', '.join(f"'{c}': {c}" for c in _FIELDS6)}}}, 'sources': [x for x in [{_PROV6}] if x is not null]}}) as varchar) as value from m""")(
+    lambda t: sinks.quant_json(six_sources(t)))
 
 
 query("snk8_draft_lines", "select c_custkey + 200000 as asn, format('AS{}  {}  # src: {} ({})', c_custkey + 200000, c_name, 'https://a.example/', '2024-01-01') as value from @customer")(
