@@ -325,16 +325,23 @@ def sets_of(docs: DataFrame, heads: DataFrame, pairs: DataFrame, text: str, doc:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of `pairs` whose sets link."""
-    def linked(x: bytes, y: bytes) -> bool:
-        x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+    def views(column: pa.Array) -> list[np.ndarray]:
+        """The sets of a column, without a copy of their bytes."""
+        _, bounds, data = column.buffers()
+        edges = np.frombuffer(bounds, dtype=np.int32)[column.offset:column.offset + len(column) + 1].tolist()
+        raw = np.frombuffer(data, dtype=np.uint8)
+        return [raw[i:j].view("<u8") for i, j in zip(edges[:-1], edges[1:], strict=True)]
+
+    def linked(x: np.ndarray, y: np.ndarray) -> bool:
         at = np.searchsorted(x, y)
         both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
         return 100 * both >= percent * (len(x) + len(y) - both)
 
     def run(batches):
         for b in batches:
-            ok = [linked(x, y) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)]
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            if b.num_rows:
+                ok = [linked(x, y) for x, y in zip(views(b.column("sa")), views(b.column("sb")), strict=True)]
+                yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return (pairs.join(sets.select(F.col("uid").alias("b"), F.col("shingles").alias("sb")), "b")
             .join(sets.select(F.col("uid").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint"))
