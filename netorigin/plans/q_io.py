@@ -271,6 +271,21 @@ def _(t):
     return t.spark.read.parquet(f"{out}/done").groupBy("asn").agg(F.count("*").alias("n"))
 
 
+@query("stm2_resumed_batches", "select doc_id as asn, count(distinct doc_id) as n from @documents group by 1")
+def _(t):
+    """The input comes in six files, each key in two of them, a file a batch, and the run is broken off and begun again: every key is done once."""
+    source, out = fresh_folder(t, "packets"), fresh_folder(t, "resumed")
+    keys = t.documents.select(F.col("doc_id").alias("asn"))
+    for k in range(2):
+        keys.repartition(3, F.xxhash64("asn", F.lit(k))).write.mode("append").parquet(source)
+    stream = t.spark.readStream.schema(keys.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    for _ in range(2):
+        q = stream.writeStream.foreachBatch(resume.process_batch(lambda b: b.select("asn"), f"{out}/done")).option(
+            "checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start()
+        q.awaitTermination()
+    return t.spark.read.parquet(f"{out}/done").groupBy("asn").agg(F.count("*").alias("n"))
+
+
 _SANEB = """(select greatest(range_start, coalesce(top, -1) + 1) as range_start, range_end, asn from (select *, max(range_end) over (order by range_start, range_end desc, asn rows between unbounded preceding and 1 preceding) as top from @base_raw)
     where top is null or range_end > top)"""
 
