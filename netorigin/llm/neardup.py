@@ -31,7 +31,7 @@ SKETCHES, TAKEN = 24, 2
 COARSE, FINE = 2, 4  # sketches in a bucket key
 BLOCK, BLOCK_BYTES = 512, 2_000_000  # most nodes and about the most bytes of codes in a block of a mixed bucket
 DENSE = 24  # a shingle of more texts of a task is counted by matrix product, others pair by pair
-CELLS = 4_000_000
+CELLS = 1_000_000  # numbers in a matrix of sketches
 
 
 def _seeds() -> tuple[np.ndarray, np.ndarray]:

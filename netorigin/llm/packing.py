@@ -36,9 +36,9 @@ CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 @lru_cache(maxsize=1)
-def encoder_of(path: str) -> Encoder:
+def encoder_of(path: str, remembered: int) -> Encoder:
     """One encoder a Python worker, so its cache lives on from task to task."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 class Encoder:
@@ -48,12 +48,13 @@ class Encoder:
     distinct chunk is encoded once while it stays in the cache.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = CACHED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.pieces = Pieces(CACHED)
+        self.remembered = remembered
+        self.pieces = Pieces(remembered)
         self.parts: dict[str, list[int]] = {}
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
@@ -61,7 +62,7 @@ class Encoder:
 
     def by_parts(self, chunk: str) -> list[int]:
         """A chunk of common characters is lower-cased and cut as the tokenizer does it, so that a word is merged once whatever signs follow it."""
-        if len(self.parts) > CACHED:
+        if len(self.parts) > self.remembered // 4:
             self.parts.clear()
         out: list[int] = []
         for p in PART.findall(chunk.lower()):
@@ -157,15 +158,17 @@ class Packer:
         self.open, self.levels[:] = {}, 0
 
 
-def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc: str = "doc_id", capacity: int = CAPACITY, keep_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc: str = "doc_id", capacity: int = CAPACITY, keep_ids: bool = True,
+         remembered: int = CACHED) -> DataFrame:
     """One row per piece: its document, place and ids, and its place in a window.
 
     A null or empty text is the end id alone.  Rows are packed one by one, so repeated ids or texts are packed as often
     as they occur; a null id stays null.  Other columns are not carried.  `sequence_id` is unique over the table: the
-    task's number above 33 bits of its own count.  `keep_ids=False` leaves the id arrays out.
+    task's number above 33 bits of its own count.  `keep_ids=False` leaves the id arrays out.  `remembered` bounds the chunks that a worker
+    keeps (some 200 bytes each); it changes no result.
     """
     def run(batches):
-        encoder, packer = encoder_of(tokenizer), Packer(capacity)
+        encoder, packer = encoder_of(tokenizer, remembered), Packer(capacity)
         base, count, held, rows = TaskContext.get().partitionId() << 33, 0, 0, []
 
         def flush():

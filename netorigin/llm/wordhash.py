@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LIMIT = 150_000
+LIMIT = 100_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
