@@ -15,6 +15,9 @@ from netorigin.llm.queries import tokenizer_file
 from netorigin.operators.lineage import shared_folder
 
 
+REMEMBERED = 100_000  # chunks a worker keeps while packing: workers live on, and other stages need their memory
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules pass."""
     return quality.keep_good(docs)
@@ -42,7 +45,7 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in windows of 2048 ids, with their ids."""
-    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), remembered=REMEMBERED)
 
 
 STAGES = [("quality_rules", keep_good), ("near_dedup", one_of_each), ("substring_dedup", no_repeats), ("secret_scan", no_secrets), ("packing", windows)]
