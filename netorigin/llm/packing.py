@@ -27,7 +27,7 @@ from netorigin.llm.pieces import Pieces
 CAPACITY = 2048
 END_ID = 1
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids array<int>"
-CACHED = 400_000  # chunks remembered in a worker, and parts of chunks
+CACHED = 2_000_000  # chunks remembered in a worker, and a quarter as many parts of chunks
 PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")  # each is its own canonical form; an apostrophe may begin a contraction
 PART = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 SHOWN = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}  # byte-level models show these bytes as characters from 256 on
