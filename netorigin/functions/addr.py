@@ -258,32 +258,28 @@ def cidr_cover_v6(df, start: str = "range_start", end: str = "range_end"):
     """
     s, e = F.col(start), F.col(end)
     before, after = V6.pred(s), V6.succ(e)
-    bits = lambda x, half: unbias(x[half])
-    differ = lambda half: bits(before, half).bitwiseXOR(bits(after, half))
-    one = F.lit(1).cast("bigint")
-    shl = lambda n: F.call_function("shiftleft", one, n.cast("int"))
-    high_part = lambda x, k: F.when(k < 63, F.call_function("shiftrightunsigned", x, (k + 1).cast("int"))).otherwise(F.lit(0).cast("bigint"))
-
-    def at(k: Column) -> Column:
-        low = k < 64
-        j = F.when(low, k).otherwise(k - 64)
-        bit = shl(j)
-        has = lambda x: F.when(low, bits(x, "lo").bitwiseAND(bit) != 0).otherwise(bits(x, "hi").bitwiseAND(bit) != 0)
-        # some higher bit differs, or one side is beyond the space
-        below = before.isNull() | after.isNull() | F.when(low, (differ("hi") != 0) | (high_part(differ("lo"), j) != 0)).otherwise(high_part(differ("hi"), j) != 0)
-        piece = lambda hi, lo: F.struct(v6(hi, lo).alias("net"), (F.lit(128) - k).cast("int").alias("len"))
-        ma, mb = V6.mask(before, F.lit(127) - k), V6.mask(after, F.lit(127) - k)
-        left = F.when(before.isNotNull() & below & ~has(before), piece(F.when(low, bits(ma, "hi")).otherwise(bits(ma, "hi").bitwiseOR(bit)),
-                                                                       F.when(low, bits(ma, "lo").bitwiseOR(bit)).otherwise(bits(ma, "lo"))))
-        right = F.when(after.isNotNull() & below & has(after), piece(bits(mb, "hi"), bits(mb, "lo")))
-        return F.array(left, right)
-
-    nothing = F.lit(0).cast("bigint")
-    whole = F.array(F.struct(v6(nothing, nothing).alias("net"), F.lit(0).alias("len")))
-    parts = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(127)), at)), lambda p: p.isNotNull())
     rest = [c for c in df.columns if c not in (start, end)]
-    return (df.filter(s.isNotNull() & e.isNotNull() & (s <= e)).select(s, e, *rest, F.explode(F.when(before.isNull() & after.isNull(), whole).otherwise(parts)).alias("p"))
-            .select(start, end, *rest, "p.net", "p.len"))
+    shl = lambda x, n: F.call_function("shiftleft", x, n)
+    shr = lambda x, n: F.call_function("shiftrightunsigned", x, n)
+    # Both paths as plain halves, and one row per bit and side: nothing of it is evaluated again for every bit.
+    d = df.filter(s.isNotNull() & e.isNotNull() & (s <= e)).select(s, e, *rest, *[
+        unbias(x[half]).alias(f"_{name}_{half}") for name, x in (("a", before), ("b", after)) for half in ("hi", "lo")])
+    c = lambda name: F.col(f"_{name}")
+    d = d.withColumns({"_d_hi": c("a_hi").bitwiseXOR(c("b_hi")), "_d_lo": c("a_lo").bitwiseXOR(c("b_lo")), "_n": F.explode(F.sequence(F.lit(0), F.lit(255)))})
+    k, left = F.shiftright(c("n"), 1), c("n").bitwiseAND(F.lit(1)) == 0
+    low, j = k < 64, k.bitwiseAND(F.lit(63))
+    bit = shl(_b(1), j)
+    hi, lo = F.when(left, c("a_hi")).otherwise(c("b_hi")), F.when(left, c("a_lo")).otherwise(c("b_lo"))
+    half = F.when(low, lo).otherwise(hi)
+    open_end = c("a_hi").isNull() | c("b_hi").isNull()
+    # some higher bit differs, or one side is beyond the space
+    higher = lambda x: shr(shr(x, j), F.lit(1)) != 0
+    below = open_end | F.when(low, (c("d_hi") != 0) | higher(c("d_lo"))).otherwise(higher(c("d_hi")))
+    whole = c("a_hi").isNull() & c("b_hi").isNull() & (c("n") == 0)
+    d = d.filter(whole | (hi.isNotNull() & below & ((half.bitwiseAND(bit) != 0) != left)))
+    path = half.bitwiseAND(shl(shl(_b(-1), j), F.lit(1))).bitwiseOR(F.when(left, bit).otherwise(_b(0)))
+    net = v6(F.when(whole, _b(0)).when(low, hi).otherwise(path), F.when(whole | ~low, _b(0)).otherwise(path))
+    return d.select(start, end, *rest, net.alias("net"), F.when(whole, 0).otherwise(F.lit(128) - k).cast("int").alias("len"))
 
 
 def register_sql(spark) -> None:

@@ -308,20 +308,39 @@ def exact_tiling(pieces: DataFrame, records: DataFrame, space) -> DataFrame:
 
     pieces(range_start, range_end, net, len) name their record by its bounds; `records` are distinct ranges.  `uncovered` counts records with a missing piece,
     `outside` pieces that leave their record, `overlaps` pieces that begin inside or on another one of the whole table, `orphans` pieces without a
-    record.  All sizes are exact, in IPv6 as decimals.  Every piece is looked at once per record and once along the line, so a fault anywhere is found.
+    record.  All sizes are exact, in IPv6 as decimals.  Every piece is dealt out once, to its record; where records or their pieces reach into each other, their
+    pieces are looked at along the line as well, so a fault anywhere is found.
     """
-    p = pieces.select("range_start", "range_end", "net", space.last(F.col("net"), F.col("len")).alias("last"))
-    # A piece of several records or copies of one lie at one position: count them there, scan the line for what earlier ones reach.
-    line = scan(p.groupBy(F.col("net").alias("pos")).agg(F.max("last").alias("reach"), F.count("*").alias("n")), space, maxes=("reach",))
-    over = line.select((F.col("n") - 1 + F.when(F.coalesce(F.col("top_reach") >= F.col("pos"), F.lit(False)), 1).otherwise(0)).alias("k")).agg(
-        F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("overlaps"))
+    keys = ["range_start", "range_end"]
+    zero = F.lit(0).cast("bigint")
+    # The pieces of one record along its own line.
+    own = Window.partitionBy(*keys).orderBy("net", "len")
+    before = lambda c: F.lag(c).over(own)
+    p = pieces.select(*keys, "net", "len").withColumns({"again": before(F.struct("net", "len")), "last": space.last(F.col("net"), F.col("len"))})
+    p = p.withColumn("reach", F.max("last").over(own.rowsBetween(Window.unboundedPreceding, -1)))
+    place = F.col("again").isNotNull() & F.col("again.net").eqNullSafe(F.col("net"))
+    first = ~(place & F.col("again.len").eqNullSafe(F.col("len")))
     inside = (F.col("net") >= F.col("range_start")) & (F.col("last") <= F.col("range_end"))
-    per = p.distinct().groupBy("range_start", "range_end").agg(
-        F.sum(F.when(inside, space.size(F.col("net"), F.col("last")))).alias("covered"), F.count_if(~inside).alias("outside"), F.count("*").alias("pieces"))
+    per = cut(p.groupBy(*keys).agg(
+        F.sum(F.when(first & inside, space.size(F.col("net"), F.col("last")))).alias("covered"), F.count_if(first & ~inside).alias("outside"),
+        F.count_if(first).alias("pieces"), F.count_if(place | F.coalesce(F.col("reach") >= F.col("net"), F.lit(False))).alias("overlaps"),
+        F.min("net").alias("pos"), F.max("last").alias("end")))
+    # Pieces of two records can only meet where the stretches of both do; there all pieces are laid along one line.
+    line = scan(per.groupBy("pos").agg(F.max("end").alias("end"), F.count("*").alias("n")), space, maxes=("end",), nexts=True)
+    meets = (F.col("n") > 1) | F.coalesce(F.col("top_end") >= F.col("pos"), F.lit(False)) | F.coalesce(F.col("next_pos") <= F.col("end"), F.lit(False))
+    crowded = cut(line.filter(meets).select("pos"))
+    apart = F.col("pos").eqNullSafe(F.col("_pos"))
+    over = per.join(crowded.withColumnRenamed("pos", "_pos"), apart, "left_anti").select(F.col("overlaps").alias("k"))
+    if not crowded.isEmpty():
+        near = per.join(crowded.withColumnRenamed("pos", "_pos"), apart, "left_semi").select(*[F.col(c).alias(f"_{c}") for c in keys])
+        q = pieces.join(near, F.col("range_start").eqNullSafe(F.col("_range_start")) & F.col("range_end").eqNullSafe(F.col("_range_end")), "left_semi").select(
+            F.col("net").alias("pos"), space.last(F.col("net"), F.col("len")).alias("reach"))
+        q = scan(q.groupBy("pos").agg(F.max("reach").alias("reach"), F.count("*").alias("n")), space, maxes=("reach",))
+        over = over.unionByName(q.select((F.col("n") - 1 + F.when(F.coalesce(F.col("top_reach") >= F.col("pos"), F.lit(False)), 1).otherwise(0)).alias("k")))
+    over = over.agg(F.coalesce(F.sum("k"), zero).cast("bigint").alias("overlaps"))
     r = records.select("range_start", "range_end", F.lit(True).alias("known"))
-    j = r.join(per, ["range_start", "range_end"], "full")
+    j = r.join(per.drop("overlaps", "pos", "end"), keys, "full")
     short = F.col("known") & ~F.coalesce(F.col("covered") == space.size(F.col("range_start"), F.col("range_end")), F.lit(False))
-    zero = F.lit(0).cast("bigint")
     total = j.agg(F.count("known").alias("records"), F.coalesce(F.sum("pieces"), zero).alias("pieces"), F.coalesce(F.sum("covered").cast("decimal(38,0)"), zero).cast("decimal(38,0)").alias("covered"),
                   F.count_if(short).alias("uncovered"), F.coalesce(F.sum("outside"), zero).alias("outside"),
                   F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("pieces"))), zero).alias("orphans"))

@@ -332,11 +332,19 @@ def cover6(t) -> DataFrame:
 query("addr12_cidr_cover_v6", f"select {_HEX6} from {_COVER6}")(
     lambda t: cover6(t).select(V6.hex(F.col("range_start")).alias("start_hex"), V6.hex(F.col("range_end")).alias("end_hex"), V6.hex(F.col("net")).alias("net_hex"), "len"))
 
+
+
+def tiled6(t) -> tuple[DataFrame, DataFrame]:
+    """(pieces, records): the merged ranges, computed once, and their cover."""
+    records = cut(ranges.merge_ranges(t.six("vpn6"), V6))
+    return addr.cidr_cover_v6(records), records
+
+
 _SIZE6 = "cast((range_end - range_start + 1)::varchar as decimal(38,0))"
 _BLK6 = "cast((1::uhugeint << (128 - len)::uhugeint)::varchar as decimal(38,0))"
 query("dq18_exact_tiling_v6", f"""select (select count(*) from {_R6}) as records, count(*) as pieces, cast(sum({_BLK6}) as decimal(38,0)) as covered, cast(0 as bigint) as uncovered,
     cast(0 as bigint) as outside, cast(0 as bigint) as overlaps, cast(0 as bigint) as orphans from {_COVER6}""")(
-    lambda t: gates.exact_tiling(cover6(t), ranges.merge_ranges(t.six("vpn6"), V6), V6))
+    lambda t: gates.exact_tiling(*tiled6(t), V6))
 # Faults: no /117 pieces, a copy of every /121 in half its size, every record that begins at an even hextet gone.
 _BAD6 = f"""(select * from {_COVER6} where len <> 117 union all select range_start, range_end, net, 122 from {_COVER6} where len = 121)"""
 _KEPT6 = f"(select * from {_R6} where (range_start >> 64::uhugeint) % 2 = 1)"
@@ -345,8 +353,14 @@ query("dq18_broken_tiling_v6", f"""with p as {_BAD6}, per as (select range_start
     (select count(*) from {_KEPT6} r left join per using (range_start, range_end) where covered is null or covered <> {_SIZE6}) as uncovered, cast(0 as bigint) as outside,
     (select count(*) from {_COVER6} where len = 121) as overlaps,
     cast(sum(case when (range_start >> 64::uhugeint) % 2 = 1 then 0 else pieces end) as bigint) as orphans from per""")(
-    lambda t: gates.exact_tiling(cover6(t).filter("len <> 117").union(cover6(t).filter("len = 121").withColumn("len", F.lit(122))),
-                                 ranges.merge_ranges(t.six("vpn6"), V6).filter((F.col("range_start")["hi"] % 2) != 0), V6))
+    lambda t: _broken(*tiled6(t)))
+
+
+def _broken(pieces: DataFrame, records: DataFrame) -> DataFrame:
+    n = F.col("len")
+    lens = F.when(n == 117, F.array().cast("array<int>")).when(n == 121, F.array(n, F.lit(122))).otherwise(F.array(n))
+    return gates.exact_tiling(pieces.withColumn("len", F.explode(lens)), records.filter((F.col("range_start")["hi"] % 2) != 0), V6)
+
 
 # ---------------------------------------------------------------- the whole product over both families, gaps filled
 _WANTED = """(select distinct asn from @asn_lists where list in ('bad_asn', 'vpn_provider', 'mobile_carrier', 'enterprise_gateway', 'cdn', 'hosting_extra') and list <> 'bad_asn'
