@@ -14,7 +14,7 @@ from netorigin.functions import text as tx
 from netorigin.functions import vocab
 from netorigin.functions.flags import any_of
 from netorigin.functions.addr import cidr_to_range, parse_fixed_hex, v4_to_int, v6_to_pair
-from netorigin.functions.space import V4, V6
+from netorigin.functions.space import V4, V6, v6
 from netorigin.operators.sampling import latest_by
 
 def _content(lines: DataFrame) -> DataFrame:
@@ -32,50 +32,37 @@ def origin_ranges(lines: DataFrame) -> DataFrame:
 
 
 def origin_ranges_v6(lines: DataFrame) -> DataFrame:
-    """The same with 128-bit decimal numbers, split into halves by long division.
-
-    A number of up to 39 digits is divided by 2^64 in two decimal steps:
-    value = a * 10^19 + b with a, b below 10^20.
-    """
+    """The same with 128-bit decimal numbers: up to 39 digits, null above 2^128-1."""
     p = F.split("value", ",", 4)
     text = lambda i: F.coalesce(F.try_element_at(p, F.lit(i)), F.lit(""))
-
-    def addr(i: int) -> Column:
-        t = text(i)
-        ok = t.rlike(r"^\d{1,39}$")
-        pad = F.lpad(F.when(ok, t), 39, "0")
-        return _decimal_to_pair(pad)
-
-    s, e = addr(1), addr(2)
+    digits = lambda i: F.lpad(F.when(text(i).rlike(r"^\d{1,39}$"), text(i)), 39, "0")
     a = F.coalesce(text(3).try_cast("bigint"), F.lit(0).cast("bigint"))
+    rows = _decimal_to_pair(_decimal_to_pair(lines.select(digits(1).alias("_s"), digits(2).alias("_e"), a.alias("asn")), "_s"), "_e")
+    s, e = F.col("_s"), F.col("_e")
     zero = V6.from_hex(F.lit("0" * 32))
-    bad = s.isNull() | e.isNull() | F.coalesce(e < s, F.lit(True)) | ((s == zero) & (e == zero)) | (a <= 0)
-    return lines.select(s.alias("range_start"), e.alias("range_end"), a.alias("asn"), bad.alias("bad"))
+    bad = s.isNull() | e.isNull() | F.coalesce(e < s, F.lit(True)) | ((s == zero) & (e == zero)) | (F.col("asn") <= 0)
+    return rows.select(s.alias("range_start"), e.alias("range_end"), "asn", bad.alias("bad"))
 
 
-def _decimal_to_pair(digits: Column) -> Column:
-    """39 decimal digits -> address, null above 2^128-1.
+def _decimal_to_pair(df: DataFrame, name: str) -> DataFrame:
+    """Replace the column `name` of 39 decimal digits by the address, null above 2^128-1.
 
-    Horner over 13 groups of three digits on (hi, lo) decimals: every partial
-    value of lo*1000 stays below 2^64 * 1000 < 10^38.
+    Horner over groups of nine digits on four limbs of 32 bits: every partial value stays below 2^32 * 10^9 + 2^32 < 2^63.  Each limb is a column of its
+    own, so none is evaluated twice.
     """
-    two64 = F.expr("cast('18446744073709551616' as decimal(38,0))")
-    d = lambda c: c.cast("decimal(38,0)")
-    zero = F.lit(0).cast("decimal(38,0)")
-    groups = F.transform(F.sequence(F.lit(0), F.lit(12)), lambda i: F.substr(digits, i * 3 + 1, F.lit(3)).cast("decimal(3,0)"))
-
-    def step(acc: Column, g: Column) -> Column:
-        lo = d(d(acc["lo"] * F.lit(1000).cast("decimal(4,0)")) + d(g))
-        carry = d(F.floor(lo / two64))
-        # floor of a rounded quotient may be one too high at a boundary
-        carry = F.when(d(carry * two64) > lo, d(carry - 1)).otherwise(carry)
-        return F.struct(d(d(acc["hi"] * F.lit(1000).cast("decimal(4,0)")) + carry).alias("hi"), d(lo - d(carry * two64)).alias("lo"))
-
-    r = F.aggregate(groups, F.struct(zero.alias("hi"), zero.alias("lo")), step)
-    half = F.expr("cast('9223372036854775808' as decimal(38,0))")
-    bias = lambda x: (x - half).cast("bigint")
-    return F.when(digits.isNotNull() & (r["hi"] < two64), F.struct(
-        bias(F.when(r["hi"] < two64, r["hi"])).alias("hi"), bias(r["lo"]).alias("lo")))
+    limb = [f"_{i}{name}" for i in range(4)]
+    group = lambda at, n: F.substring(name, at, n).cast("bigint")
+    d = df.withColumns({limb[0]: group(1, 3), **{x: F.lit(0).cast("bigint") for x in limb[1:]}})
+    for at in (4, 13, 22, 31):
+        carry = group(at, 9)
+        for i, x in enumerate(limb):
+            d = d.withColumn(x, F.col(x) * F.lit(1_000_000_000).cast("bigint") + carry)
+            carry = F.shiftright(x, 32)
+        if at < 31:
+            d = d.withColumns({x: F.col(x).bitwiseAND(F.lit(0xFFFFFFFF)) for x in limb})
+    low = lambda i: F.col(limb[i]).bitwiseAND(F.lit(0xFFFFFFFF))
+    pair = v6(F.shiftleft(low(3), 32).bitwiseOR(low(2)), F.shiftleft(low(1), 32).bitwiseOR(low(0)))
+    return d.withColumn(name, F.when(F.col(limb[3]) <= 0xFFFFFFFF, pair)).drop(*limb)
 
 
 def good_bad(parsed: DataFrame) -> DataFrame:
