@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netorigin.operators.forest import covering_chain, flatten, most_specific
+from netorigin.operators.lineage import cut
 from netorigin.operators.ranges import coalesce_equal
 from netorigin.operators.scan import scan
 
@@ -66,18 +67,19 @@ def lpm_distinct(addresses: DataFrame, prefixes: DataFrame, space, payload: list
     if space.version == 6:  # long IPv6 prefixes may each cover any share of the addresses
         return most_specific(addresses, prefixes, space, payload, addr)
     lengths = observed_lengths(prefixes) or [0]
-    body = prefixes.select("net", F.col("len").cast("int").alias("len"), F.struct("net", "len", *payload).alias("pfx"))
+    # One number per prefix, longer prefixes above shorter ones: the best of an address is a plain maximum, one narrow row an address.
+    key = (F.col("len").cast("bigint") * F.lit(1 << 32).cast("bigint") + F.col("net")).alias("_key")
+    body = prefixes.select(F.col("net"), F.col("len").cast("int").alias("len"), *payload, key)
     found = []
-    short = [l for l in lengths if l <= BOUNDED_LEN] if space.version == 4 else []
-    long = [l for l in lengths if l not in short]
-    if short:
-        side = F.broadcast(body.filter(F.col("len") <= BOUNDED_LEN))
-        found.append(_probe(addresses, addr, space, short).join(side, ["net", "len"]).select(addr, "len", "pfx"))
-    if long:
-        found.append(_probe(addresses, addr, space, long).join(
-            body.filter(F.col("len") > (BOUNDED_LEN if short else -1)), ["net", "len"]).select(addr, "len", "pfx"))
-    both = reduce(lambda a, b: a.unionByName(b), found)
-    return both.groupBy(addr).agg(F.max_by("pfx", "len").alias("pfx")).select(addr, "pfx.*")
+    short = F.col("len") <= BOUNDED_LEN
+    for ls, part in (([l for l in lengths if l <= BOUNDED_LEN], F.broadcast(body.filter(short).select("net", "len", "_key"))),
+                     ([l for l in lengths if l > BOUNDED_LEN], body.filter(~short).select("net", "len", "_key"))):
+        if ls:
+            found.append(_probe(addresses, addr, space, ls).join(part, ["net", "len"]).select(addr, "_key"))
+    best = cut(reduce(lambda a, b: a.unionByName(b), found).groupBy(addr).agg(F.max("_key").alias("_key")))
+    edge = (BOUNDED_LEN + 1) << 32
+    rows = [best.filter(F.col("_key") < edge).join(F.broadcast(body.filter(short)), "_key"), best.filter(F.col("_key") >= edge).join(body.filter(~short), "_key")]
+    return rows[0].unionByName(rows[1]).select(addr, "net", "len", *payload)
 
 
 def longest_prefix_match(points: DataFrame, prefixes: DataFrame, space, payload: list[str], addr: str = "ip",
