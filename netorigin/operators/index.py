@@ -5,13 +5,14 @@ intervals are dense and large where there are none, in both families alike.  Cel
 cell it touches.  Files hold runs of cells (`block` is the partition column), and a small directory lists each cell with its block.
 
 A lookup masks an address to the few cell lengths that occur, keeps the one cell that exists, and compares the address with the rows of that cell.  The
-directory is broadcast while its counted size is below `BROADCAST_CELLS`, and joined by shuffle beyond it; point rows are shuffled once at most.  Nothing is
+lengths with the fewest cells, together below `BROADCAST_CELLS`, are broadcast; only those with more are joined by shuffle, a point row once for each.  Nothing is
 scanned, sorted or checkpointed, so the same code answers a batch or a stream.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,12 +87,18 @@ class StoredIndex:
     space: object
     lengths: list[int] = field(default_factory=list)
     count: int = 0
+    few: list[int] = field(default_factory=list)  # lengths with few cells, together below `BROADCAST_CELLS`
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, space) -> StoredIndex:
         cells = spark.read.parquet(f"{path}/cells")
         got = cells.groupBy("len").count().collect()  # at most 9 or 33 rows
-        return cls(read_rows(spark, path), cells, space, sorted(r["len"] for r in got), sum(r["count"] for r in got))
+        few, sofar = [], 0
+        for n, length in sorted((r["count"], r["len"]) for r in got):
+            sofar += n
+            if sofar <= BROADCAST_CELLS:
+                few.append(length)
+        return cls(read_rows(spark, path), cells, space, sorted(r["len"] for r in got), sum(r["count"] for r in got), sorted(few))
 
     @property
     def payload(self) -> list[str]:
@@ -99,11 +106,15 @@ class StoredIndex:
 
     def located(self, points: DataFrame, addr: str) -> DataFrame:
         """`points` with the one cell (_net, _len, _block) of each address; null addresses give no row."""
-        tried = points.withColumn("_try", F.explode(F.array(*[F.lit(n) for n in self.lengths]))).withColumn("_at", self.space.mask(F.col(addr), F.col("_try")))
-        cells = self.cells.select(F.col("net").alias("_net"), F.col("len").alias("_len"), F.col("block").alias("_block"))
-        if self.count <= BROADCAST_CELLS:
-            cells = F.broadcast(cells)
-        return tried.join(cells, (F.col("_at") == F.col("_net")) & (F.col("_try") == F.col("_len"))).drop("_try", "_at")
+        def among(lengths: list[int], hint) -> DataFrame:
+            tried = points.withColumn("_try", F.explode(F.array(*[F.lit(n) for n in lengths]))).withColumn("_at", self.space.mask(F.col(addr), F.col("_try")))
+            cells = self.cells.filter(F.col("len").isin(lengths)).select(F.col("net").alias("_net"), F.col("len").alias("_len"), F.col("block").alias("_block"))
+            return tried.join(hint(cells), (F.col("_at") == F.col("_net")) & (F.col("_try") == F.col("_len"))).drop("_try", "_at")
+
+        # The cells do not overlap, so an address has one cell in one of the two parts.
+        many = [n for n in self.lengths if n not in self.few]
+        parts = [among(ls, hint) for ls, hint in ((self.few, F.broadcast), (many, lambda cells: cells)) if ls]
+        return reduce(lambda a, b: a.unionByName(b), parts)
 
     def lookup(self, points: DataFrame, addr: str = "ip", how: str = "inner") -> DataFrame:
         """Every row of `points` with the interval that contains its address; with `how="left"` rows outside all intervals stay, with nulls.
@@ -119,4 +130,4 @@ class StoredIndex:
         """As `lookup` for a handful of addresses: the directory names their blocks first, and only those are listed and read."""
         at = self.located(addresses.filter(F.col(addr).isNotNull()), addr)
         blocks = [r[0] for r in at.filter("_block is not null").select("_block").distinct().collect()]
-        return StoredIndex(self.rows.filter(F.col("block").isin(blocks)), self.cells, self.space, self.lengths, self.count).lookup(addresses, addr)
+        return StoredIndex(self.rows.filter(F.col("block").isin(blocks)), self.cells, self.space, self.lengths, self.count, self.few).lookup(addresses, addr)
