@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netorigin.functions import vocab
+from netorigin.operators.lineage import cut
 from netorigin.operators.ranges import explode_span
 
 
@@ -14,15 +15,18 @@ def expand_blocks(delegations: DataFrame) -> DataFrame:
     return explode_span(delegations, F.col("start"), F.col("start") + F.col("count") - 1, "asn").drop("start", "count")
 
 
-def registry_rows(delegations: DataFrame) -> DataFrame:
+def registry_rows(delegations: DataFrame, in_order: bool = False) -> DataFrame:
     """One row per ASN with rir, cc, registered, status, holder and the conflict mark.
 
     delegations(rir, cc, start, count, date, status, opaque_id, ordinal).  Within a
-    registry the last delegation wins; an ASN of two registries is a conflict.
+    registry the last delegation wins; an ASN of two registries is a conflict.  With `in_order` the only shuffle deals by ASN ranges.
     """
+    expanded = expand_blocks(delegations)
+    if in_order:
+        expanded = expanded.repartitionByRange("asn")
     holder = F.when(F.col("opaque_id").isNotNull(), F.concat_ws(":", "rir", "opaque_id"))
     row = F.struct("rir", "cc", F.col("date").alias("registered"), "status", holder.alias("holder"))
-    return expand_blocks(delegations).groupBy("asn").agg(
+    return expanded.groupBy("asn").agg(
         F.max_by(row, F.struct("ordinal", "rir", "opaque_id", "status")).alias("r"), (F.min("rir") != F.max("rir")).alias("conflict")
     ).select("asn", "r.*", "conflict")
 
@@ -50,22 +54,43 @@ def cluster_members(registry: DataFrame) -> DataFrame:
     return delegated(registry).filter("holder is not null").select("asn", "holder").join(cluster_sizes(registry), "holder")
 
 
+def member_parts(registry: DataFrame) -> DataFrame:
+    """(holder, part, kind, size, asns): the members of every cluster in parts of 65,536 ASN numbers; `size` is that of the cluster.
+
+    Members are shuffled once; sizes are added up from the parts, of which no row grows with a cluster.
+    """
+    m = delegated(registry).filter("holder is not null").select("asn", "holder", F.shiftright("asn", 16).alias("part"))
+    parts = cut(m.groupBy("holder", "part").agg(F.sort_array(F.collect_set("asn")).alias("asns"), F.count("*").alias("n")))
+    sizes = parts.groupBy("holder").agg(F.sum("n").alias("size"))
+    return parts.join(sizes, "holder").select("holder", "part", cluster_kind(F.col("size")).alias("kind"), "size", "asns")
+
+
+def _bounded(parts: DataFrame) -> DataFrame:
+    return parts.filter("kind <> 'pool'").groupBy("holder", "kind", "size").agg(F.sort_array(F.flatten(F.collect_list("asns"))).alias("asns"))
+
+
 def holder_clusters(registry: DataFrame) -> DataFrame:
-    """One row per holder: (holder, kind, size, asns), the ASNs sorted.
+    """Clusters with all their ASNs, sorted: (holder, part, kind, size, asns).
 
-    Singles and siblings hold at most the pool threshold of ASNs.  A pool may hold any number: its row has its size and no
-    array, its members are the rows of `pool_parts`.
+    Singles and siblings hold at most the pool threshold of ASNs: one row each, without a part.  A pool may hold any number: one row for every part of
+    65,536 ASN numbers.
     """
-    m = cluster_members(registry)
-    bounded = m.filter("kind <> 'pool'").groupBy("holder", "kind", "size").agg(F.sort_array(F.collect_set("asn")).alias("asns"))
-    pools = cluster_sizes(registry).filter("kind = 'pool'").select("holder", "kind", "size", F.lit(None).cast("array<bigint>").alias("asns"))
-    return bounded.unionByName(pools)
+    p = member_parts(registry)
+    none = F.lit(None).cast("bigint").alias("part")
+    return _bounded(p).select("holder", none, "kind", "size", "asns").unionByName(p.filter("kind = 'pool'").select("holder", "part", "kind", "size", "asns"))
+
+
+def holder_heads(registry: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """One row per holder: (holder, kind, size, asns); that of a pool has no array, its members are the rows of `pool_parts`.  `parts`: the member_parts of the registry, if at hand."""
+    p = member_parts(registry) if parts is None else parts
+    pools = p.filter("kind = 'pool'").select("holder", "kind", "size").distinct().withColumn("asns", F.lit(None).cast("array<bigint>"))
+    return _bounded(p).unionByName(pools)
 
 
-def pool_parts(registry: DataFrame) -> DataFrame:
+def pool_parts(registry: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """(holder, part, size, asns): the members of pools in parts of 65,536 ASN numbers, so that no row grows with a pool; `size` is that of the pool."""
-    m = cluster_members(registry).filter("kind = 'pool'").withColumn("part", F.shiftright("asn", 16))
-    return m.groupBy("holder", "part", "size").agg(F.sort_array(F.collect_set("asn")).alias("asns"))
+    p = member_parts(registry) if parts is None else parts
+    return p.filter("kind = 'pool'").select("holder", "part", "size", "asns")
 
 
 def registry_stats(rows: DataFrame) -> DataFrame:

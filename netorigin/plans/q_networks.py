@@ -33,8 +33,9 @@ query("set3_expand_blocks", f"select asn, rir, status, ordinal from {_EXP}")(
     lambda t: registry.expand_blocks(t.delegation_blocks).select("asn", "rir", "status", "ordinal"))
 query("agg23_registry_rows", f"select asn, rir, cc, registered, status, holder, conflict from {_REG}")(rows)
 _TEXT = lambda c: F.array_join(F.array_sort(F.transform(c, lambda a: a.cast("string"))), ",")
-query("agg11_holder_clusters", f"""select holder, kind, size, case when kind <> 'pool' then list_aggregate(list_sort(list(cast(asn as string))), 'string_agg', ',') end as asns
-    from {_MEM} group by holder, kind, size""")(
+_PARTED = f"(select asn, holder, case when kind = 'pool' then asn >> 16 end as part, kind, size from {_MEM})"
+query("agg11_holder_clusters", f"""select holder, part, kind, size, list_aggregate(list_sort(list(cast(asn as string))), 'string_agg', ',') as asns
+    from {_PARTED} group by holder, part, kind, size""")(
     lambda t: registry.holder_clusters(reg(t)).withColumn("asns", _TEXT("asns")))
 query("agg11_pool_parts", f"""select holder, part, size, list_aggregate(list_sort(list(cast(asn as string))), 'string_agg', ',') as asns from (select *, asn >> 16 as part from {_MEM} where kind = 'pool')
     group by holder, part, size""")(
