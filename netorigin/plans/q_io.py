@@ -124,8 +124,8 @@ query("snk5_origin_csv", "select range_start || ',' || range_end || ',' || asn |
 _J = lambda c: f"coalesce('\"' || {c} || '\"', 'null')"
 query("snk6_registry_json", f"""select '{{"asn":' || asn || ',"rir":"' || rir || '","cc":' || {_J('cc')} || ',"registered":"' || registered || '","status":"' || status || '","holder":' || {_J('holder')} || '}}' as value from {qn._OK}""")(
     lambda t: sinks.registry_json(qn.reg(t)).select("value"))
-query("snk6_holder_json", f"""select '{{"holder":"' || holder || '","kind":"' || kind || '","size":' || size || case when kind = 'pool' then '}}' else ',"asns":[' || asns || ']}}' end as value
-    from (select holder, kind, size, string_agg(asn, ',' order by asn) as asns from {qn._MEM} group by holder, kind, size)""")(
+query("snk6_holder_json", f"""select '{{"holder":"' || holder || '",' || case when kind = 'pool' then '"part":' || part || ',' else '' end || '"kind":"' || kind || '","size":' || size || ',"asns":[' || asns || ']}}' as value
+    from (select holder, part, kind, size, string_agg(asn, ',' order by asn) as asns from {qn._PARTED} group by holder, part, kind, size)""")(
     lambda t: sinks.holder_json(registry.holder_clusters(qn.reg(t))).select("value"))
 
 
@@ -134,7 +134,10 @@ query("snk6_holder_json", f"""select '{{"holder":"' || holder || '","kind":"' ||
 def _(t):
     """The three line files of the registry, written and read again."""
     path = fresh_folder(t, "registry")
-    sinks.write_registry(qn.reg(t), registry.holder_clusters(qn.reg(t)), registry.pool_parts(qn.reg(t)), path)
+    sinks.write_registry_rows(registry.clean_registry(registry.registry_rows(t.delegation_blocks, in_order=True)), path)
+    reg = sinks.read_registry_rows(t.spark, path)
+    parts = registry.member_parts(reg)
+    sinks.write_clusters(registry.holder_heads(reg, parts), registry.pool_parts(reg, parts), path)
     count = lambda name: t.spark.read.text(f"{path}/{name}").agg(F.lit(name).alias("part"), F.count("*").alias("lines"))
     return count("asn-registry").union(count("holders")).union(count("pools"))
 

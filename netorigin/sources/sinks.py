@@ -114,8 +114,8 @@ def registry_json(registry: DataFrame) -> DataFrame:
 
 
 def holder_json(clusters: DataFrame) -> DataFrame:
-    """One line per holder; that of a pool has no members."""
-    return clusters.select("holder", F.to_json(F.struct("holder", "kind", "size", "asns")).alias("value"))
+    """One line per row of clusters; what a row does not have is left out."""
+    return clusters.select("holder", F.to_json(F.struct(*clusters.columns)).alias("value"))
 
 
 def pool_json(parts: DataFrame) -> DataFrame:
@@ -123,9 +123,18 @@ def pool_json(parts: DataFrame) -> DataFrame:
     return parts.select("holder", "part", F.to_json(F.struct("holder", "part", "size", "asns")).alias("value"))
 
 
-def write_registry(registry: DataFrame, clusters: DataFrame, parts: DataFrame, path: str) -> None:
-    write_lines(registry_json(registry), f"{path}/asn-registry", ["asn"])
-    write_lines(holder_json(clusters), f"{path}/holders", ["holder"])
+def write_registry_rows(registry: DataFrame, path: str) -> None:
+    """The registry lines, from rows that are dealt by ASN ranges (registry_rows with `in_order`)."""
+    registry_json(registry).sortWithinPartitions("asn").select("value").write.text(f"{path}/asn-registry", compression="gzip")
+
+
+def read_registry_rows(spark, path: str) -> DataFrame:
+    row = F.from_json("value", "asn bigint, rir string, cc string, registered string, status string, holder string")
+    return spark.read.text(f"{path}/asn-registry").select(row.alias("r")).select("r.*")
+
+
+def write_clusters(heads: DataFrame, parts: DataFrame, path: str) -> None:
+    write_lines(holder_json(heads), f"{path}/holders", ["holder"])
     write_lines(pool_json(parts), f"{path}/pools", ["holder", "part"])
 
 
